@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.catalog_sql import oracle_sql
-from basketlens.operators import habits, kpis, profiles, quality
-from basketlens.sources import adapter
+from basketlens.operators import customers, documents, habits, kpis, profiles, quality, segments, vectors, windows
+from basketlens.operators import vocabulary as vocab_ops
+from basketlens.schema import CALENDAR, TRANSACTIONS
+from basketlens.sources import adapter, staging, storage
 
 __all__ = ["oracle_sql", "queries"]
 
@@ -30,6 +32,43 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+# ---- sources and sinks ----
+
+
+def _staged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables after the whole way: CSV files, typed scan, staged parquet, typed scan."""
+    root = storage.scratch_path(spark, "staging")
+    trans = adapter.transactions(spark, path).select(*TRANSACTIONS.fieldNames())
+    trans.write.option("header", True).csv(f"{root}/raw/transactions_all")
+    adapter.calendar(trans).write.option("header", True).csv(f"{root}/raw/time.csv")
+    # Spark names its part files itself, so the transaction files are found by folder here.
+    staging.write_staged(staging.read_transactions(spark, f"{root}/raw/transactions_all", "*.csv"), f"{root}/trans-data")
+    staging.write_staged(staging.read_calendar(spark, f"{root}/raw"), f"{root}/time-data")
+    return (
+        staging.read_staged(spark, f"{root}/trans-data", TRANSACTIONS),
+        staging.read_staged(spark, f"{root}/time-data", CALENDAR),
+    )
+
+
+@_query
+def staged_transactions(spark, path):
+    return _staged(spark, path)[0].withColumn("SPEND", F.round(F.col("SPEND").cast("double"), 2))
+
+
+@_query
+def staged_calendar(spark, path):
+    return _staged(spark, path)[1]
+
+
+@_query
+def kpi_report(spark, path):
+    """The KPI report as it comes back from its CSV files."""
+    report = kpis.segment_kpis(*_trans_and_segments(spark, path))
+    target = storage.scratch_path(spark, "report")
+    storage.write_report(report, target, ["CLUSTER_NUM"])
+    return storage.read_report(spark, target, report.schema)
+
+
 # ---- data quality ----
 
 
@@ -45,7 +84,8 @@ def table_shape(spark, path):
 
 @_query
 def schema_report(spark, path):
-    return quality.schema_report(adapter.transactions(spark, path)).drop("nullable")
+    trans = adapter.transactions(spark, path)
+    return quality.schema_report(trans).drop("nullable").join(quality.missing_rates(trans), "column")
 
 
 @_query
@@ -74,6 +114,79 @@ def numeric_profile(spark, path):
     return _rounded(quality.numeric_profile(adapter.transactions(spark, path)), 6, "mean", "std")
 
 
+# ---- customers, vocabulary, documents, windows ----
+
+NUM_PRODS = 500
+WINDOW = 8
+
+
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    trans = adapter.transactions(spark, path)
+    return documents.customer_documents(trans, vocab_ops.vocabulary(trans, NUM_PRODS), NUM_PRODS)
+
+
+def _as_text(column: str):
+    return F.array_join(column, ",").alias(column)
+
+
+@_query
+def sampled_customers(spark, path):
+    sample = customers.sample_customers(adapter.transactions(spark, path), 0.5)
+    return sample.select("CUST_CODE", "BASKET_ID", "PROD_CODE", "QUANTITY", "SPEND")
+
+
+@_query
+def customer_index(spark, path):
+    return customers.customer_index(adapter.transactions(spark, path))
+
+
+@_query
+def vocabulary(spark, path):
+    return vocab_ops.vocabulary(adapter.transactions(spark, path), NUM_PRODS)
+
+
+@_query
+def oov_summary(spark, path):
+    trans = adapter.transactions(spark, path)
+    return vocab_ops.oov_summary(trans, vocab_ops.vocabulary(trans, NUM_PRODS), NUM_PRODS)
+
+
+@_query
+def customer_documents(spark, path):
+    docs = _documents(spark, path)
+    return docs.select("CUST_CODE", "n_unknown", F.array_join(documents.sequence(), ",").alias("document"))
+
+
+@_query
+def indexed_documents(spark, path):
+    index = customers.customer_index(adapter.transactions(spark, path))
+    return customers.to_index(_documents(spark, path), index).select("cust_idx", "n_unknown", _as_text("prod_idxs"))
+
+
+@_query
+def dm_pairs(spark, path):
+    pairs = windows.dm_pairs(_documents(spark, path), WINDOW)
+    return pairs.select("CUST_CODE", "target_pos", _as_text("context"), "target")
+
+
+@_query
+def dbow_pairs(spark, path):
+    pairs = windows.dbow_pairs(_documents(spark, path), WINDOW)
+    return pairs.select("CUST_CODE", "start_pos", _as_text("context"))
+
+
+@_query
+def epoch_sample_dm(spark, path):
+    sample = windows.epoch_sample(_documents(spark, path), WINDOW, "dm", epoch=3, seed=1)
+    return sample.select("CUST_CODE", "pos", _as_text("context"), "target")
+
+
+@_query
+def epoch_sample_dbow(spark, path):
+    sample = windows.epoch_sample(_documents(spark, path), WINDOW, "dbow", epoch=3, seed=1)
+    return sample.select("CUST_CODE", "pos", _as_text("context"))
+
+
 # ---- segments and profiles ----
 
 
@@ -136,3 +249,64 @@ def segment_profiles_extra(spark, path):
         "PROD_CODE_20",
     ]
     return profiles.segment_profiles(*_trans_and_segments(spark, path), variables=variables)
+
+
+# ---- vectors and clustering ----
+
+TRAINING = {"window": WINDOW, "dim": 32, "epochs": 4, "partitions": 8}
+
+
+def _trained(spark: SparkSession, path: str, method: str) -> vectors.VectorModel:
+    return vectors.train_vectors(_documents(spark, path), NUM_PRODS, method, **TRAINING)
+
+
+def _embeddings(spark: SparkSession, path: str) -> DataFrame:
+    table = spark.read.parquet(f"{path}/embeddings.parquet")
+    return table.select(F.col("vec_id").cast("string").alias("CUST_CODE"), F.col("embedding").alias("vector"), "label")
+
+
+@_query
+def customer_vectors_dbow(spark, path):
+    return _trained(spark, path, "dbow").customer_vectors
+
+
+@_query
+def customer_vectors_dm(spark, path):
+    return _trained(spark, path, "dm").customer_vectors
+
+
+@_query
+def product_vectors_dm(spark, path):
+    return _trained(spark, path, "dm").product_vectors
+
+
+@_query
+def training_history(spark, path):
+    return _trained(spark, path, "dbow").history
+
+
+@_query
+def silhouette_given_labels(spark, path):
+    table = _embeddings(spark, path)
+    labelled = segments.assemble(table).join(table.select("CUST_CODE", "label"), "CUST_CODE")
+    value = segments.silhouette(labelled, seg="label")
+    return spark.createDataFrame([(round(value, 8),)], "silhouette double")
+
+
+@_query
+def kmeans_segments(spark, path):
+    features = segments.assemble(_embeddings(spark, path))
+    return segments.score_segments(features, segments.fit_segments(features, k=7, partitions=8))
+
+
+@_query
+def kmeans_sweep(spark, path):
+    return segments.kmeans_sweep(segments.assemble(_embeddings(spark, path)), k_max=25, partitions=8)
+
+
+@_query
+def learned_segment_kpis(spark, path):
+    """Transactions to documents, vectors, segments and the KPIs of these segments."""
+    features = segments.assemble(_trained(spark, path, "dbow").customer_vectors)
+    scored = segments.score_segments(features, segments.fit_segments(features, k=7, partitions=8))
+    return kpis.segment_kpis(adapter.transactions(spark, path), scored)

@@ -38,6 +38,29 @@ scored as (
   select distinct CUST_CODE, cast(cast(substr(CUST_CODE, 2) as bigint) % 7 as int) as CLUSTER_NUM from known
 )"""
 
+# Documents over the 500 most frequent products, index 0 for all others.
+DOCS = """
+vocab as (
+  select PROD_CODE, cast(row_number() over (order by n_rows desc, PROD_CODE) as int) as prod_idx, n_rows
+  from (select PROD_CODE, count(*) as n_rows from known group by PROD_CODE order by n_rows desc, PROD_CODE limit 499)
+),
+pairs as (
+  select CUST_CODE, PROD_CODE, coalesce(prod_idx, 0) as prod_idx
+  from (select distinct CUST_CODE, PROD_CODE from known) left join vocab using (PROD_CODE)
+),
+docs as (
+  select CUST_CODE, cast(count(*) filter (where prod_idx = 0) as int) as n_unknown,
+    list(prod_idx order by prod_idx) as document, count(*) as n
+  from pairs group by CUST_CODE
+),
+long_docs as (select * from docs where n > 8)"""
+
+CUSTOMER_INDEX = """
+customer_index as (
+  select CUST_CODE, row_number() over (order by substr(md5(CUST_CODE), 1, 3), CUST_CODE) - 1 as cust_idx
+  from (select distinct CUST_CODE from known)
+)"""
+
 # Column name -> type name in the schema report.
 TYPES = {
     **dict.fromkeys(["SHOP_WEEK", "SHOP_DATE", "SHOP_WEEKDAY", "SHOP_HOUR", "QUANTITY"], "int"),
@@ -101,6 +124,13 @@ def _profile(variables) -> str:
 def oracle_sql() -> dict[str, str]:
     sql = {}
 
+    staged = ", ".join(f"round(cast(cast({c} as float) as double), 2) as {c}" if c == "SPEND" else c for c in TYPES)
+    sql["staged_transactions"] = _with(TRANS) + f"select {staged} from trans"
+    sql["staged_calendar"] = (
+        _with(TRANS)
+        + "select SHOP_WEEK, min(SHOP_DATE) as DATE_FROM, max(SHOP_DATE) as DATE_TO from trans group by SHOP_WEEK"
+    )
+
     sql["dataset_summary"] = (
         _with(TRANS)
         + """select count(distinct BASKET_ID) + max(cast(BASKET_ID is null as bigint)) as n_basket_id,
@@ -108,8 +138,10 @@ def oracle_sql() -> dict[str, str]:
         count(distinct SHOP_WEEK) + max(cast(SHOP_WEEK is null as bigint)) as n_shop_week from trans"""
     )
     sql["table_shape"] = _with(TRANS) + "select count(*) as n_rows, cast(22 as int) as n_columns from trans"
-    sql["schema_report"] = _union(
-        f"select cast({i} as int) as position, '{c}' as \"column\", '{t}' as type" for i, (c, t) in enumerate(TYPES.items())
+    sql["schema_report"] = _with(TRANS) + _union(
+        f"""select cast({i} as int) as position, '{c}' as "column", '{t}' as type,
+        sum(case when {c} is null then 1 else 0 end) / count(*) as missing_rate from trans"""
+        for i, (c, t) in enumerate(TYPES.items())
     )
     sql["head_records"] = (
         _with(TRANS)
@@ -137,6 +169,49 @@ def oracle_sql() -> dict[str, str]:
         for c in NUMBERS
     )
 
+    sql["sampled_customers"] = (
+        _with(TRANS)
+        + """select CUST_CODE, BASKET_ID, PROD_CODE, QUANTITY, SPEND from trans
+        where ('0x' || substr(md5('42:' || CUST_CODE), 1, 8))::bigint < 2147483648"""
+    )
+    sql["customer_index"] = _with(TRANS, KNOWN, CUSTOMER_INDEX) + "select CUST_CODE, cust_idx from customer_index"
+    sql["vocabulary"] = _with(TRANS, KNOWN, DOCS) + "select PROD_CODE, prod_idx, n_rows from vocab"
+    sql["oov_summary"] = (
+        _with(TRANS, KNOWN, DOCS)
+        + "select count(*) as n_pairs, count(*) filter (where prod_idx = 0) as n_unknown from pairs"
+    )
+    sql["customer_documents"] = (
+        _with(TRANS, KNOWN, DOCS) + "select CUST_CODE, n_unknown, array_to_string(document, ',') as document from docs"
+    )
+    sql["indexed_documents"] = (
+        _with(TRANS, KNOWN, DOCS, CUSTOMER_INDEX)
+        + """select cust_idx, n_unknown, array_to_string(document[n_unknown + 1:], ',') as prod_idxs
+        from docs join customer_index using (CUST_CODE)"""
+    )
+    around = "array_to_string(document[{p}-3:{p}] || document[{p}+2:{p}+5], ',') as context"
+    ahead = "array_to_string(document[{p}+1:{p}+8], ',') as context"
+    sql["dm_pairs"] = (
+        _with(TRANS, KNOWN, DOCS)
+        + f"""select CUST_CODE, cast(p as int) as target_pos, {around.format(p="p")}, document[p + 1] as target
+        from (select *, unnest(range(4, n - 4)) as p from long_docs)"""
+    )
+    sql["dbow_pairs"] = (
+        _with(TRANS, KNOWN, DOCS)
+        + f"""select CUST_CODE, cast(p as int) as start_pos, {ahead.format(p="p")}
+        from (select *, unnest(range(0, n - 8)) as p from long_docs)"""
+    )
+    draw = "('0x' || substr(md5('1:3:' || CUST_CODE), 1, 8))::bigint % (n - 8)"
+    sql["epoch_sample_dm"] = (
+        _with(TRANS, KNOWN, DOCS)
+        + f"""select CUST_CODE, cast(p as int) as pos, {around.format(p="p")}, document[p + 1] as target
+        from (select *, {draw} + 4 as p from long_docs)"""
+    )
+    sql["epoch_sample_dbow"] = (
+        _with(TRANS, KNOWN, DOCS)
+        + f"""select CUST_CODE, cast(p as int) as pos, {ahead.format(p="p")}
+        from (select *, {draw} as p from long_docs)"""
+    )
+
     sql["segment_kpis"] = (
         _with(TRANS, KNOWN, SCORED)
         + """select *, TOT_SALES / nullif(TOT_BASKS, 0) as SPEND_PER_BASK, TOT_UNITS / nullif(TOT_BASKS, 0) as UNITS_PER_BASK,
@@ -146,6 +221,7 @@ def oracle_sql() -> dict[str, str]:
           count(distinct BASKET_ID) as TOT_BASKS, count(distinct CUST_CODE) as TOT_CUSTS
           from known join scored using (CUST_CODE) group by CLUSTER_NUM)"""
     )
+    sql["kpi_report"] = sql["segment_kpis"]
     sql["habit_counts"] = _with(TRANS, KNOWN) + _union(
         f"""select CUST_CODE, '{v}' as var, cast({v} as varchar) as value, count(distinct BASKET_ID) as n_baskets
         from known group by CUST_CODE, {v}"""
@@ -171,4 +247,30 @@ def oracle_sql() -> dict[str, str]:
     sql["segment_profiles_extra"] = _profile(
         ["DOM_CUST_STORE_CODE", "DOM_CUST_STORE_REGION", "CUST_LIFESTAGE", "PROD_CODE", "PROD_CODE_10", "PROD_CODE_20"]
     )
+
+    # Silhouette with squared Euclidean distance in closed form: with n, sum and squared norm of a
+    # cluster, the total distance of x to it is n*|x|^2 - 2*x.sum + norm.
+    sql["silhouette_given_labels"] = """
+    with cell as (
+      select vec_id, label, cast(unnest(embedding) as double) as v, unnest(range(len(embedding))) as d from embeddings
+    ),
+    point as (select vec_id, label, sum(v*v) as norm from cell group by vec_id, label),
+    axis as (select label, d, sum(v) as s from cell group by label, d),
+    cluster as (select label, count(*) as n, sum(norm) as norm from point group by label),
+    dot as (
+      select cell.vec_id, axis.label as other, sum(cell.v * axis.s) as xs
+      from cell join axis on cell.d = axis.d group by cell.vec_id, axis.label
+    ),
+    total as (
+      select point.vec_id, point.label, other, cluster.n, cluster.n*point.norm - 2*xs + cluster.norm as dist
+      from point join dot on point.vec_id = dot.vec_id join cluster on cluster.label = dot.other
+    ),
+    ab as (
+      select vec_id, max(case when other = label then case when n > 1 then dist/(n-1) end end) as a,
+        min(case when other <> label then dist/n end) as b,
+        max(case when other = label then n end) as n
+      from total group by vec_id
+    )
+    select round(avg(case when n = 1 then 0 when a < b then 1 - a/b when a > b then b/a - 1 else 0 end), 8) as silhouette
+    from ab"""
     return sql
