@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from basketlens.catalog_sql import oracle_sql
 from basketlens.operators import customers, documents, habits, kpis, profiles, quality, segments, vectors, windows
 from basketlens.operators import vocabulary as vocab_ops
-from basketlens.schema import CALENDAR, TRANSACTIONS
+from basketlens.schema import CALENDAR, HABIT_PREFIX, REPORT_VARIABLES, TRANSACTIONS
 from basketlens.sources import adapter, staging, storage
 
 __all__ = ["oracle_sql", "queries"]
@@ -23,8 +23,13 @@ def queries():
     return dict(QUERIES)
 
 
-def _trans_and_segments(spark: SparkSession, path: str):
-    trans = adapter.transactions(spark, path)
+def _lines(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """Some columns of the transactions, staged once: the join behind them is not repeated by every pass."""
+    return storage.materialize(adapter.transactions(spark, path).select(*columns), "lines")
+
+
+def _trans_and_segments(spark: SparkSession, path: str, *columns: str):
+    trans = _lines(spark, path, "CUST_CODE", "BASKET_ID", *columns)
     return trans, adapter.number_segments(trans)
 
 
@@ -35,35 +40,30 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 # ---- sources and sinks ----
 
 
-def _staged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Both tables after the whole way: CSV files, typed scan, staged parquet, typed scan."""
-    root = storage.scratch_path(spark, "staging")
-    trans = adapter.transactions(spark, path).select(*TRANSACTIONS.fieldNames())
-    trans.write.option("header", True).csv(f"{root}/raw/transactions_all")
-    adapter.calendar(trans).write.option("header", True).csv(f"{root}/raw/time.csv")
-    # Spark names its part files itself, so the transaction files are found by folder here.
-    staging.write_staged(staging.read_transactions(spark, f"{root}/raw/transactions_all", "*.csv"), f"{root}/trans-data")
-    staging.write_staged(staging.read_calendar(spark, f"{root}/raw"), f"{root}/time-data")
-    return (
-        staging.read_staged(spark, f"{root}/trans-data", TRANSACTIONS),
-        staging.read_staged(spark, f"{root}/time-data", CALENDAR),
-    )
-
-
 @_query
 def staged_transactions(spark, path):
-    return _staged(spark, path)[0].withColumn("SPEND", F.round(F.col("SPEND").cast("double"), 2))
+    """The transactions after the whole way: CSV files, typed scan, staged parquet, typed scan."""
+    root = storage.scratch_path(spark, "staging")
+    trans = adapter.transactions(spark, path).select(*TRANSACTIONS.fieldNames())
+    trans.write.option("header", True).csv(f"{root}/raw")
+    # Spark names the files it writes, so the name filter is the extension here.
+    staging.write_staged(staging.read_transactions(spark, f"{root}/raw", "*.csv"), f"{root}/trans-data")
+    staged = staging.read_staged(spark, f"{root}/trans-data", TRANSACTIONS)
+    return staged.withColumn("SPEND", F.round(F.col("SPEND").cast("double"), 2))
 
 
 @_query
 def staged_calendar(spark, path):
-    return _staged(spark, path)[1]
+    root = storage.scratch_path(spark, "staging")
+    adapter.calendar(adapter.transactions(spark, path)).write.option("header", True).csv(f"{root}/raw/time.csv")
+    staging.write_staged(staging.read_calendar(spark, f"{root}/raw"), f"{root}/time-data", partition_by=None)
+    return staging.read_staged(spark, f"{root}/time-data", CALENDAR)
 
 
 @_query
 def kpi_report(spark, path):
     """The KPI report as it comes back from its CSV files."""
-    report = kpis.segment_kpis(*_trans_and_segments(spark, path))
+    report = kpis.segment_kpis(*_trans_and_segments(spark, path, "QUANTITY", "SPEND"))
     target = storage.scratch_path(spark, "report")
     storage.write_report(report, target, ["CLUSTER_NUM"])
     return storage.read_report(spark, target, report.schema)
@@ -121,7 +121,7 @@ WINDOW = 8
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
-    trans = adapter.transactions(spark, path)
+    trans = _lines(spark, path, "CUST_CODE", "PROD_CODE")
     return documents.customer_documents(trans, vocab_ops.vocabulary(trans, NUM_PRODS), NUM_PRODS)
 
 
@@ -192,7 +192,7 @@ def epoch_sample_dbow(spark, path):
 
 @_query
 def segment_kpis(spark, path):
-    return kpis.segment_kpis(*_trans_and_segments(spark, path))
+    return kpis.segment_kpis(*_trans_and_segments(spark, path, "QUANTITY", "SPEND"))
 
 
 @_query
@@ -228,14 +228,19 @@ def customer_total(spark, path):
 
 @_query
 def segment_profile(spark, path):
-    trans, scored = _trans_and_segments(spark, path)
+    trans, scored = _trans_and_segments(spark, path, "CUST_LIFESTAGE")
     joined = trans.select("CUST_CODE", "CUST_LIFESTAGE").join(scored, "CUST_CODE")
     return profiles.segment_profile(joined, "CUST_LIFESTAGE")
 
 
+def _profiles(spark, path, variables):
+    columns = [v.removeprefix(HABIT_PREFIX) for v in variables]
+    return profiles.segment_profiles(*_trans_and_segments(spark, path, *columns), variables=variables)
+
+
 @_query
 def segment_profiles_all(spark, path):
-    return profiles.segment_profiles(*_trans_and_segments(spark, path))
+    return _profiles(spark, path, REPORT_VARIABLES)
 
 
 @_query
@@ -248,7 +253,7 @@ def segment_profiles_extra(spark, path):
         "PROD_CODE_10",
         "PROD_CODE_20",
     ]
-    return profiles.segment_profiles(*_trans_and_segments(spark, path), variables=variables)
+    return _profiles(spark, path, variables)
 
 
 # ---- vectors and clustering ----

@@ -39,13 +39,16 @@ def union_tables(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def write_staged(df: DataFrame, path: str, partition_by: str = "SHOP_WEEK") -> None:
-    """Overwrite ``path`` with parquet, one folder per week.
+def write_staged(df: DataFrame, path: str, partition_by: str | None = "SHOP_WEEK") -> None:
+    """Overwrite ``path`` with parquet, one folder per week; ``None`` writes a small lookup as it is.
 
     The rebalance hint shuffles by week but splits a week that is too large for one task and merges
     weeks that are small, so neither a dominant week nor a long tail of weeks hurts.
     """
-    df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).mode("overwrite").parquet(path)
+    if partition_by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).mode("overwrite").parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
