@@ -258,7 +258,7 @@ def segment_profiles_extra(spark, path):
 
 # ---- vectors and clustering ----
 
-TRAINING = {"window": WINDOW, "dim": 32, "epochs": 4, "partitions": 8}
+TRAINING = {"window": WINDOW, "dim": 32, "epochs": 4}
 
 
 def _trained(spark: SparkSession, path: str, method: str) -> vectors.VectorModel:
@@ -301,17 +301,17 @@ def silhouette_given_labels(spark, path):
 @_query
 def kmeans_segments(spark, path):
     features = segments.assemble(_embeddings(spark, path))
-    return segments.score_segments(features, segments.fit_segments(features, k=7, partitions=8))
+    return segments.score_segments(features, segments.fit_segments(features, k=7))
 
 
 @_query
 def kmeans_sweep(spark, path):
-    return segments.kmeans_sweep(segments.assemble(_embeddings(spark, path)), k_max=25, partitions=8)
+    return segments.kmeans_sweep(segments.assemble(_embeddings(spark, path)), k_max=25)
 
 
 @_query
 def learned_segment_kpis(spark, path):
     """Transactions to documents, vectors, segments and the KPIs of these segments."""
     features = segments.assemble(_trained(spark, path, "dbow").customer_vectors)
-    scored = segments.score_segments(features, segments.fit_segments(features, k=7, partitions=8))
+    scored = segments.score_segments(features, segments.fit_segments(features, k=7))
     return kpis.segment_kpis(adapter.transactions(spark, path), scored)

@@ -16,4 +16,5 @@ def long_rows(df: DataFrame, keys, variables: Mapping[str, Column]) -> DataFrame
         F.struct(F.lit(name).alias("var"), column.cast("string").alias("value"))
         for name, column in variables.items()
     ]
-    return df.select(*keys, F.inline(F.array(*cells)))
+    table = F.array(*cells) if cells else F.array().cast("array<struct<var:string,value:string>>")
+    return df.select(*keys, F.inline(table))

@@ -26,9 +26,11 @@ def sample_customers(df: DataFrame, rate: float, seed: int = 42, key: str = CUST
 def customer_index(df: DataFrame, hex_digits: int = 3) -> DataFrame:
     """(CUST_CODE, cust_idx): distinct identified customers numbered 0..n-1.
 
-    The order is (hash bucket, code). Buckets are numbered by a running sum over at most
-    16 ** hex_digits counts, and each bucket ranks its own customers, so no task sees all of them.
+    The order is (hash bucket, code). Bucket starts are a running sum over 16 ** hex_digits counts,
+    few enough to broadcast, and each bucket ranks its own customers, so no task sees all of them.
     """
+    if not 1 <= hex_digits <= 5:
+        raise ValueError("hex_digits must lie between 1 and 5")
     customers = (
         identified(df).select(CUSTOMER).distinct().withColumn("bucket", hash_bucket(F.col(CUSTOMER), hex_digits))
     )
@@ -41,7 +43,7 @@ def customer_index(df: DataFrame, hex_digits: int = 3) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(CUSTOMER))
     return (
         customers.withColumn("rank", rank)
-        .join(starts, "bucket")
+        .join(F.broadcast(starts), "bucket", "left")
         .select(CUSTOMER, (F.col("start") + F.col("rank") - 1).cast("bigint").alias("cust_idx"))
     )
 

@@ -71,6 +71,9 @@ def numeric_profile(df: DataFrame) -> DataFrame:
     """(column, mean, max, min, std) of every numeric column, std being the sample deviation."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     measures = {"mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp}
+    if not names:
+        schema = ", ".join(["column string", *[f"{m} double" for m in measures]])
+        return df.sparkSession.createDataFrame([], schema)
     row = df.agg(
         *[fn(F.col(c).cast("double")).alias(f"{m}_{c}") for c in names for m, fn in measures.items()]
     )

@@ -1,5 +1,6 @@
 """Customer segments: k-means over customer vectors, choice of k, scoring."""
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -14,6 +15,9 @@ from basketlens.schema import CUSTOMER, SEGMENT
 
 FEATURES = "features"
 
+# At a few hundred dimensions this keeps a cached partition below 100 MB.
+ROWS_PER_PARTITION = 20_000
+
 
 def assemble(vectors: DataFrame, column: str = "vector", key: str = CUSTOMER) -> DataFrame:
     """(key, features): array column to ML vector, without a column per dimension."""
@@ -24,9 +28,10 @@ def canonical(df: DataFrame, key: str = CUSTOMER, partitions: int | None = None)
     """The same rows in a layout that depends on the keys and the partition count only.
 
     A seed alone does not make k-means repeatable: its random starts depend on which rows share a
-    partition and in what order.
+    partition and in what order. The count follows from the number of rows unless it is given, so
+    the result does not depend on the session either.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or math.ceil(max(df.count(), 1) / ROWS_PER_PARTITION)
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -74,7 +79,7 @@ def kmeans_sweep(
     features: str = FEATURES,
     key: str = CUSTOMER,
     partitions: int | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """(k, silhouette, training_cost) for k = 2..k_max: fitted on a sample of customers, judged on all.
 
@@ -83,11 +88,9 @@ def kmeans_sweep(
     """
     spark = df.sparkSession
     rows = canonical(df.select(key, features), key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    sample = canonical(
-        sample_customers(rows.withColumn("_key", F.col(key).cast("string")), fraction, seed, "_key").drop("_key"),
-        key,
-        partitions,
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = rows.withColumn("_key", F.col(key).cast("string"))
+    sample = sample_customers(keyed, fraction, seed, "_key").drop("_key")
+    sample = canonical(sample, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     def judge(k):
         model = KMeans(k=k, seed=seed, featuresCol=features).fit(sample)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import sgd
 from basketlens.operators.documents import length
-from basketlens.operators.windows import eligible, epoch_sample
+from basketlens.operators.windows import check_window, eligible, epoch_sample
 from basketlens.schema import CUSTOMER
 from basketlens.sources.storage import read_table, scratch_path, write_table
 
@@ -30,8 +30,11 @@ cloudpickle.register_pickle_by_value(sgd)
 INIT_RANGE = 0.05
 WINDOW, DIM, EPOCHS, RATE, MOMENTUM, BATCH = 8, 300, 250, 0.01, 0.9, 32
 
+# Steps that a partition takes on its own between two averages: this many customers, BATCH at a time.
+CUSTOMERS_PER_PARTITION = 20_000
+
 # Shared parameters and their velocities go to every executor and once per epoch through the driver.
-SHARED_BYTES_LIMIT = 1 << 30
+SHARED_BYTES_LIMIT = 1 << 28
 
 _EPOCH_ROW = (
     f"kind string, {CUSTOMER} string, prod_idx int, vector array<float>, velocity array<float>, "
@@ -143,37 +146,55 @@ def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: i
         yield changes("output", output(start), output(model), output(start_speed), output(speed), seen)
         if method == "dm":
             yield changes("product", start["E"], model["E"], start_speed["E"], speed["E"], seen)
+        empty = sgd.lists(np.zeros((1, 1)))
         yield rows(
-            "metric", 1, weight=pa.array([float(seen)]), loss=pa.array([loss]), hits=pa.array([hits])
+            "metric",
+            1,
+            vector=empty,
+            velocity=empty,
+            weight=pa.array([float(seen)]),
+            loss=pa.array([loss]),
+            hits=pa.array([hits]),
         )
 
     return run
 
 
-def _average(trained: DataFrame, shared: dict, speed: dict, examples: float) -> None:
-    """Add the example-weighted mean change of every shared row; at most two rows per product reach the driver."""
+def _average(trained: DataFrame, shared: dict, speed: dict) -> tuple[float, float, int]:
+    """Add the example-weighted mean change of every shared row; return loss, accuracy and examples.
+
+    One job over the small part of the epoch table; at most two rows per product reach the driver.
+    """
     sums = (
-        trained.where(F.col("kind").isin("output", "product"))
+        trained.where(F.col("kind").isin("output", "product", "metric"))
         .groupBy("kind", "prod_idx")
         .agg(
             Summarizer.sum(array_to_vector("vector"), F.col("weight")).alias("vector"),
             Summarizer.sum(array_to_vector("velocity"), F.col("weight")).alias("velocity"),
+            *[F.sum(c).alias(c) for c in ("weight", "loss", "hits")],
         )
-        .select("kind", "prod_idx", vector_to_array("vector").alias("vector"), vector_to_array("velocity").alias("velocity"))
+        .withColumns({c: vector_to_array(c) for c in ("vector", "velocity")})
         .toArrow()
     )
+
+    def part(kind):
+        return sums.filter(pa.compute.equal(sums["kind"], kind))
+
+    metric = part("metric").to_pylist()[0]
+    examples = metric["weight"]
     for kind in ("output", "product"):
-        table = sums.filter(pa.compute.equal(sums["kind"], kind))
+        table = part(kind)
         if not table.num_rows:
             continue
         index = table["prod_idx"].to_numpy()
         for values, column in ((shared, "vector"), (speed, "velocity")):
-            change = sgd.matrix(table[column], np.float64) / examples
+            change = (sgd.matrix(table[column], np.float64) / examples).astype(np.float32)
             if kind == "product":
-                values["E"][index] += change.astype(np.float32)
+                values["E"][index] += change
             else:
-                values["W"][index] += change[:, :-1].astype(np.float32)
-                values["b"][index] += change[:, -1].astype(np.float32)
+                values["W"][index] += change[:, :-1]
+                values["b"][index] += change[:, -1]
+    return metric["loss"] / examples, metric["hits"] / examples, int(examples)
 
 
 def train_vectors(
@@ -199,18 +220,23 @@ def train_vectors(
     Stops early after ``patience`` epochs without a lower loss. Every ``save_period`` epochs the
     model, and every ``snapshot_period`` epochs (from the first on) the customer vectors, are written
     to the given path, in which ``{epoch}`` is replaced. Documents too short for a window keep their
-    start vector. The result depends on seed and partition count, not on the layout of ``docs``.
+    start vector. The result depends on seed and partition count, not on the layout of ``docs``; the
+    count follows from the number of customers unless it is given.
     """
+    check_window(method, window)
+    if epochs < 1:
+        raise ValueError("epochs must be at least 1")
     spark = docs.sparkSession
     copies = 2 * (2 if method == "dm" else 1)
     if copies * num_prods * (dim + 1) * 4 > SHARED_BYTES_LIMIT:
         raise ValueError("num_prods * dim is too large to be shared by broadcast; use a smaller vocabulary")
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     run = scratch_path(spark, "vectors")
     write_table(docs.select(CUSTOMER, "n_unknown", "prod_idxs"), f"{run}/documents")
     docs = read_table(spark, f"{run}/documents")
-    if eligible(docs, window).isEmpty():
+    customers = eligible(docs, window).count()
+    if not customers:
         raise ValueError(f"no document has more than {window} products")
+    partitions = partitions or math.ceil(customers / CUSTOMERS_PER_PARTITION)
 
     # An array column is NULL-free here; velocity starts at rest.
     start = docs.select(CUSTOMER, start_vector(dim, seed).alias("vector"))
@@ -246,10 +272,8 @@ def train_vectors(
         broadcast.destroy()
 
         trained = spark.read.schema(_EPOCH_ROW).parquet(slot)
-        metrics = trained.where("kind = 'metric'").agg(F.sum("weight"), F.sum("loss"), F.sum("hits")).first()
-        seen, loss, accuracy = metrics[0], metrics[1] / metrics[0], metrics[2] / metrics[0]
-        _average(trained, shared, speed, seen)
-        history.append((epoch, loss, accuracy, int(seen)))
+        loss, accuracy, seen = _average(trained, shared, speed)
+        history.append((epoch, loss, accuracy, seen))
         state = trained.where("kind = 'customer'").select(CUSTOMER, "vector", "velocity")
 
         if snapshot_path and snapshot_period and epoch % snapshot_period == 0:

@@ -10,7 +10,7 @@ from basketlens.schema import CUSTOMER
 METHODS = ("dm", "dbow")
 
 
-def _check(method: str, window: int) -> None:
+def check_window(method: str, window: int) -> None:
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     if window < 1:
@@ -42,7 +42,7 @@ def _ahead(position: Column, window: int) -> Column:
 
 def dm_pairs(docs: DataFrame, window: int = 8) -> DataFrame:
     """(CUST_CODE, target_pos, context, target): every centre product with its neighbours on both sides."""
-    _check("dm", window)
+    check_window("dm", window)
     half = window // 2
     positions = F.explode(F.sequence(F.lit(half), length() - half - 1))
     rows = eligible(docs, window).withColumn("target_pos", positions)
@@ -57,7 +57,7 @@ def dbow_pairs(docs: DataFrame, window: int = 8, include_last: bool = False) ->
 
     The run that ends with the last product is left out unless ``include_last``.
     """
-    _check("dbow", window)
+    check_window("dbow", window)
     last = length() - window - (0 if include_last else 1)
     rows = eligible(docs, window).withColumn("start_pos", F.explode(F.sequence(F.lit(0), last)))
     return rows.select(CUSTOMER, "start_pos", _ahead(F.col("start_pos"), window).alias("context"))
@@ -69,7 +69,7 @@ def epoch_sample(docs: DataFrame, window: int = 8, method: str = "dm", epoch: in
     The position is drawn by a hash of seed, epoch and customer, evenly over all windows, so each
     epoch sees every customer once and a rerun draws the same examples on any layout.
     """
-    _check(method, window)
+    check_window(method, window)
     draw = hash32(seed, epoch, F.col(CUSTOMER)) % (length() - window).cast("bigint")
     rows = eligible(docs, window).withColumn("pos", (draw + _first(method, window)).cast("int"))
     position = F.col("pos")

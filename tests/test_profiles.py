@@ -7,6 +7,7 @@ import pytest
 
 from basketlens.operators import habits, kpis, profiles
 from basketlens.schema import HABITS
+from basketlens.sources import storage
 from tests.helpers import lines, rows, scattered
 
 
@@ -123,12 +124,49 @@ def test_approximate_kpis_are_close(shop):
         assert abs(r["TOT_BASKS"] - exact[r["CLUSTER_NUM"]]["TOT_BASKS"]) <= 0.15 * exact[r["CLUSTER_NUM"]]["TOT_BASKS"]
 
 
-def test_customer_in_two_segments_is_an_error(spark, shop):
-    df, _, scored, _ = shop
-    same = scored.union(scored)
-    assert rows(kpis.segment_kpis(df, same)) == rows(kpis.segment_kpis(df, scored))
+def test_customer_in_two_segments(spark, shop):
+    """KPIs count the customer in both segments; shares of a customer base can not, so profiles refuse."""
+    df, _, scored, seg = shop
+    more = scored.union(spark.createDataFrame([("HOT", 77)], scored.schema))
+    got = {r["CLUSTER_NUM"]: tuple(r)[1:] for r in kpis.segment_kpis(df, more).collect()}
+    alone = spark.createDataFrame([("HOT", 77)], scored.schema)
+    assert got[77] == tuple(kpis.segment_kpis(df, alone).first())[1:]
+    assert got[seg["HOT"]] == {r["CLUSTER_NUM"]: tuple(r)[1:] for r in kpis.segment_kpis(df, scored).collect()}[seg["HOT"]]
     with pytest.raises(Exception, match="customer in two segments: HOT"):
-        kpis.segment_kpis(df, scored.union(spark.createDataFrame([("HOT", 77)], scored.schema))).collect()
+        profiles.segment_profiles(df, more, ["PROD_CODE_40"]).collect()
+    twice = profiles.segment_profiles(df, scored.union(scored), ["PROD_CODE_40"])
+    assert rows(twice) == rows(profiles.segment_profiles(df, scored, ["PROD_CODE_40"]))
+
+
+def test_join_of_a_hot_customer_is_split(spark):
+    """Without broadcast, the runtime splits the partition of a customer with most of the baskets."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    data = spark.range(20000).selectExpr(
+        "case when id % 3 = 0 then 'HOT' else concat('C', id % 500) end as CUST_CODE",
+        "concat('B', id div 2) as BASKET_ID",
+        "1 as QUANTITY",
+        "cast(1 as float) as SPEND",
+    )
+    scored = data.select("CUST_CODE").distinct().selectExpr("CUST_CODE", "cast(0 as int) as CLUSTER_NUM")
+    scored = storage.materialize(scored, "scored")
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        table = kpis.segment_kpis(data, scored)
+        row = table.first()
+        assert (row["TOT_SALES"], row["TOT_BASKS"], row["TOT_CUSTS"]) == (20000.0, 10000, 501)
+        table.collect()
+        assert "skew=true" in table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def python_profile(cells, members):

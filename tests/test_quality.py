@@ -61,6 +61,14 @@ def test_top_values_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_tables_without_strings_or_numbers(spark):
+    numbers, strings = spark.range(3), spark.createDataFrame([("a",)], "s string")
+    assert quality.top_values(numbers).count() == 0
+    assert quality.top_values(numbers).dtypes == quality.top_values(strings).dtypes
+    assert quality.numeric_profile(strings).count() == 0
+    assert quality.numeric_profile(strings).dtypes == quality.numeric_profile(numbers).dtypes
+
+
 def test_head(spark):
     df = spark.range(50)
     assert [r["id"] for r in quality.head(df, order_by=[df.id.desc()]).collect()] == list(range(49, 39, -1))
