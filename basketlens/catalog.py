@@ -292,9 +292,7 @@ def training_history(spark, path):
 
 @_query
 def silhouette_given_labels(spark, path):
-    table = _embeddings(spark, path)
-    labelled = segments.assemble(table).join(table.select("CUST_CODE", "label"), "CUST_CODE")
-    value = segments.silhouette(labelled, seg="label")
+    value = segments.silhouette(segments.assemble(_embeddings(spark, path), keep=["label"]), seg="label")
     return spark.createDataFrame([(round(value, 8),)], "silhouette double")
 
 

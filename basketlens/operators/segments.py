@@ -19,9 +19,9 @@ FEATURES = "features"
 ROWS_PER_PARTITION = 20_000
 
 
-def assemble(vectors: DataFrame, column: str = "vector", key: str = CUSTOMER) -> DataFrame:
-    """(key, features): array column to ML vector, without a column per dimension."""
-    return vectors.select(key, array_to_vector(F.col(column)).alias(FEATURES))
+def assemble(vectors: DataFrame, column: str = "vector", key: str = CUSTOMER, keep=()) -> DataFrame:
+    """(key, features, kept columns): array column to ML vector, without a column per dimension."""
+    return vectors.select(key, array_to_vector(F.col(column)).alias(FEATURES), *keep)
 
 
 def canonical(df: DataFrame, key: str = CUSTOMER, partitions: int | None = None) -> DataFrame:

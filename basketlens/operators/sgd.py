@@ -42,34 +42,46 @@ class Nesterov:
         self.rate, self.momentum = rate, momentum
 
     def step(self, value, velocity, gradient):
-        velocity = self.momentum * velocity - self.rate * gradient
-        return value + self.momentum * velocity - self.rate * gradient, velocity
+        """Change ``value`` and ``velocity`` in place; the output layer is too large to copy in every step."""
+        gradient *= self.rate
+        velocity *= self.momentum
+        velocity -= gradient
+        move = velocity * self.momentum
+        move -= gradient
+        value += move
 
 
 def train_batch(model, speed, rule, vectors, velocities, inputs, targets):
-    """Update ``model`` and ``speed`` (dicts W, b, E) in place; return new vectors, velocities, loss and hits."""
+    """Update ``model`` and ``speed`` (dicts W, b, E), ``vectors`` and ``velocities`` in place; return loss and hits.
+
+    ``vectors`` and ``velocities`` belong to the batch's customers, ``inputs`` are their input
+    products or None, ``targets`` the products to predict, all with one row per customer.
+    """
     n, width = targets.shape
     share = 1.0 / (1 + (inputs.shape[1] if inputs is not None else 0))
     hidden = vectors * share if inputs is None else (vectors + model["E"][inputs].sum(axis=1)) * share
 
-    logits = hidden @ model["W"].T + model["b"]
-    logits -= logits.max(axis=1, keepdims=True)
-    prob = np.exp(logits)
+    prob = hidden @ model["W"].T
+    prob += model["b"]
+    prob -= prob.max(axis=1, keepdims=True)
+    np.exp(prob, out=prob)
     prob /= prob.sum(axis=1, keepdims=True)
-    rows = np.arange(n)[:, None]
+    rows = np.broadcast_to(np.arange(n)[:, None], targets.shape)
     loss = -np.log(np.maximum(prob[rows, targets], 1e-7)).sum() / width
     hits = (targets == prob.argmax(axis=1)[:, None]).sum() / width
 
-    delta = prob
-    np.subtract.at(delta, (np.broadcast_to(rows, targets.shape), targets), 1.0 / width)
-    delta /= n
-    back = (delta @ model["W"]) * share
-    model["W"], speed["W"] = rule.step(model["W"], speed["W"], delta.T @ hidden)
-    model["b"], speed["b"] = rule.step(model["b"], speed["b"], delta.sum(axis=0))
+    # Gradient of the mean loss by the logits: probabilities minus the share of each target.
+    np.subtract.at(prob, (rows, targets), 1.0 / width)
+    prob /= n
+    back = (prob @ model["W"]) * share
+    rule.step(model["W"], speed["W"], prob.T @ hidden)
+    rule.step(model["b"], speed["b"], prob.sum(axis=0))
     if inputs is not None:
         touched, where = np.unique(inputs, return_inverse=True)
-        gradient = np.zeros((len(touched), back.shape[1]), back.dtype)
-        np.add.at(gradient, where.reshape(inputs.shape), back[:, None, :])
-        model["E"][touched], speed["E"][touched] = rule.step(model["E"][touched], speed["E"][touched], gradient)
-    vectors, velocities = rule.step(vectors, velocities, back)
-    return vectors, velocities, loss, hits
+        uses = np.zeros((len(touched), n), back.dtype)
+        np.add.at(uses, (where.reshape(inputs.shape), np.broadcast_to(np.arange(n)[:, None], inputs.shape)), 1)
+        value, velocity = model["E"][touched], speed["E"][touched]
+        rule.step(value, velocity, uses @ back)
+        model["E"][touched], speed["E"][touched] = value, velocity
+    rule.step(vectors, velocities, back)
+    return loss, hits

@@ -126,9 +126,7 @@ def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: i
                 inputs, targets = None, context
             vectors = sgd.matrix(table["vector"], np.float32)
             velocities = sgd.matrix(table["velocity"], np.float32)
-            vectors, velocities, batch_loss, batch_hits = sgd.train_batch(
-                model, speed, rule, vectors, velocities, inputs, targets
-            )
+            batch_loss, batch_hits = sgd.train_batch(model, speed, rule, vectors, velocities, inputs, targets)
             seen, loss, hits = seen + len(vectors), loss + float(batch_loss), hits + float(batch_hits)
             yield rows(
                 "customer",

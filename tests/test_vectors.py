@@ -54,7 +54,8 @@ def test_gradients_and_loss(method):
     new = {k: a.copy() for k, a in model.items()}
     speed = {k: np.zeros_like(a) for k, a in model.items()}
     rule = sgd.Nesterov(rate, 0.0)
-    v_new, _, loss, _ = sgd.train_batch(new, speed, rule, v, np.zeros_like(v), inputs, targets)
+    v_new = v.copy()
+    loss, _ = sgd.train_batch(new, speed, rule, v_new, np.zeros_like(v), inputs, targets)
     assert loss / len(v) == pytest.approx(loss_of(model, v, inputs, targets))
 
     def slope(array, where):
@@ -75,7 +76,8 @@ def test_gradients_and_loss(method):
 
 
 def test_nesterov_step():
-    value, velocity = sgd.Nesterov(0.1, 0.5).step(1.0, 2.0, 3.0)
+    value, velocity = np.array([1.0]), np.array([2.0])
+    sgd.Nesterov(0.1, 0.5).step(value, velocity, np.array([3.0]))
     assert velocity == pytest.approx(0.5 * 2 - 0.1 * 3)
     assert value == pytest.approx(1 + 0.5 * velocity - 0.1 * 3)
 
@@ -109,9 +111,8 @@ def plain_run(docs, method, epochs, seed=1, batch_size=32):
             names = [r["CUST_CODE"] for r in part]
             context = np.array([r["context"] for r in part])
             inputs, targets = (context, np.array([[r["target"]] for r in part])) if method == "dm" else (None, context)
-            a, b, loss, _ = sgd.train_batch(
-                shared, speed, rule, np.stack([v[c] for c in names]), np.stack([velocity[c] for c in names]), inputs, targets
-            )
+            a, b = np.stack([v[c] for c in names]), np.stack([velocity[c] for c in names])
+            loss, _ = sgd.train_batch(shared, speed, rule, a, b, inputs, targets)
             v.update(zip(names, a))
             velocity.update(zip(names, b))
             total += loss
