@@ -37,8 +37,8 @@ CUSTOMERS_PER_PARTITION = 20_000
 SHARED_BYTES_LIMIT = 1 << 28
 
 _EPOCH_ROW = (
-    f"kind string, {CUSTOMER} string, prod_idx int, vector array<float>, velocity array<float>, "
-    "weight double, loss double, hits double"
+    f"kind string, {CUSTOMER} string, n_unknown int, prod_idxs array<int>, prod_idx int, "
+    "vector array<float>, velocity array<float>, weight double, loss double, hits double"
 )
 
 
@@ -86,12 +86,14 @@ def _start_shared(num_prods: int, dim: int, method: str, seed: int) -> dict:
 
 
 def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: int):
-    """The function that trains on one partition: (customer, example, state) rows in, tagged rows out."""
+    """The function that trains on one partition: (example, state) rows of customers in, tagged rows out."""
 
     def rows(kind, n, **columns):
         blank = {
             "kind": pa.array([kind] * n, pa.string()),
             CUSTOMER: pa.nulls(n, pa.string()),
+            "n_unknown": pa.nulls(n, pa.int32()),
+            "prod_idxs": pa.nulls(n, pa.list_(pa.int32())),
             "prod_idx": pa.nulls(n, pa.int32()),
             "vector": pa.nulls(n, pa.list_(pa.float32())),
             "velocity": pa.nulls(n, pa.list_(pa.float32())),
@@ -132,6 +134,8 @@ def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: i
                 "customer",
                 len(vectors),
                 **{CUSTOMER: table[CUSTOMER].combine_chunks().cast(pa.string())},
+                n_unknown=table["n_unknown"].combine_chunks(),
+                prod_idxs=table["prod_idxs"].combine_chunks().cast(pa.list_(pa.int32())),
                 vector=sgd.lists(vectors),
                 velocity=sgd.lists(velocities),
             )
@@ -236,9 +240,11 @@ def train_vectors(
         raise ValueError(f"no document has more than {window} products")
     partitions = partitions or math.ceil(customers / CUSTOMERS_PER_PARTITION)
 
-    # An array column is NULL-free here; velocity starts at rest.
-    start = docs.select(CUSTOMER, start_vector(dim, seed).alias("vector"))
-    state = start.withColumn("velocity", F.array_repeat(F.lit(0.0).cast("float"), dim))
+    # The state of a customer is its document, vector and velocity (at rest at first) in one row. With
+    # the document at hand an epoch needs no join, only the shuffle that restores the layout.
+    columns = ["n_unknown", "prod_idxs", "vector", "velocity"]
+    rest = F.array_repeat(F.lit(0.0).cast("float"), dim)
+    state = eligible(docs, window).withColumns({"vector": start_vector(dim, seed), "velocity": rest})
     short = docs.where(length() <= window).select(CUSTOMER, start_vector(dim, seed).alias("vector"))
     shared = _start_shared(num_prods, dim, method, seed)
     speed = {name: np.zeros_like(array) for name, array in shared.items()}
@@ -257,12 +263,10 @@ def train_vectors(
         # Two slots take turns, so the disk holds two states however many epochs run, and a lost
         # executor costs the tasks of the current epoch only.
         slot = f"{run}/state-{epoch % 2}"
-        examples = epoch_sample(docs, window, method, epoch, seed)
         rows = (
-            examples.repartition(partitions, CUSTOMER)
-            .join(state.repartition(partitions, CUSTOMER), CUSTOMER)
+            epoch_sample(state, window, method, epoch, seed, keep=columns)
+            .repartition(partitions, CUSTOMER)
             .sortWithinPartitions(CUSTOMER)
-            .select(CUSTOMER, "context", "target", "vector", "velocity")
         )
         broadcast = spark.sparkContext.broadcast((shared, speed))
         task = _epoch_task(broadcast, method, rate, momentum, batch_size)
@@ -272,7 +276,7 @@ def train_vectors(
         trained = spark.read.schema(_EPOCH_ROW).parquet(slot)
         loss, accuracy, seen = _average(trained, shared, speed)
         history.append((epoch, loss, accuracy, seen))
-        state = trained.where("kind = 'customer'").select(CUSTOMER, "vector", "velocity")
+        state = trained.where("kind = 'customer'").select(CUSTOMER, *columns)
 
         if snapshot_path and snapshot_period and epoch % snapshot_period == 0:
             write_table(result(trained).customer_vectors, snapshot_path.format(epoch=epoch))

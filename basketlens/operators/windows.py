@@ -63,8 +63,10 @@ def dbow_pairs(docs: DataFrame, window: int = 8, include_last: bool = False) ->
     return rows.select(CUSTOMER, "start_pos", _ahead(F.col("start_pos"), window).alias("context"))
 
 
-def epoch_sample(docs: DataFrame, window: int = 8, method: str = "dm", epoch: int = 0, seed: int = 1) -> DataFrame:
-    """One example per eligible customer: (CUST_CODE, pos, context, target), target NULL for dbow.
+def epoch_sample(
+    docs: DataFrame, window: int = 8, method: str = "dm", epoch: int = 0, seed: int = 1, keep=()
+) -> DataFrame:
+    """One example per eligible customer: (CUST_CODE, pos, context, target, kept columns), target NULL for dbow.
 
     The position is drawn by a hash of seed, epoch and customer, evenly over all windows, so each
     epoch sees every customer once and a rerun draws the same examples on any layout.
@@ -77,4 +79,4 @@ def epoch_sample(docs: DataFrame, window: int = 8, method: str = "dm", epoch: in
         context, target = _around(position, window), item(position)
     else:
         context, target = _ahead(position, window), F.lit(None).cast("int")
-    return rows.select(CUSTOMER, "pos", context.alias("context"), target.alias("target"))
+    return rows.select(CUSTOMER, "pos", context.alias("context"), target.alias("target"), *keep)
