@@ -11,7 +11,9 @@ from tests.helpers import rows, scattered
 def features(spark):
     table = spark.read.parquet(str(TESTDATA / "sf0.001" / "embeddings.parquet"))
     vectors = table.selectExpr("concat('C', vec_id) as CUST_CODE", "embedding as vector")
-    return segments.assemble(vectors).cache()
+    table = segments.assemble(vectors).cache()
+    table.count()
+    return table
 
 
 def points(features):
@@ -67,6 +69,7 @@ def python_silhouette(x, labels):
 
 def test_sweep(spark, features):
     renamed = features.withColumnRenamed("features", "x")
+    before = cached(spark)
     sweep = {r["k"]: r for r in segments.kmeans_sweep(renamed, k_max=4, features="x").collect()}
     assert sorted(sweep) == [2, 3, 4]
     sample = sample_customers(features, 0.5, seed=1)
@@ -77,7 +80,11 @@ def test_sweep(spark, features):
         assert row["silhouette"] == pytest.approx(python_silhouette(x, np.array([labels[n] for n in names])), abs=1e-6)
         assert row["training_cost"] == pytest.approx(model.summary.trainingCost)
     assert rows(segments.kmeans_sweep(scattered(renamed), k_max=4, features="x", parallelism=1)) == rows_of(sweep)
-    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size() > 1
+    assert cached(spark) == before
+
+
+def cached(spark):
+    return spark.sparkContext._jsc.sc().getPersistentRDDs().size()
 
 
 def rows_of(sweep):
