@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from basketlens.llm import bpe, mixing
+from basketlens.llm import bpe, minhash, mixing
 from basketlens.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op4_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_minhash_components(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 def op9_source_mix(spark, sf_dir):
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
