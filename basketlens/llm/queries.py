@@ -2,10 +2,14 @@
 
 import public_tokenizers
 
-from basketlens.llm import bpe, minhash, mixing
+from basketlens.llm import bpe, minhash, mixing, quality
 from basketlens.llm.common import table
 
 
+def op3_line_field(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
