@@ -2,10 +2,14 @@
 
 import public_tokenizers
 
-from basketlens.llm import bpe, minhash, mixing, quality
+from basketlens.llm import bpe, linededup, minhash, mixing, quality
 from basketlens.llm.common import table
 
 
+def op1_line_dedup(spark, sf_dir):
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_line_field(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
