@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import publish, shared_folder
+from basketlens.llm.common import extended, publish, shared_folder
 
 LEXICON_WORDS = 100_000
 MIN_COUNT = 2
@@ -304,8 +304,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", lexicon_words: i
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], [*keep, "ids", "decoded"])
                     start, size, ids, decoded = row + 1, 0, [], []
 
-    schema = docs.select(*keep).schema.add("ids", "binary").add("decoded", "string")
-    return docs.select(*keep).mapInArrow(run, schema)
+    plain = docs.select(*keep)
+    return plain.mapInArrow(run, extended(plain, ids="binary", decoded="string"))
 
 
 def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 # Words are maximal runs of anything but the six ASCII white-space characters.
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
@@ -65,12 +66,18 @@ def publish(uri: str, name: str, data: bytes) -> str:
     fs, path = store(uri)
     fs.create_dir(path, recursive=True)
     part = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(part) as out:
+    with fs.open_output_stream(part, compression=None) as out:
         out.write(data)
     fs.move(part, f"{path}/{name}")
     return f"{uri}/{name}"
 
 
+def extended(df: DataFrame, **kinds: str) -> StructType:
+    """The schema of ``df`` with more columns at its end."""
+    more = StructType([StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items()])
+    return StructType([*df.schema.fields, *more.fields])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.common import extended
+
 SAMPLE_DOCS = 3000
 SAMPLE_LINES = 200
 THRESHOLD = 0.7
@@ -166,7 +168,8 @@ def score(docs: DataFrame, model, text: str = "text") -> DataFrame:
                 scores = [document_score(t.as_py(), model) for t in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*keep, "score"])
 
-    scored = docs.select(*keep).mapInArrow(run, docs.select(*keep).schema.add("score", "double"))
+    plain = docs.select(*keep)
+    scored = plain.mapInArrow(run, extended(plain, score="double"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from basketlens.llm import bpe, linededup, minhash, mixing, quality
+from basketlens.llm import bpe, linededup, minhash, mixing, packed, quality, warc
 from basketlens.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_line_dedup(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_normaliser(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_line_field(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -18,6 +22,10 @@ def op4_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_packed_ids(spark, sf_dir):
+    return packed.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_minhash_components(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
