@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from basketlens.llm import bpe, linededup, minhash, mixing, packed, quality, warc
+from basketlens.llm import ann, bpe, embdedup, linededup, minhash, mixing, packed, quality, warc
 from basketlens.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op4_bpe_transducer(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_multiprobe_search(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op6_packed_ids(spark, sf_dir):
     return packed.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,6 +39,10 @@ def op9_source_mix(spark, sf_dir):
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_groups(spark, sf_dir):
+    return embdedup.near_groups(table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
