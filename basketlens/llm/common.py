@@ -4,12 +4,13 @@ import atexit
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 # Words are maximal runs of anything but the six ASCII white-space characters.
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
+LAST = (1 << 63) - 1
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -52,6 +53,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(save(df, name))
 
 
+def bucketed(docs: DataFrame, name: str) -> DataFrame:
+    """The documents as a table bucketed by ``doc`` (doc_id, the last number for NULL): later joins on it move no text.
+
+    ``row`` holds the columns; ``copy`` tells texts apart that share a doc_id. The table goes when the driver ends."""
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{name}_{uuid.uuid4().hex}"
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"))
+    keyed = keyed.repartition(n, "doc").withColumn("copy", F.dense_rank().over(Window.partitionBy("doc").orderBy("row.text")) - 1)
+    keyed.write.bucketBy(n, "doc").sortBy("doc").option("compression", "zstd").saveAsTable(name)
+    atexit.register(lambda: spark.sparkContext._jsc and spark.sql(f"drop table if exists {name}"))
+    return spark.table(name)
+
+
 def _bare(uri: str) -> str:
     return "/" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
 

@@ -13,17 +13,13 @@ repeated rows have the same places and do not remove each other's lines; other c
 documents stay, even without lines.
 """
 
-import atexit
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import cut
+from basketlens.llm.common import bucketed, cut
 
 THRESHOLD = 2
 MIN_CHARS = 20
-_LAST = (1 << 63) - 1
 _BLANKS = " \t\x0b\x0c\r"
 
 
@@ -84,19 +80,6 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     return near & F.when(F.length(a) == 0, F.length(b) <= threshold).otherwise(reached)
 
 
-def _laid_out(docs: DataFrame) -> DataFrame:
-    """The documents as a table bucketed by ``doc``: the later joins on it move no text. ``copy`` tells texts apart
-    that share a doc_id."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"lines_{uuid.uuid4().hex}"
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"))
-    keyed = keyed.repartition(n, "doc").withColumn("copy", F.dense_rank().over(Window.partitionBy("doc").orderBy("row.text")) - 1)
-    keyed.write.bucketBy(n, "doc").sortBy("doc").option("compression", "zstd").saveAsTable(name)
-    atexit.register(lambda: spark.sparkContext._jsc and spark.sql(f"drop table if exists {name}"))
-    return spark.table(name)
-
-
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -150,7 +133,7 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
 
 def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``row`` (the document), ``repeats`` and ``nears``: the numbers of its lines that go, from 0."""
-    laid = _laid_out(docs)
+    laid = bucketed(docs, "lines")
     text = F.col("row.text")
     clean = lambda line: F.trim(F.translate(line, _BLANKS, " " * len(_BLANKS)))
     cells = F.transform(_lines(text), lambda line, i: F.struct(i.alias("pos"), clean(line).alias("line")))

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from basketlens.llm import ann, bpe, embdedup, linededup, minhash, mixing, packed, quality, warc
+from basketlens.llm import ann, bpe, embdedup, linededup, minhash, mixing, packed, quality, suffix, warc
 from basketlens.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op7_minhash_components(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op8_repeated_bytes(spark, sf_dir):
+    return suffix.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark, sf_dir):
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
