@@ -3,6 +3,8 @@
 import atexit
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -93,6 +95,31 @@ def extended(df: DataFrame, **kinds: str) -> StructType:
     return StructType([*df.schema.fields, *more.fields])
 
 
+def sorted_runs(batches, keys: int):
+    """Tables of the rows that share the first ``keys`` columns (whole numbers), from batches sorted by them."""
+    held = []
+
+    def ends(t):
+        change = np.zeros(max(0, t.num_rows - 1), bool)
+        for i in range(keys):
+            values = t.column(i).to_numpy()
+            change |= values[1:] != values[:-1]
+        return np.flatnonzero(change) + 1
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        t = pa.Table.from_batches(held).combine_chunks()
+        at = ends(t)
+        if len(at):
+            for a, b in zip([0, *at[:-1]], at):
+                yield t.slice(a, b - a)
+            held = t.slice(at[-1]).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

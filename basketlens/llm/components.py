@@ -1,5 +1,6 @@
 """Connected components by alternating large-star and small-star."""
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,15 @@ def _small_star(edges):
 def _digest(edges):
     code = F.xxhash64("a", "b").cast("decimal(20,0)")
     return tuple(edges.agg(F.count("*"), F.sum(code), F.sum("b")).first())
+
+
+def smallest_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest label that the pairs (i, j) of places connect each place to, for a block of rows in memory."""
+    while True:
+        low = np.minimum(labels[i], labels[j])
+        new = labels.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        if (new == labels).all():
+            return labels
+        labels = new

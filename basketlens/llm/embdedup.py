@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import cut
-from basketlens.llm.components import components
+from basketlens.llm.components import components, smallest_labels
 from basketlens.llm.vectors import dimension, matrix, usable
 
 THRESHOLD = 0.9
@@ -49,19 +49,6 @@ def _unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _groups(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest id that the pairs (i, j) connect each place to."""
-    label = ids.copy()
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        if (new == label).all():
-            return label
-        label = new
-
-
 def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``vectors``."""
     rows = vectors.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias("x"))
@@ -121,7 +108,7 @@ def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float
             np.add.at(links, i, copies[j])
             np.add.at(links, j, copies[i])
             linked[i] = linked[j] = True
-            label = np.minimum(label, _groups(label, i, j)) if len(i) else label
+            label = np.minimum(label, smallest_labels(label, i, j)) if len(i) else label
         at = np.flatnonzero(linked)
         return pd.DataFrame({"id": ids[at], "n": links[at], "label": label[at]})
 

@@ -55,10 +55,14 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     """
     width = 2 * threshold + 1
     full = (1 << width) - 1
-    pad = F.array_repeat(F.lit(""), threshold)
-    x, y = F.split(a, ""), F.concat(pad, F.split(b, ""), pad)
-    bit = lambda i, o: F.when(F.get(x, i) == F.get(y, i + o), F.lit(1 << o)).otherwise(F.lit(0))
-    matches = F.transform(F.sequence(F.lit(0), F.length(a) - 1), lambda i: sum((bit(i, o) for o in range(1, width)), bit(i, 0)))
+    # A function over an array sees it once; looking places up inside would split the line for every character.
+    x, y = F.split(a, ""), F.concat(F.array_repeat(F.lit(""), threshold), F.split(b, ""))
+    part = lambda o: F.slice(y, o + 1, F.greatest(F.length(a), F.lit(0)))
+    same = lambda bit: lambda c, d: F.when(c == d, F.lit(bit)).otherwise(F.lit(0))
+    bits = [F.zip_with(F.slice(x, 1, F.length(a)), part(o), same(1 << o)) for o in range(width)]
+    matches = bits[0]
+    for more in bits[1:]:
+        matches = F.zip_with(matches, more, lambda c, d: c + d)
     level = lambda state, d: F.shiftright(state, d * width).bitwiseAND(F.lit(full).cast("long"))
 
     def step(state, m):
@@ -80,12 +84,12 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     return near & F.when(F.length(a) == 0, F.length(b) <= threshold).otherwise(reached)
 
 
-def _lines(text: Column) -> Column:
-    return F.split(text, "\n")
+def _kept_places(lines: Column, removed: Column) -> Column:
+    return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(removed, F.array().cast("array<int>")))
 
 
-def _kept_places(text: Column, removed: Column) -> Column:
-    return F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), F.coalesce(removed, F.array().cast("array<int>")))
+def _clean(line: Column) -> Column:
+    return F.trim(F.translate(line, _BLANKS, " " * len(_BLANKS)))
 
 
 def _by_doc(places: DataFrame, name: str) -> DataFrame:
@@ -123,7 +127,7 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
     pairs = pairs.select(F.when(before, first).otherwise(later).alias("x"), F.when(before, later).otherwise(first).alias("y")).distinct()
     pairs = cut(pairs, "line-pairs")
     wanted = _by_doc(pairs.select("x.*").unionByName(pairs.select("y.*")), "wanted")
-    own = F.transform(F.array_distinct(_of_copy("wanted")), lambda p: F.struct(p.alias("pos"), F.trim(F.translate(F.get(_lines(F.col("row.text")), p), _BLANKS, " " * len(_BLANKS))).alias("line")))
+    own = F.transform(F.array_distinct(_of_copy("wanted")), lambda p: F.struct(p.alias("pos"), _clean(F.get(F.col("row.text"), p)).alias("line")))
     texts = laid.join(wanted, "doc").select("doc", "copy", F.inline(own))
     texts = cut(texts.select(F.struct("doc", "copy", "pos").alias("place"), "line"), "line-texts")
     both = pairs.join(texts.select(F.col("place").alias("x"), F.col("line").alias("line_x")), "x")
@@ -132,14 +136,15 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
 
 
 def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``row`` (the document), ``repeats`` and ``nears``: the numbers of its lines that go, from 0."""
-    laid = bucketed(docs, "lines")
+    """``row`` (the document, its ``text`` an array of lines), ``repeats`` and ``nears``: the numbers of the lines that
+    go, from 0."""
+    # The table holds the lines as an array, so that no later expression splits a text again.
+    laid = bucketed(docs.withColumn("text", F.split("text", "\n")), "lines")
     text = F.col("row.text")
-    clean = lambda line: F.trim(F.translate(line, _BLANKS, " " * len(_BLANKS)))
-    cells = F.transform(_lines(text), lambda line, i: F.struct(i.alias("pos"), clean(line).alias("line")))
+    cells = F.transform(text, lambda line, i: F.struct(i.alias("pos"), _clean(line).alias("line")))
     repeats = cut(_by_doc(_repeated(laid.select("doc", "copy", F.inline(cells))), "repeats"), "line-repeats")
     marked = laid.join(repeats, "doc", "left").withColumn("repeats", F.coalesce(_of_copy("repeats"), F.array().cast("array<int>")))
-    first = F.transform(_kept_places(text, F.col("repeats")), lambda p: F.struct(p.alias("pos"), clean(F.get(_lines(text), p)).alias("line")))
+    first = F.transform(_kept_places(text, F.col("repeats")), lambda p: F.struct(p.alias("pos"), _clean(F.get(text, p)).alias("line")))
     firsts = marked.select("doc", "copy", F.inline(first)).where("line <> ''")
     nears = cut(_by_doc(_near(firsts, laid, threshold), "nears"), "line-nears")
     marked = marked.join(nears, "doc", "left").withColumn("nears", F.coalesce(_of_copy("nears"), F.array().cast("array<int>")))
@@ -147,11 +152,9 @@ def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def _kept_text():
-    text = F.col("row.text")
-    gone = F.concat("repeats", "nears")
-    lines = _lines(text)
-    kept = F.array_join(F.transform(_kept_places(text, gone), lambda p: F.get(lines, p)), "\n")
-    return F.when(F.size(gone) > 0, kept).otherwise(text)
+    lines = F.col("row.text")
+    kept = F.transform(_kept_places(lines, F.concat("repeats", "nears")), lambda p: F.get(lines, p))
+    return F.array_join(F.when(lines.isNotNull(), kept), "\n")
 
 
 def deduplicated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -167,6 +170,6 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_lines, n_repeated, n_near (lines that go) and text (what stays) per document."""
     rows = marked_lines(docs.select("doc_id", "text"), threshold)
     return rows.select(
-        "row.doc_id", F.when(F.col("row.text").isNull(), 0).otherwise(F.size(_lines(F.col("row.text")))).alias("n_lines"),
+        "row.doc_id", F.coalesce(F.size("row.text"), F.lit(0)).alias("n_lines"),
         F.size("repeats").alias("n_repeated"), F.size("nears").alias("n_near"), _kept_text().alias("text"),
     )

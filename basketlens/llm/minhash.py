@@ -5,8 +5,9 @@ split at ASCII white space after lower-casing A-Z. A document with fewer words t
 
 Documents with equal sets form one class, which its smallest id stands for. Classes that agree in a band meet in a
 bucket. There each class is first compared with the bucket's smallest id, which settles groups of copies without
-pairs among them. Only buckets that still hold several components compare the rest, block by block on signatures,
-and send on the pairs that pass. Every link is confirmed on whole shingle sets.
+pairs among them. Buckets that still hold several components compare the rest, block by block on signatures; what may
+be linked makes a family, and the blocks of a family confirm the links that join its components. Every link is
+confirmed on whole shingle sets.
 
 Defined cases: NULL and empty text, or text without words, has an empty set and no links; a row whose doc_id is
 NULL has no component and is kept; rows that share a doc_id are versions of one document: a link of one of them is
@@ -14,19 +15,18 @@ a link of that doc_id; other columns are ignored.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import cut
-from basketlens.llm.components import components
+from basketlens.llm.common import cut, sorted_runs
+from basketlens.llm.components import components, smallest_labels
 
 HASHES = 128
 BAND_ROWS = 4
-# Two sets with a similarity of 0.8 agree in 102 of 128 minima, give or take 4.5; six such steps are allowed.
-SLACK = 27
+# Two sets with a similarity of 0.8 agree in 102 of 128 minima, give or take 4.5; four such steps are allowed.
+SLACK = 18
 BLOCK = 1024
 MEMO_WORDS = 300_000
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -74,6 +74,12 @@ def minima(codes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype("<u4")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity, in whole numbers."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def signatures(docs: DataFrame, words: int, hashes: int = HASHES) -> DataFrame:
     """doc_id, n_shingles, set_key (digest of the set) and signature (binary); both NULL for an empty set."""
 
@@ -132,8 +138,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
                 if last is None or ta != last:
                     last, left = ta, shingler.codes(ta)
                 right = shingler.codes(tb)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if both and 100 * both >= percent * (len(left) + len(right) - both):
+                if similar(left, right, percent):
                     a.append(ida)
                     b.append(idb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -141,32 +146,79 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _across(members: DataFrame, floor: int, hashes: int) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures agree often enough, found block against block.
-
-    ``members``: bucket, band, id, component_id, signature. A pair is sent by the first band it agrees in."""
-    n_blocks = F.floor(F.count("*").over(Window.partitionBy("bucket")) / BLOCK) + 1
-    laid = members.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
-    # Block i meets block j in the cell (min, max); a row goes to every cell of its block.
+def _in_cells(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` dealt to cells (group, lo, hi) and sorted by them: a group's block lo meets its block hi."""
+    sizes = rows.groupBy(group).agg((F.floor(F.count("*") / BLOCK) + 1).alias("n_blocks"))
+    laid = rows.join(cut(sizes, "group-sizes"), group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
     cells = laid.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    cells = cells.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-
-    def run(pdf):
-        sig = np.frombuffer(b"".join(pdf["signature"]), "<u4").reshape(len(pdf), -1)
-        bands = sig.reshape(len(pdf), -1, BAND_ROWS)
-        ids, comp, block = pdf["id"].to_numpy(), pdf["component_id"].to_numpy(), pdf["block"].to_numpy()
-        lo, hi, band = pdf["lo"].iloc[0], pdf["hi"].iloc[0], int(pdf["band"].iloc[0])
-        out = []
-        right = np.flatnonzero(block == hi)
-        for i in np.flatnonzero(block == lo):
-            js = right[(comp[right] != comp[i]) & (ids[right] > ids[i] if lo == hi else True)]
-            js = js[(sig[js] == sig[i]).sum(axis=1) >= floor]
-            if len(js):
-                first = (bands[js] == bands[i]).all(axis=2).argmax(axis=1)
-                out.extend((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in js[first == band])
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return cells.groupBy("bucket", "band", "lo", "hi").applyInPandas(run, "a long, b long")
+    cells = cells.select(group, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component_id", "signature", *[c for c in rows.columns if c == "text"])
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(n, group, "lo", "hi").sortWithinPartitions(group, "lo", "hi")
+
+
+def _meetings(batches):
+    """(ids, components, signatures, left places, right places, same block, cell) per cell."""
+    for cell in sorted_runs(batches, 3):
+        lo, hi = cell.column(1)[0].as_py(), cell.column(2)[0].as_py()
+        block, ids, comp = (cell.column(i).to_numpy() for i in (3, 4, 5))
+        if len(ids) < 2:
+            continue
+        sig = np.frombuffer(b"".join(cell.column(6).to_pylist()), "<u4").reshape(len(ids), -1)
+        yield ids, comp, sig, np.flatnonzero(block == lo), np.flatnonzero(block == hi), lo == hi, cell
+
+
+def _likely(place, right, comp, sig, floor, same):
+    """The places of ``right`` that ``place`` agrees with often enough, in other components."""
+    js = right[right > place] if same else right
+    js = js[comp[js] != comp[place]]
+    return js[(sig[js] == sig[place]).sum(axis=1) >= floor]
+
+
+def _families(members: DataFrame, floor: int) -> DataFrame:
+    """(a, b) that connect what any pair of a bucket with likely signatures and different components connects: a row of a
+    cell sends one edge at most, so the edges do not grow with the pairs."""
+
+    def run(batches):
+        for ids, comp, sig, left, right, same, _ in _meetings(batches):
+            pairs = [(i, _likely(i, right, comp, sig, floor, same)) for i in left]
+            i = np.concatenate([np.full(len(js), i) for i, js in pairs] or [left[:0]])
+            j = np.concatenate([js for _, js in pairs] or [right[:0]])
+            labels = smallest_labels(ids.copy(), i, j)
+            at = labels != ids
+            if at.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at])], ["a", "b"])
+
+    return _in_cells(members, "bucket").mapInArrow(run, "a long, b long").distinct()
+
+
+def _across(members: DataFrame, words: int, percent: int, floor: int) -> DataFrame:
+    """Confirmed links (a, b) between components of a family. Only links that join two components of the cell are sent."""
+
+    def run(batches):
+        shingler = Shingler(words)
+        for ids, comp, sig, left, right, same, cell in _meetings(batches):
+            codes, root, out = {}, {}, []
+
+            def find(c):
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            def of(i):
+                if i not in codes:
+                    codes[i] = shingler.codes(cell.column(7)[int(i)].as_py())
+                return codes[i]
+
+            for i in left:
+                for j in _likely(i, right, comp, sig, floor, same):
+                    a, b = find(comp[i]), find(comp[j])
+                    if a != b and similar(of(i), of(j), percent):
+                        root[max(a, b)] = min(a, b)
+                        out.append((int(ids[i]), int(ids[j])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([y for _, y in out])], ["a", "b"])
+
+    return _in_cells(members, "family").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = HASHES) -> DataFrame:
@@ -189,10 +241,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes:
     labelled = cut(labelled, "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
     open_ = labelled.join(mixed.select("bucket"), "bucket").join(classes.select("id", "signature"), "id")
-    rest = cut(_across(open_, floor, hashes), "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_confirmed(rest, docs, words, percent))
-        found = cut(components(cut(links, "links")), "components")
+    family = cut(components(cut(_families(open_, floor), "families")), "families")
+    if not family.isEmpty():
+        texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(family.withColumnRenamed("component_id", "family"), "id")
+        parts = labelled.select("id", "component_id").distinct().join(texts, "id").join(classes.select("id", "signature"), "id")
+        found = cut(components(cut(links.unionByName(_across(parts, words, percent, floor)), "links")), "components")
 
     # A row takes the component of its set.
     names = classes.join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
