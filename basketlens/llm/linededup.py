@@ -88,6 +88,12 @@ def _kept_places(lines: Column, removed: Column) -> Column:
     return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(removed, F.array().cast("array<int>")))
 
 
+def letter_parity(line: Column) -> Column:
+    """64 bits: which letters, by code modulo 64, occur an odd number of times. An edit flips two of them at most."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda s, c: s.bitwiseXOR(bit(c)))
+
+
 def _clean(line: Column) -> Column:
     return F.trim(F.translate(line, _BLANKS, " " * len(_BLANKS)))
 
@@ -118,21 +124,21 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
     group = Window.partitionBy("key")
     rows = rows.withColumns({"n": F.count("*").over(group), "role0": F.min("role").over(group)}).where("n > 1 and role0 = 0")
     rows = cut(rows.select("key", "role", "doc", "copy", "pos"), "line-keys")
-    side = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("doc", "copy", "pos")]
-    a = rows.where("role = 0").select("key", *side("a"))
-    b = rows.select("key", "role", *side("b"))
-    before = F.struct("doc_a", "pos_a") < F.struct("doc_b", "pos_b")
-    pairs = a.join(b, "key").where(F.struct("doc_a", "pos_a") != F.struct("doc_b", "pos_b")).where((F.col("role") == 1) | before)
-    first, later = [F.struct(F.col(f"doc_{c}").alias("doc"), F.col(f"copy_{c}").alias("copy"), F.col(f"pos_{c}").alias("pos")) for c in "ab"]
-    pairs = pairs.select(F.when(before, first).otherwise(later).alias("x"), F.when(before, later).otherwise(first).alias("y")).distinct()
-    pairs = cut(pairs, "line-pairs")
-    wanted = _by_doc(pairs.select("x.*").unionByName(pairs.select("y.*")), "wanted")
+    # The texts come to the rows before the join, so that it makes near pairs only, not the pairs of a frequent segment.
+    wanted = _by_doc(rows.select("doc", "copy", "pos"), "wanted")
     own = F.transform(F.array_distinct(_of_copy("wanted")), lambda p: F.struct(p.alias("pos"), _clean(F.get(F.col("row.text"), p)).alias("line")))
-    texts = laid.join(wanted, "doc").select("doc", "copy", F.inline(own))
-    texts = cut(texts.select(F.struct("doc", "copy", "pos").alias("place"), "line"), "line-texts")
-    both = pairs.join(texts.select(F.col("place").alias("x"), F.col("line").alias("line_x")), "x")
-    both = both.join(texts.select(F.col("place").alias("y"), F.col("line").alias("line_y")), "y")
-    return both.where(within_edits(F.col("line_x"), F.col("line_y"), threshold)).select("y.*").distinct()
+    texts = laid.join(wanted, "doc").select("doc", "copy", F.inline(own)).select(F.struct("doc", "copy", "pos").alias("place"), "line")
+    texts = cut(texts.withColumn("sketch", letter_parity(F.col("line"))), "line-texts")
+    rows = cut(rows.select("key", "role", F.struct("doc", "copy", "pos").alias("place")).join(texts, "place"), "line-rows")
+    side = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("place", "line", "sketch")]
+    a = rows.where("role = 0").select(F.col("key").alias("key_a"), *side("a"))
+    b = rows.select(F.col("key").alias("key_b"), "role", *side("b"))
+    order = lambda c: F.struct(F.col(f"place_{c}.doc"), F.col(f"place_{c}.pos"))
+    earlier = order("a") < order("b")
+    near = (F.col("key_a") == F.col("key_b")) & (order("a") != order("b")) & ((F.col("role") == 1) | earlier)
+    near = near & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= 2 * threshold)
+    pairs = a.join(b, near & within_edits(F.col("line_a"), F.col("line_b"), threshold))
+    return pairs.select(F.when(earlier, F.col("place_b")).otherwise(F.col("place_a")).alias("y")).select("y.*").distinct()
 
 
 def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
