@@ -105,11 +105,11 @@ def shuffled_places(sized: DataFrame, targets: Sequence[tuple], key: Column) ->
     return placed.withColumn("start", F.col("before") + F.col("in_bucket")).drop("key", "bucket", "before", "in_bucket")
 
 
-def mix(docs: DataFrame, carry: Sequence[str] = (), weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS, seed: str = "mix"):
-    """(targets, rows). A row is a document: ``doc_id``, ``source``, the columns ``carry``, ``size``, ``src`` and
-    ``takes``, the words taken in each epoch; inside an epoch they are the document's first words."""
+def mix(docs: DataFrame, whole: bool = False, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS, seed: str = "mix"):
+    """(targets, rows). A row is a document: ``doc_id``, ``source``, ``size``, ``src``, with ``whole`` the
+    document itself as ``row``, and ``takes``, the words taken in each epoch; inside an epoch they are the document's first words."""
     spark = docs.sparkSession
-    carry = [c for c in carry if c not in ("doc_id", "source", "size", "src", "start", "takes")]
+    carry = [F.struct(*docs.columns).alias("row")] if whole else []
     sized = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
     if not carry:
         sized = cut(sized, "mix-sizes")  # the texts are parsed once for both passes
@@ -146,11 +146,12 @@ def mixed_words(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row per document and epoch that takes any of it. A
     document that the end of the mix cuts keeps its first words, joined by single spaces."""
-    _, rows = mix(docs, carry=docs.columns)
+    _, rows = mix(docs, whole=True)
     rows = rows.select("*", F.explode("takes").alias("take")).where("take > 0")
-    words = F.split(F.trim(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " ")), " ")
+    words = F.split(F.trim(F.regexp_replace("row.text", "[\\x20\\x09-\\x0D]+", " ")), " ")
     cut_text = F.array_join(F.slice(words, 1, F.col("take").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("take") < F.col("size"), cut_text).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("text", F.when(F.col("take") < F.col("size"), cut_text).otherwise(F.col("row.text")))
+    out = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in out:
+        out["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[v.alias(c) for c, v in out.items()])

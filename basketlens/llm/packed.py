@@ -12,6 +12,7 @@ Defined cases: NULL and empty text has the end id only; documents with NULL doc_
 documents of their own; an empty table gives no files; other columns are ignored.
 """
 
+import functools
 import struct
 import uuid
 import zlib
@@ -138,6 +139,12 @@ class ByteBpe:
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=1)
+def _byte_bpe(spec):
+    """One encoder per worker process: the vocabulary takes a second to load."""
+    return ByteBpe(spec)
+
+
 def _byte_chars():
     """The byte that each character of a byte-level vocabulary stands for."""
     from basketlens.llm.bpe import BYTE_CHARS
@@ -157,7 +164,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID
         spec = spark.sparkContext.broadcast(f.read())  # as large as the vocabulary
 
     def run(batches):
-        bpe, ids, rows, size, file = ByteBpe(spec.value), [], [], 0, 0
+        bpe, ids, rows, size, file = _byte_bpe(spec.value), [], [], 0, 0
         tail = struct.pack("<I", end_id)
         part = None
 

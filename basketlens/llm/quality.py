@@ -181,4 +181,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are predicted good."""
-    return score(docs, fit(docs, labels)).where("predicted = 1").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return score(rows, fit(docs, labels)).where("predicted = 1").select("row.*")

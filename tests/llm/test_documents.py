@@ -1,0 +1,297 @@
+"""The operators on documents against plain Python over small corpora."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tokenizers
+from pyspark.sql import functions as F
+
+from basketlens.llm import bpe, linededup, minhash, mixing, packed, quality, suffix
+from tests.llm.fixtures import by_id, documents, no_documents
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+ODD = ["Σίσυφος ΣΑΣ.", "don't DON'T 12³ a\x1cb\x85c\xa0d  e\t\nf", "<|endoftext|>x<|startoftext|> <|endoftext|>", "é İI ß", "x" * 3000 + " " + "ab" * 99, "a   b\n\nc \n d", "日本語 テスト 😀👍🏽", "\n", "  "]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    table = documents(spark).persist()
+    yield table
+    table.unpersist()
+
+
+@pytest.fixture(scope="module")
+def plain(docs):
+    return {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+# ---- 1 ----
+
+
+def edits(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1]
+
+
+def expected_lines(docs, threshold=2, shortest=20):
+    clean = lambda line: line.translate({ord(c): " " for c in " \t\x0b\x0c\r"}).strip(" ")
+    first = {}
+    for d in sorted(docs):
+        for i, line in enumerate((docs[d] or "").split("\n")):
+            if clean(line):
+                first.setdefault(clean(line), (d, i))
+    near = {k for k, p in first.items() if len(k) >= shortest and any(first[o] < p and abs(len(o) - len(k)) <= threshold and len(o) >= shortest and edits(o, k) <= threshold for o in first)}
+    out = {}
+    for d, t in docs.items():
+        kept, counts = [], collections.Counter()
+        for i, line in enumerate((t or "").split("\n")):
+            k = clean(line)
+            what = "repeated" if k and first[k] != (d, i) else "near" if k in near else "kept"
+            counts[what] += 1
+            if what == "kept":
+                kept.append(line)
+        out[d] = (counts["repeated"], counts["near"], None if t is None else "\n".join(kept))
+    return out, len(near)
+
+
+def test_lines_against_all_pairs(spark):
+    base = ["the quick brown fox jumps over it", "pack my box with five dozen jugs", "a line of é letters for the edit join"]
+    rows = [(i, "\n".join([base[i % 3], base[i % 3][:i] + "x" + base[i % 3][i + i % 3 :], "short", "", f"shor{i % 2}"])) for i in range(24)]
+    rows += [(30, None), (31, ""), (32, "  the quick brown fox jumps over it\r")]
+    want, near = expected_lines(dict(rows))
+    assert near > 5
+    got = by_id(linededup.line_report(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {d: (r["n_repeated"], r["n_near"], r["text"]) for d, r in got.items()} == want
+
+
+def test_bit_parallel_distance(spark):
+    words = ["", "a", "ab", "abc", "axc", "abcdefgh", "abdefghx", "xabcdefgh", "abcdefg", "éabcdefgh", "hgfedcba"]
+    pairs = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    for threshold in (1, 2, 3):
+        wrong = pairs.where(~linededup.within_edits(F.col("a"), F.col("b"), threshold).eqNullSafe(F.levenshtein("a", "b") <= threshold))
+        assert wrong.count() == 0
+
+
+def test_lines_keep_documents_and_columns(spark, docs):
+    got = linededup.deduplicated_lines(docs)
+    assert got.columns == docs.columns and got.count() == docs.count()
+    assert linededup.deduplicated_lines(no_documents(spark)).count() == 0
+    assert by_id(got)[5]["size"] == "big"
+
+
+# ---- 3 ----
+
+
+def test_marginals_are_exact():
+    import itertools
+
+    scores, stay, total, good = np.array([0.3, -1.2, 0.8, 2.0]), 0.6, 0.0, np.zeros(4)
+    for y in itertools.product([0, 1], repeat=4):
+        w = np.exp(sum(s * v for s, v in zip(scores, y)) + stay * sum(a == b for a, b in zip(y, y[1:])))
+        total, good = total + w, good + w * np.array(y)
+    assert np.allclose(good / total, quality.marginals(scores, stay))
+
+
+def test_field_learns_and_holds_out(spark):
+    clean, junk = "All is well in this line of words.\nAnd so it goes on here.", "buy | now | now | now |\n!!! !!! $$$ ***"
+    docs = spark.createDataFrame([(i, junk if i % 3 == 0 else clean, "x") for i in range(90)] + [(None, None, "x"), (91, "", "x")], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(90)] + [(1, None), (None, 1), (500, 0)], "doc_id long, quality int")
+    got = by_id(quality.quality_scores(docs, labels))
+    assert len(got) == 92
+    for i in range(90):
+        assert got[i]["predicted"] == int(i % 3 != 0), got[i]
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+    assert 0 <= got[91]["score"] <= 1 and not got[None]["held_out"]
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns and kept.where("score = 'x'").count() == kept.count() >= 60
+    assert {r["score"] for r in quality.quality_scores(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.quality_scores(docs.limit(0), labels).count() == 0
+
+
+# ---- 4 and 6 ----
+
+
+def test_word_bpe_equals_the_library(spark, docs, plain):
+    library = tokenizers.Tokenizer.from_file(WORD)
+    got = by_id(bpe.token_digests(docs, WORD))
+    for d, text in plain.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert got[d]["n_tokens"] == len(ids)
+        assert got[d]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[d]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+    assert bpe.token_digests(no_documents(spark), WORD).count() == 0
+
+
+def test_odd_texts_and_words_outside_the_lexicon():
+    library, model = tokenizers.Tokenizer.from_file(WORD), bpe.WordBpe(WORD)
+    encoder = bpe.Encoder(model, None)
+    for text in ODD:
+        assert np.frombuffer(encoder.text(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    library, model = tokenizers.Tokenizer.from_file(BYTE), packed.ByteBpe(open(BYTE, encoding="utf-8").read())
+    for text in ODD:
+        assert np.frombuffer(model.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_lexicon_shares_suffixes_and_finds_all(tmp_path):
+    words = sorted({a + b for a in ("", "un", "re", "x") for b in ("do", "doing", "play", "playing", "é")})
+    data = bpe.compile_lexicon(words, lambda w: [len(w), ord(w[0])])
+    (tmp_path / "lexicon").write_bytes(data)
+    lexicon = bpe.Lexicon(str(tmp_path / "lexicon"))
+    for w in words:
+        assert np.frombuffer(lexicon.find(w.encode()), "<u4").tolist() == [len(w), ord(w[0])]
+    assert [lexicon.find(w) for w in (b"", b"d", b"undoin", b"undoings", b"q")] == [None] * 5
+    assert len(lexicon.final) < sum(map(len, words)) / 2
+
+
+def test_packed_blocks_round_trip():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        ids = rng.integers(0, 2 ** int(rng.integers(1, 33)), int(rng.integers(1, 9000)), dtype=np.uint64).astype(np.uint32)
+        ids[rng.integers(0, len(ids))] = 2**32 - 1
+        data = packed.pack_file(ids)
+        file = packed.IdFile(lambda n, at, data=data: data[at : at + n])
+        a = int(rng.integers(0, len(ids)))
+        assert (file.ids(0, len(ids)) == ids).all() and (file.ids(a, len(ids) - a) == ids[a:]).all()
+
+
+def test_packed_documents(spark, docs, plain):
+    library = tokenizers.Tokenizer.from_file(BYTE)
+    rows = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    got, at = by_id(packed.packed_documents(rows, BYTE)), 0
+    for d in sorted(x for x in plain if x is not None):
+        ids = library.encode(plain[d] or "", add_special_tokens=False).ids + [2]
+        assert (got[d]["start"], got[d]["n_tokens"]) == (at, len(ids))
+        assert got[d]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+    assert packed.packed_documents(docs, BYTE).count() == docs.count()
+    assert packed.packed_documents(no_documents(spark), BYTE).count() == 0
+
+
+# ---- 7 ----
+
+
+def expected_groups(docs, words, percent=80):
+    sets = {}
+    for d, t in docs.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[d] = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()
+    ids = sorted(d for d in docs if d is not None)
+    low = {d: d for d in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= percent * len(sets[a] | sets[b]) and low[a] != low[b]:
+                    low[a] = low[b] = min(low[a], low[b])
+                    changed = True
+    return {d: (len(sets[d]), low.get(d), low.get(d) == d or d is None) for d in docs}
+
+
+@pytest.mark.parametrize("words", [4, 5])
+def test_near_duplicates_against_all_pairs(spark, docs, plain, words):
+    got = minhash.near_duplicates(docs, words)
+    assert got.count() == docs.count()
+    assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in by_id(got).items()} == expected_groups(plain, words)
+
+
+def test_chain_of_near_copies(spark):
+    """Copies whose edits add up: the ends are linked through the middle only, and not to the bucket's smallest id."""
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(16):
+        text = list(base)
+        for i in range(k):
+            text[7 * i] = f"new{i}"
+        rows.append((100 - k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 4)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == expected_groups(dict(rows), 4)
+    assert minhash.near_duplicates(docs.limit(0), 4).count() == 0
+    assert {r["doc_id"] for r in minhash.deduplicated(docs, 4).collect()} == {d for d, v in expected_groups(dict(rows), 4).items() if v[2]}
+
+
+# ---- 8 ----
+
+
+def expected_bytes(docs, length=100):
+    seen, out = set(), {}
+    for d in sorted(docs):
+        data = (docs[d] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - length + 1):
+            if data[p : p + length] in seen:
+                gone[p : p + length] = True
+            seen.add(data[p : p + length])
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out[d] = (len(data), int(gone.sum()), int((gone & ~np.append(False, gone[:-1])[: len(gone)]).sum()), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("run_rows", [20_000, 3])
+def test_repeated_bytes(spark, docs, plain, monkeypatch, run_rows):
+    """Also with a bound so small that anchors hand their strings to the further sort."""
+    monkeypatch.setattr(suffix, "RUN_ROWS", run_rows)
+    passage = "a passage that is shared by several documents, and long enough to be seen in each of them, éé, twice over."
+    rows = [(d, t) for d, t in plain.items() if d is not None]
+    rows += [(200 + i, f"{'z' * i}{passage[i % 3:]} end {i} {passage * (i % 3)}") for i in range(12)] + [(300, "ab" * 400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(suffix.repeat_report(table))
+    assert {d: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for d, r in got.items()} == expected_bytes(dict(rows))
+
+
+def test_repeated_bytes_of_odd_tables(spark, docs):
+    assert suffix.repeat_report(docs).count() == docs.count()
+    assert suffix.repeat_report(no_documents(spark)).count() == 0
+
+
+# ---- 9 ----
+
+
+def test_targets_are_filled_by_weight_and_capped():
+    assert mixing.fill_targets([100, 100, 100], [1, 1, 2]) == [75, 75, 150]
+    got = mixing.fill_targets([10, 1000, 1000], [5, 2, 1])
+    assert got[0] == 30 and sum(got) == pytest.approx(2010) and got[1] == pytest.approx(2 * got[2])
+    assert mixing.fill_targets([0, 5], [5, 1]) == [0, 5] and mixing.fill_targets([], []) == []
+
+
+def test_mix(spark, docs, plain):
+    rows = mixing.mixed_words(docs).collect()
+    again = mixing.mixed_words(docs.repartition(5)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again)) and len(rows) == docs.count()
+    taken = collections.Counter()
+    for r in rows:
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", plain[r["doc_id"]] or ""))
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["target"], r["source_size"]] += r["taken"]
+    assert len(taken) == 4
+    for (target, _), n in taken.items():
+        assert abs(n - target) <= 4 * mixing.BLOCK_WORDS
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r["size"] for r in mixed.collect()} <= {"big", "x"}
+    assert sum(len((r["text"] or "").split()) for r in mixed.collect()) == sum(taken.values())
+    assert mixing.mixed_words(no_documents(spark)).count() == 0 == mixing.mixed_documents(no_documents(spark)).count()
+
+
+def test_schedule_is_even_at_every_prefix(spark):
+    targets = [("a", 1, 5000, 5000.0), ("b", 1, 3000, 3000.0), (None, 1, 2000, 2000.0)]
+    slots = mixing.schedule(spark, targets, block_words=10, max_repeats=3).orderBy("slot").collect()
+    assert [r["slot"] for r in slots] == list(range(1000))
+    counts = collections.Counter()
+    for i, r in enumerate(slots, 1):
+        assert r["source_rank"] == counts[r["src"]]
+        counts[r["src"]] += 1
+        assert all(abs(counts[s] - i * share) < 6 for s, share in enumerate((0.5, 0.3, 0.2)))
