@@ -45,9 +45,8 @@ def staged_transactions(spark, path):
     """The transactions after the whole way: CSV files, typed scan, staged parquet, typed scan."""
     root = storage.scratch_path(spark, "staging")
     trans = adapter.transactions(spark, path).select(*TRANSACTIONS.fieldNames())
-    trans.write.option("header", True).csv(f"{root}/raw")
-    # Spark names the files it writes, so the name filter is the extension here.
-    staging.write_staged(staging.read_transactions(spark, f"{root}/raw", "*.csv"), f"{root}/trans-data")
+    trans.write.option("header", True).csv(f"{root}/raw/transactions")
+    staging.write_staged(staging.read_transactions(spark, f"{root}/raw"), f"{root}/trans-data")
     staged = staging.read_staged(spark, f"{root}/trans-data", TRANSACTIONS)
     return staged.withColumn("SPEND", F.round(F.col("SPEND").cast("double"), 2))
 
@@ -91,7 +90,7 @@ def schema_report(spark, path):
 @_query
 def head_records(spark, path):
     order = ["SHOP_DATE", "BASKET_ID", "PROD_CODE", "QUANTITY", "SPEND"]
-    return quality.head(adapter.transactions(spark, path), 10, order).select(*order)
+    return quality.head(adapter.transactions(spark, path), 10, order)
 
 
 @_query
@@ -131,8 +130,7 @@ def _as_text(column: str):
 
 @_query
 def sampled_customers(spark, path):
-    sample = customers.sample_customers(adapter.transactions(spark, path), 0.5)
-    return sample.select("CUST_CODE", "BASKET_ID", "PROD_CODE", "QUANTITY", "SPEND")
+    return customers.sample_customers(adapter.transactions(spark, path), 0.5)
 
 
 @_query

@@ -145,7 +145,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["head_records"] = (
         _with(TRANS)
-        + """select SHOP_DATE, BASKET_ID, PROD_CODE, QUANTITY, SPEND from trans
+        + """select * from trans
         order by SHOP_DATE, BASKET_ID, PROD_CODE, QUANTITY, SPEND limit 10"""
     )
     sql["duplicate_check"] = (
@@ -171,7 +171,7 @@ def oracle_sql() -> dict[str, str]:
 
     sql["sampled_customers"] = (
         _with(TRANS)
-        + """select CUST_CODE, BASKET_ID, PROD_CODE, QUANTITY, SPEND from trans
+        + """select * from trans
         where ('0x' || substr(md5('42:' || CUST_CODE), 1, 8))::bigint < 2147483648"""
     )
     sql["customer_index"] = _with(TRANS, KNOWN, CUSTOMER_INDEX) + "select CUST_CODE, cust_idx from customer_index"

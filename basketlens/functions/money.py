@@ -7,9 +7,11 @@ SCALE = 10_000
 
 
 def money_units(column) -> Column:
-    """Money as a whole number of 1/10000 units: exact to add, and a plain long in the aggregation buffer."""
+    """Money as a whole number of 1/10000 units: exact to add, and a plain long in the aggregation buffer.
+
+    An amount that is no such number, because it is NaN, infinite or beyond 9.2e14, counts as missing (NULL)."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.rint(column.cast("double") * F.lit(float(SCALE))).cast("bigint")
+    return F.rint(column.cast("double") * F.lit(float(SCALE))).try_cast("bigint")
 
 
 def exact_sum(column) -> Column:

@@ -23,8 +23,8 @@ def sample_customers(df: DataFrame, rate: float, seed: int = 42, key: str = CUST
     return df.where(hash32(seed, F.col(key)) < int(rate * HASH_RANGE))
 
 
-def customer_index(df: DataFrame, hex_digits: int = 3) -> DataFrame:
-    """(CUST_CODE, cust_idx): distinct identified customers numbered 0..n-1.
+def customer_index(df: DataFrame, hex_digits: int = 3, keep_anonymous: bool = False) -> DataFrame:
+    """(CUST_CODE, cust_idx): distinct customers numbered 0..n-1, the anonymous one first if it is kept.
 
     The order is (hash bucket, code). Bucket starts are a running sum over 16 ** hex_digits counts,
     few enough to broadcast, and each bucket ranks its own customers, so no task sees all of them.
@@ -32,7 +32,10 @@ def customer_index(df: DataFrame, hex_digits: int = 3) -> DataFrame:
     if not 1 <= hex_digits <= 5:
         raise ValueError("hex_digits must lie between 1 and 5")
     customers = (
-        identified(df).select(CUSTOMER).distinct().withColumn("bucket", hash_bucket(F.col(CUSTOMER), hex_digits))
+        identified(df, keep_anonymous)
+        .select(CUSTOMER)
+        .distinct()
+        .withColumn("bucket", F.coalesce(hash_bucket(F.col(CUSTOMER), hex_digits), F.lit("")))
     )
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -90,7 +90,9 @@ def segment_profiles(
         rows = rows.withColumn("var", F.concat(F.lit(HABIT_PREFIX), "var"))
         parts.append(rows.join(members, CUSTOMER))
     if traits:
-        rows = long_rows(identified(trans), [CUSTOMER], {v: F.col(v) for v in traits}).distinct()
+        # Lines merge on the map side before every trait makes a row of its own.
+        lines = identified(trans).select(CUSTOMER, *traits).distinct()
+        rows = long_rows(lines, [CUSTOMER], {v: F.col(v) for v in traits}).distinct()
         parts.append(rows.join(members, CUSTOMER))
     if not parts:
         raise ValueError("no variables to profile")

@@ -7,6 +7,10 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 from basketlens.functions import long_rows
 
 
+# Parts of a column whose values are ranked apart.
+SALTS = 64
+
+
 def head(df: DataFrame, n: int = 10, order_by=()) -> DataFrame:
     """The first ``n`` rows, in the given order if there is one."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)
@@ -83,20 +87,22 @@ def numeric_profile(df: DataFrame) -> DataFrame:
 def top_values(df: DataFrame, n: int = 20) -> DataFrame:
     """(column, value, n_rows, position): the ``n`` most frequent values of every string column.
 
-    NULL is a value; equal counts are ordered by value, NULL last. The planner keeps at most ``n``
-    rows per column of each task before it ranks them together, so a column of nearly unique codes
-    does not travel to one task.
+    NULL is a value; equal counts are ordered by value, NULL last. Values are ranked in ``SALTS`` parts of
+    their column first, and only ``n`` of each part are ranked together, so a column of nearly unique
+    codes does not travel to one task, whatever ``n`` and the session's settings are.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if not 0 < n <= limit:
-        raise ValueError(f"n must lie between 1 and {limit} (spark.sql.optimizer.windowGroupLimitThreshold)")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     counts = (
         long_rows(df, [], {c: F.col(c) for c in names})
         .groupBy(F.col("var").alias("column"), "value")
         .agg(F.count("*").alias("n_rows"))
     )
-    rank = Window.partitionBy("column").orderBy(F.desc("n_rows"), F.asc_nulls_last("value"))
+    order = [F.desc("n_rows"), F.asc_nulls_last("value")]
+    part = Window.partitionBy("column", F.pmod(F.hash("value"), F.lit(SALTS))).orderBy(*order)
+    counts = counts.withColumn("position", F.row_number().over(part)).where(F.col("position") <= n)
+    rank = Window.partitionBy("column").orderBy(*order)
     return counts.withColumn("position", F.row_number().over(rank)).where(F.col("position") <= n)
 
 

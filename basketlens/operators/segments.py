@@ -1,6 +1,5 @@
 """Customer segments: k-means over customer vectors, choice of k, scoring."""
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -15,8 +14,9 @@ from basketlens.schema import CUSTOMER, SEGMENT
 
 FEATURES = "features"
 
-# At a few hundred dimensions this keeps a cached partition below 100 MB.
-ROWS_PER_PARTITION = 20_000
+# Tasks of a fit. The random starts depend on it, so it is a parameter and does not follow the number of rows: give
+# as many as the cluster has cores for a large table.
+PARTITIONS = 16
 
 
 def assemble(vectors: DataFrame, column: str = "vector", key: str = CUSTOMER, keep=()) -> DataFrame:
@@ -28,11 +28,10 @@ def canonical(df: DataFrame, key: str = CUSTOMER, partitions: int | None = None)
     """The same rows in a layout that depends on the keys and the partition count only.
 
     A seed alone does not make k-means repeatable: its random starts depend on which rows share a
-    partition and in what order. The count follows from the number of rows unless it is given, so
-    the result does not depend on the session either.
+    partition and in what order. The count is ``PARTITIONS`` unless it is given, so the result depends
+    neither on the session nor on thresholds of the number of rows.
     """
-    partitions = partitions or math.ceil(max(df.count(), 1) / ROWS_PER_PARTITION)
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+    return df.repartition(partitions or PARTITIONS, key).sortWithinPartitions(key)
 
 
 def fit_segments(
@@ -95,7 +94,8 @@ def kmeans_sweep(
     def judge(k):
         model = KMeans(k=k, seed=seed, featuresCol=features).fit(sample)
         score = silhouette(model.transform(rows), features, model.getPredictionCol())
-        return k, float(score), float(model.summary.trainingCost)
+        # The partitions' sums meet in the order in which tasks end, which shows in the last digits only.
+        return k, round(float(score), 9), round(float(model.summary.trainingCost), 9)
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:

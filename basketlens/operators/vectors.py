@@ -30,11 +30,10 @@ cloudpickle.register_pickle_by_value(sgd)
 INIT_RANGE = 0.05
 WINDOW, DIM, EPOCHS, RATE, MOMENTUM, BATCH = 8, 300, 250, 0.01, 0.9, 32
 
-# Steps that a partition takes on its own between two averages: this many customers, BATCH at a time.
-CUSTOMERS_PER_PARTITION = 20_000
-
-# Shared parameters and their velocities go to every executor and once per epoch through the driver.
-SHARED_BYTES_LIMIT = 1 << 28
+# Copies of the shared layer that train side by side and are averaged after every epoch. The model depends on the
+# number, so it is a parameter and does not follow the number of customers. More copies use more cores; each of
+# them sees fewer customers, and the average moves less per epoch.
+PARTITIONS = 4
 
 _EPOCH_ROW = (
     f"kind string, {CUSTOMER} string, n_unknown int, prod_idxs array<int>, prod_idx int, "
@@ -223,22 +222,19 @@ def train_vectors(
     model, and every ``snapshot_period`` epochs (from the first on) the customer vectors, are written
     to the given path, in which ``{epoch}`` is replaced. Documents too short for a window keep their
     start vector. The result depends on seed and partition count, not on the layout of ``docs``; the
-    count follows from the number of customers unless it is given.
+    count is ``PARTITIONS`` unless it is given. The shared layer, of ``num_prods`` rows of ``dim`` numbers and
+    as many velocities, must fit the driver and every task. A last snapshot is written when training ends.
     """
     check_window(method, window)
     if epochs < 1:
         raise ValueError("epochs must be at least 1")
     spark = docs.sparkSession
-    copies = 2 * (2 if method == "dm" else 1)
-    if copies * num_prods * (dim + 1) * 4 > SHARED_BYTES_LIMIT:
-        raise ValueError("num_prods * dim is too large to be shared by broadcast; use a smaller vocabulary")
     run = scratch_path(spark, "vectors")
     write_table(docs.select(CUSTOMER, "n_unknown", "prod_idxs"), f"{run}/documents")
     docs = read_table(spark, f"{run}/documents")
-    customers = eligible(docs, window).count()
-    if not customers:
+    if eligible(docs, window).isEmpty():
         raise ValueError(f"no document has more than {window} products")
-    partitions = partitions or math.ceil(customers / CUSTOMERS_PER_PARTITION)
+    partitions = partitions or PARTITIONS
 
     # The state of a customer is its document, vector and velocity (at rest at first) in one row. With
     # the document at hand an epoch needs no join, only the shuffle that restores the layout.
@@ -287,6 +283,8 @@ def train_vectors(
             break
 
     model = result(trained)
+    if snapshot_path:
+        write_table(model.customer_vectors, snapshot_path.format(epoch=len(history)))
     if save_path:
         model.save(save_path.format(epoch=len(history)))
     return model

@@ -8,10 +8,6 @@ from basketlens.schema import CUSTOMER, PRODUCT
 
 UNKNOWN = 0
 
-# A vocabulary row is a code and two numbers; a million of them is what one task ranks and what a
-# broadcast may hold. Larger vocabularies are joined by a shuffle instead.
-BROADCAST_ROWS = 1_000_000
-
 
 def product_counts(df: DataFrame, keep_anonymous: bool = False) -> DataFrame:
     """(PROD_CODE, n_rows): transaction lines of each product."""
@@ -41,22 +37,19 @@ def vocabulary(df: DataFrame, num_prods: int, keep_anonymous: bool = False) -> D
 def indexed_products(df: DataFrame, vocab: DataFrame, num_prods: int, keep_anonymous: bool = False) -> DataFrame:
     """Distinct (CUST_CODE, PROD_CODE, prod_idx) rows; a product outside the vocabulary has index 0.
 
-    Repeated purchases are merged on the map side before anything is shuffled or joined. The
-    vocabulary is broadcast because ``num_prods`` bounds its rows; beyond the bound the optimizer
-    picks the join from measured sizes.
+    Repeated purchases are merged on the map side before anything is shuffled or joined. The size of
+    the vocabulary, as the optimizer measures it, decides whether it is broadcast.
     """
     pairs = identified(df, keep_anonymous).select(CUSTOMER, PRODUCT).distinct()
     lookup = vocab.select(PRODUCT, "prod_idx")
-    if num_prods <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup)
     known = F.coalesce("prod_idx", F.lit(UNKNOWN))
     index = F.when(F.col(PRODUCT).isNotNull(), known)
     return pairs.join(lookup, PRODUCT, "left").select(CUSTOMER, PRODUCT, index.alias("prod_idx"))
 
 
-def oov_summary(df: DataFrame, vocab: DataFrame, num_prods: int) -> DataFrame:
+def oov_summary(df: DataFrame, vocab: DataFrame, num_prods: int, keep_anonymous: bool = False) -> DataFrame:
     """One row (n_pairs, n_unknown): distinct customer and product pairs, and those outside the vocabulary."""
-    pairs = indexed_products(df, vocab, num_prods).where(F.col("prod_idx").isNotNull())
+    pairs = indexed_products(df, vocab, num_prods, keep_anonymous).where(F.col("prod_idx").isNotNull())
     return pairs.agg(
         F.count("*").alias("n_pairs"), F.count(F.when(F.col("prod_idx") == UNKNOWN, 1)).alias("n_unknown")
     )

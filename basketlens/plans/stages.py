@@ -20,6 +20,7 @@ class Settings:
 
     sample: bool = False
     sample_rate: float = 0.5
+    keep_anonymous: bool = False
     num_prods: int = 4000
     method: str = "dm"
     window: int = 8
@@ -67,13 +68,14 @@ def stage(spark: SparkSession, raw_path: str, layout: Layout) -> dict[str, dict[
 
 def prepare(spark: SparkSession, layout: Layout, settings: Settings) -> None:
     """Staged transactions to vocabulary, customer index and documents."""
-    trans = identified(staging.read_staged(spark, layout.transactions, TRANSACTIONS))
+    keep = settings.keep_anonymous
+    trans = identified(staging.read_staged(spark, layout.transactions, TRANSACTIONS), keep)
     if settings.sample:
         trans = sample_customers(trans, settings.sample_rate)
-    storage.write_table(vocabulary.vocabulary(trans, settings.num_prods), layout.vocabulary)
+    storage.write_table(vocabulary.vocabulary(trans, settings.num_prods, keep), layout.vocabulary)
     vocab = storage.read_table(spark, layout.vocabulary)
-    storage.write_table(customer_index(trans), layout.customers)
-    storage.write_table(documents.customer_documents(trans, vocab, settings.num_prods), layout.documents)
+    storage.write_table(customer_index(trans, keep_anonymous=keep), layout.customers)
+    storage.write_table(documents.customer_documents(trans, vocab, settings.num_prods, keep), layout.documents)
 
 
 def train(spark: SparkSession, layout: Layout, settings: Settings) -> vectors.VectorModel:

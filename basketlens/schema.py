@@ -28,7 +28,7 @@ PRODUCT = "PROD_CODE"
 BASKET = "BASKET_ID"
 SEGMENT = "CLUSTER_NUM"
 
-# Shopping habits: columns that describe a basket, so a customer has one value per basket.
+# Fixed values, the shopping habits: columns that describe a basket, so a customer has one value per basket.
 HABITS = (
     "BASKET_TYPE",
     "BASKET_SIZE",
@@ -40,20 +40,9 @@ HABITS = (
     "SHOP_HOUR",
 )
 
-# Traits: columns taken from the lines as they are, a customer may have many values of one.
-TRAITS = (
-    "CUST_PRICE_SENSITIVITY",
-    "CUST_LIFESTAGE",
-    "PROD_CODE",
-    "PROD_CODE_10",
-    "PROD_CODE_20",
-    "PROD_CODE_30",
-    "PROD_CODE_40",
-)
-
 HABIT_PREFIX = "DOM_CUST_"
 
-# The nine variables of the standard segment report.
+# Fixed values, the nine variables of the standard segment report.
 REPORT_VARIABLES = (
     "DOM_CUST_BASKET_DOMINANT_MISSION",
     "DOM_CUST_BASKET_SIZE",

@@ -1,5 +1,7 @@
 """Raw files in, staged tables out."""
 
+import fnmatch
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,13 +11,18 @@ from basketlens.schema import CALENDAR, TRANSACTIONS
 
 
 def read_transactions(spark: SparkSession, path: str, glob: str = "*transactions*") -> DataFrame:
-    """All transaction CSV files anywhere under ``path`` whose name matches ``glob``, as one scan.
+    """All transaction CSV files under ``path`` whose path below it, folders included, matches ``glob``, as one scan.
 
     The header line is skipped and columns bind by position; a cell that does not parse becomes NULL.
     No matching file gives an empty table of the same schema.
     """
-    options = {"header": True, "pathGlobFilter": glob, "recursiveFileLookup": True}
-    return _read_csv(spark, path, TRANSACTIONS, options)
+    files = _read_csv(spark, path, TRANSACTIONS, {"header": True, "recursiveFileLookup": True})
+    if not files.inputFiles():
+        return files
+    # The reader's own name filter sees file names only and would lose the files of a folder "transactions".
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rstrip("/")
+    below = F.element_at(F.split(F.col("_metadata.file_path"), "\\Q" + root + "\\E", 2), -1)
+    return files.where(below.rlike(fnmatch.translate(glob).replace("\\z", "$").replace("\\Z", "$")))
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Shared-folder tables: cut points of long jobs, artifacts and reports."""
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder given by ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only a local session may do without it: there a temporary
-    folder is shared by all tasks, on a cluster it would vanish with its machine.
+    Where the session does not name one, the warehouse is used, which all executors share as well. No setting is
+    changed. The folder is deleted when the driver ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="basketlens-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/scratch"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_discard, spark, path)
+    return path
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, unless the session has ended."""
+    context = spark.sparkContext
+    if context._jsc is not None:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -53,14 +53,19 @@ def test_vocabulary_and_documents(trade, num_prods):
         assert rows(vocabulary.oov_summary(table, vocab, num_prods)) == [(sum(map(len, want.values())), unknown)]
 
 
-def test_vocabulary_beyond_the_broadcast_bound(trade, monkeypatch):
+def test_no_broadcast_is_forced(trade):
     df, data = trade
-    vocab = vocabulary.vocabulary(df, 10)
-    small = documents.customer_documents(df, vocab, 10)
-    monkeypatch.setattr(vocabulary, "BROADCAST_ROWS", 5)
-    large = documents.customer_documents(df, vocab, 10)
-    assert "ResolvedHint (strategy=broadcast)" not in large._jdf.queryExecution().analyzed().toString()
-    assert whole(small) == whole(large)
+    docs = documents.customer_documents(df, vocabulary.vocabulary(df, 10), 10)
+    assert "ResolvedHint (strategy=broadcast)" not in docs._jdf.queryExecution().analyzed().toString()
+
+
+def test_anonymous_lines_on_request(spark):
+    df = purchases(spark, [("C", "B", "A"), (None, "B2", "A"), (None, "B3", "Z")])
+    vocab = vocabulary.vocabulary(df, 3, keep_anonymous=True)
+    assert rows(vocabulary.oov_summary(df, vocab, 3, keep_anonymous=True)) == [(3, 0)]
+    assert rows(vocabulary.oov_summary(df, vocab, 3)) == [(1, 0)]
+    assert rows(customers.customer_index(df, keep_anonymous=True), "cust_idx", "CUST_CODE") == [(0, None), (1, "C")]
+    assert rows(customers.customer_index(df)) == [("C", 0)]
 
 
 def test_placeholder_word_is_an_ordinary_product(spark):

@@ -225,3 +225,11 @@ def test_plans_have_no_cross_joins_and_no_single_task_over_lines(shop):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         # The only rows that meet in one task are the sizes of the segments.
         assert plan.count("SinglePartition") == (1 if "PERC_SEG" in table.columns else 0)
+
+
+def test_amounts_that_are_no_numbers_count_as_missing(spark):
+    spend = [1.5, float("nan"), float("inf"), 1e30, None, 2.25]
+    trans = lines(spark, [{"CUST_CODE": "C", "BASKET_ID": "B", "QUANTITY": 1, "SPEND": s} for s in spend])
+    scored = spark.createDataFrame([("C", 0)], "CUST_CODE string, CLUSTER_NUM int")
+    row = kpis.segment_kpis(trans, scored).first()
+    assert (row["TOT_SALES"], row["TOT_UNITS"]) == (3.75, 6)

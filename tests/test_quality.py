@@ -52,7 +52,20 @@ def test_top_values_ties_and_null(spark):
         got = [(r["value"], r["n_rows"]) for r in quality.top_values(table).orderBy("position").collect()]
         assert got == [(None, 3), ("c", 2), ("a", 1), ("b", 1)] + [(f"z{i:02}", 1) for i in range(16)]
     with pytest.raises(ValueError):
-        quality.top_values(df, 100_000)
+        quality.top_values(df, 0)
+
+
+@pytest.mark.parametrize("limit", ["1000", "-1"])
+def test_top_values_of_any_number_and_setting(spark, limit):
+    df = spark.range(6000).selectExpr("cast(id as string) s")
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        got = [r["value"] for r in quality.top_values(df, 5000).orderBy("position").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert got == sorted(str(i) for i in range(6000))[:5000]
 
 
 def test_top_values_are_limited_before_the_shuffle(spark):

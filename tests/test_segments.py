@@ -37,10 +37,10 @@ def test_labels_do_not_depend_on_the_layout(features, partitions):
         assert rows(segments.score_segments(other, segments.fit_segments(other, 6, partitions=partitions))) == first
 
 
-def test_partitions_follow_the_rows(features, monkeypatch):
-    assert segments.canonical(features).rdd.getNumPartitions() == 1
-    monkeypatch.setattr(segments, "ROWS_PER_PARTITION", 100)
-    assert segments.canonical(features).rdd.getNumPartitions() == 5
+def test_partitions_do_not_follow_the_rows(features):
+    for table in (features, features.limit(1)):
+        assert segments.canonical(table).rdd.getNumPartitions() == segments.PARTITIONS
+    assert segments.canonical(features, partitions=5).rdd.getNumPartitions() == 5
 
 
 def test_model_and_scores_are_saved(spark, features, tmp_path):

@@ -37,6 +37,15 @@ def test_reads_all_matching_files_by_position(spark, raw):
     ]
 
 
+def test_a_folder_may_carry_the_name(spark, tmp_path):
+    root = tmp_path / "transactions of a year"
+    (root / "transactions").mkdir(parents=True)
+    (root / "transactions" / "part-0.csv").write_text("\n".join([HEADER, line(200607, "P1")]))
+    (root / "part-0.csv").write_text("\n".join([HEADER, line(1, "NO")]))
+    assert rows(staging.read_transactions(spark, str(root)), "PROD_CODE") == [("P1",)]
+    assert rows(staging.read_transactions(spark, str(root), "*.csv"), "PROD_CODE") == [("NO",), ("P1",)]
+
+
 def test_reads_calendar(spark, raw):
     df = staging.read_calendar(spark, raw)
     assert df.schema == CALENDAR
