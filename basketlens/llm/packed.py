@@ -45,8 +45,8 @@ def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     place = min(len(rest) - 1, int(np.ceil(percentile * len(rest))) - 1)
     width = int(np.partition(rest, place)[place]).bit_length()
     at = np.flatnonzero(rest >> np.uint32(width) if width < 32 else np.zeros(0))
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    packed = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+    packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
     high = (rest[at] >> np.uint32(width)).astype("<u4")
     return struct.pack("<IIBI", low, len(ids), width, len(at)) + packed + at.astype("<u2").tobytes() + high.tobytes()
 
@@ -55,9 +55,9 @@ def unpack_block(data: bytes) -> np.ndarray:
     low, n, width, outliers = struct.unpack_from("<IIBI", data)
     size = (n * width + 7) // 8
     bits = np.unpackbits(np.frombuffer(data, np.uint8, size, 13), count=n * width, bitorder="little").reshape(n, width)
-    ids = np.zeros(n, np.uint32)
-    for b in range(width):
-        ids |= bits[:, b].astype(np.uint32) << np.uint32(b)
+    wide = np.zeros((n, 32), np.uint8)
+    wide[:, :width] = bits
+    ids = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
     if outliers:
         at = np.frombuffer(data, "<u2", outliers, 13 + size)
         ids[at] |= np.frombuffer(data, "<u4", outliers, 13 + size + 2 * outliers) << np.uint32(width)
