@@ -29,10 +29,14 @@ from basketlens.llm.common import extended, publish, shared_folder
 LEXICON_WORDS = 100_000
 MIN_COUNT = 2
 # Bounds of a worker's memory, not of the work: beyond them a memo starts anew, a counter sends what it has.
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 500_000
 COUNTER_ENTRIES = 400_000
 OUT_BYTES = 8 << 20
 
+_ID_BITS = 24
+_ID_MASK = (1 << _ID_BITS) - 1
+_NONE = 1 << 62
+
 # Fixed value: the byte alphabet of byte-level vocabularies. Printable bytes stand for themselves, the others
 # follow from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -51,12 +55,13 @@ class WordBpe:
         self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.inner = [vocab[BYTE_CHARS[b]] for b in range(256)]
         self.last = [vocab[BYTE_CHARS[b] + suffix] for b in range(256)]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])}
+        # A merge is one number: its rank in the upper bits, the new id in the lower ones.
+        self.merges = {(vocab[a], vocab[b]): rank << _ID_BITS | vocab[a + b] for rank, (a, b) in enumerate(spec["model"]["merges"])}
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a text without added tokens, normalised."""
         # One character is lowered at a time, so a sigma at a word's end is no special case.
-        text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        text = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return _compiled(self.pattern).findall(text)
 
     def merge(self, word: str) -> list[int]:
@@ -66,43 +71,36 @@ class WordBpe:
         return self._merge_long(ids) if len(ids) > 48 else self._merge_short(ids)
 
     def _merge_short(self, ids):
-        merges = self.merges
-        while len(ids) > 1:
-            found = [m for m in map(merges.get, zip(ids, ids[1:])) if m]
-            if not found:
-                break
-            best = min(found)
-            out, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and merges.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        get = self.merges.get
+        codes = [get(p, _NONE) for p in zip(ids, ids[1:])]
+        while codes and (best := min(codes)) < _NONE:
+            i = codes.index(best)
+            ids[i] = best & _ID_MASK
+            del ids[i + 1], codes[i]
+            if i:
+                codes[i - 1] = get((ids[i - 1], ids[i]), _NONE)
+            if i < len(codes):
+                codes[i] = get((ids[i], ids[i + 1]), _NONE)
         return ids
 
     def _merge_long(self, ids):
         """The same with a heap over a linked list: n log n for words of any length."""
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*self.merges[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        heap = [(self.merges[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
         heapify(heap)
         while heap:
-            _, i, new, a, b = heappop(heap)
+            code, i, a, b = heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = code & _ID_MASK, -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x in (before[i], i):
                 if x >= 0 and after[x] >= 0 and (p := (ids[x], ids[after[x]])) in self.merges:
-                    rank, made = self.merges[p]
-                    heappush(heap, (rank, x, made, *p))
+                    heappush(heap, (self.merges[p], x, *p))
         return [x for x in ids if x >= 0]
 
 
@@ -240,7 +238,7 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         found = self.lexicon.find(word.encode()) if self.lexicon else None
-        return np.array(self.model.merge(word), "<u4").tobytes() if found is None else found
+        return struct.pack(f"<{len(ids := self.model.merge(word))}I", *ids) if found is None else found
 
     def chunk(self, chunk: str) -> bytes:
         out = []
