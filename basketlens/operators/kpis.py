@@ -29,25 +29,43 @@ def segment_kpis(trans: DataFrame, scored: DataFrame, seg: str = SEGMENT, approx
     Lines are summed to one row per customer and basket before the join, so a customer or basket
     with very many lines is reduced on the map side and the join moves baskets, not lines. Both
     sides of the join come straight from a shuffle, the form in which the runtime can split the
-    partition of a customer who holds a large share of all baskets. A customer who is scored into
-    several segments counts in each.
+    partition of a customer who holds a large share of all baskets. Baskets are counted from one row
+    per segment and basket, customers from one row per segment and customer, so no row is multiplied
+    to count two things at once. A customer who is scored into several segments counts in each.
     """
     baskets = (
         identified(trans)
         .groupBy(CUSTOMER, BASKET)
         .agg(F.sum(money_units("SPEND")).alias("spend"), F.sum("QUANTITY").alias("units"))
     )
-    distinct = F.approx_count_distinct if approx else F.countDistinct
-    totals = (
-        baskets.join(scored.select(CUSTOMER, seg), CUSTOMER)
-        .groupBy(seg)
-        .agg(
+    scored = scored.select(CUSTOMER, seg)
+    joined = baskets.join(scored, CUSTOMER)
+    if approx:
+        totals = joined.groupBy(seg).agg(
             to_money(exact_sum("spend")).alias("TOT_SALES"),
             F.sum("units").alias("TOT_UNITS"),
-            distinct(BASKET).alias("TOT_BASKS"),
-            distinct(CUSTOMER).alias("TOT_CUSTS"),
+            F.approx_count_distinct(BASKET).alias("TOT_BASKS"),
+            F.approx_count_distinct(CUSTOMER).alias("TOT_CUSTS"),
+        )
+    else:
+        sales = (
+            joined.groupBy(seg, BASKET)
+            .agg(exact_sum("spend").alias("spend"), F.sum("units").alias("units"))
+            .groupBy(seg)
+            .agg(
+                to_money(F.sum("spend")).alias("TOT_SALES"),
+                F.sum("units").alias("TOT_UNITS"),
+                F.count(BASKET).alias("TOT_BASKS"),
+            )
+        )
+        shoppers = identified(trans).select(CUSTOMER).distinct().join(scored.distinct(), CUSTOMER)
+        customers = shoppers.groupBy(seg).agg(F.count("*").alias("TOT_CUSTS"))
+        # A row per segment of each; the maximum keeps the one that is there.
+        totals = (
+            sales.unionByName(customers, allowMissingColumns=True)
+            .groupBy(seg)
+            .agg(*[F.max(c).alias(c) for c in ("TOT_SALES", "TOT_UNITS", "TOT_BASKS", "TOT_CUSTS")])
         )
-    )
     ratios = {
         "SPEND_PER_BASK": ("TOT_SALES", "TOT_BASKS"),
         "UNITS_PER_BASK": ("TOT_UNITS", "TOT_BASKS"),

@@ -3,7 +3,9 @@
 A customer's vector is touched by that customer's examples only, so vectors live in a partitioned
 table and never leave the executors. What all customers share, the output layer and, for "dm", the
 product vectors, is bounded by the vocabulary. It is broadcast at the start of an epoch; every
-partition trains on its own copy, and the changes are averaged by the number of examples behind them.
+partition trains on its own copy, and the changes of all copies are added up, so an epoch moves the
+layer about as far as one copy that sees all examples would. They can be averaged instead, which moves
+less with every further copy but stays stable at high rates.
 """
 
 import math
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import sgd
 from basketlens.operators.documents import length
-from basketlens.operators.windows import check_window, eligible, epoch_sample
+from basketlens.operators.windows import check_window, eligible, epoch_windows
 from basketlens.schema import CUSTOMER
 from basketlens.sources.storage import read_table, scratch_path, write_table
 
@@ -30,9 +32,8 @@ cloudpickle.register_pickle_by_value(sgd)
 INIT_RANGE = 0.05
 WINDOW, DIM, EPOCHS, RATE, MOMENTUM, BATCH = 8, 300, 250, 0.01, 0.9, 32
 
-# Copies of the shared layer that train side by side and are averaged after every epoch. The model depends on the
-# number, so it is a parameter and does not follow the number of customers. More copies use more cores; each of
-# them sees fewer customers, and the average moves less per epoch.
+# Copies of the shared layer that train side by side between two combinations. The model depends on the number, so
+# it is a parameter and does not follow the number of customers. More copies use more cores.
 PARTITIONS = 4
 
 _EPOCH_ROW = (
@@ -46,13 +47,15 @@ class VectorModel:
     """A trained model as tables.
 
     customer_vectors (CUST_CODE, vector), product_vectors (prod_idx, vector; empty for dbow),
-    output_weights (prod_idx, vector, bias), history (epoch, loss, accuracy, n_examples).
+    output_weights (prod_idx, vector, bias), history (epoch, loss, accuracy, n_examples), and for training
+    on: velocities (kind, CUST_CODE, prod_idx, velocity), the bias last in those of kind "output".
     """
 
     customer_vectors: DataFrame
     product_vectors: DataFrame
     output_weights: DataFrame
     history: DataFrame
+    velocities: DataFrame
 
     def save(self, path: str) -> None:
         for name, table in vars(self).items():
@@ -84,7 +87,7 @@ def _start_shared(num_prods: int, dim: int, method: str, seed: int) -> dict:
     return {name: array.astype(np.float32) for name, array in shared.items()}
 
 
-def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: int):
+def _epoch_task(shared, method: str, window: int, rate: float, momentum: float, batch_size: int):
     """The function that trains on one partition: (example, state) rows of customers in, tagged rows out."""
 
     def rows(kind, n, **columns):
@@ -120,15 +123,16 @@ def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: i
         rule = sgd.Nesterov(np.float32(rate), np.float32(momentum))
         seen, loss, hits = 0, 0.0, 0.0
         for table in sgd.minibatches(batches, batch_size):
-            context = sgd.matrix(table["context"], np.int64)
-            if method == "dm":
-                inputs, targets = context, table["target"].to_numpy().astype(np.int64)[:, None]
-            else:
-                inputs, targets = None, context
+            contexts = sgd.matrix(table["contexts"], np.int64).reshape(table.num_rows, -1, window)
+            centres = sgd.matrix(table["targets"], np.int64) if method == "dm" else None
             vectors = sgd.matrix(table["vector"], np.float32)
             velocities = sgd.matrix(table["velocity"], np.float32)
-            batch_loss, batch_hits = sgd.train_batch(model, speed, rule, vectors, velocities, inputs, targets)
-            seen, loss, hits = seen + len(vectors), loss + float(batch_loss), hits + float(batch_hits)
+            # A step per window of the batch's customers.
+            for i in range(contexts.shape[1]):
+                context = contexts[:, i]
+                inputs, targets = (context, centres[:, i : i + 1]) if method == "dm" else (None, context)
+                batch_loss, batch_hits = sgd.train_batch(model, speed, rule, vectors, velocities, inputs, targets)
+                seen, loss, hits = seen + len(vectors), loss + float(batch_loss), hits + float(batch_hits)
             yield rows(
                 "customer",
                 len(vectors),
@@ -161,18 +165,21 @@ def _epoch_task(shared, method: str, rate: float, momentum: float, batch_size: i
     return run
 
 
-def _average(trained: DataFrame, shared: dict, speed: dict) -> tuple[float, float, int]:
-    """Add the example-weighted mean change of every shared row; return loss, accuracy and examples.
+def _combine(trained: DataFrame, shared: dict, speed: dict, combine: str) -> tuple[float, float, int]:
+    """Add the changes of all copies, or their example-weighted mean, to every shared row; return loss, accuracy and examples.
 
+    Velocities become the example-weighted mean of the copies. Where changes are added up, each copy carries an
+    equal part of it into the next epoch: what is left of earlier steps acts once, not once per copy.
     One job over the small part of the epoch table; at most two rows per product reach the driver.
     """
     sums = (
         trained.where(F.col("kind").isin("output", "product", "metric"))
         .groupBy("kind", "prod_idx")
         .agg(
-            Summarizer.sum(array_to_vector("vector"), F.col("weight")).alias("vector"),
+            Summarizer.sum(array_to_vector("vector"), F.lit(1.0) if combine == "sum" else F.col("weight")).alias("vector"),
             Summarizer.sum(array_to_vector("velocity"), F.col("weight")).alias("velocity"),
             *[F.sum(c).alias(c) for c in ("weight", "loss", "hits")],
+            F.count("*").alias("copies"),
         )
         .withColumns({c: vector_to_array(c) for c in ("vector", "velocity")})
         .toArrow()
@@ -188,13 +195,15 @@ def _average(trained: DataFrame, shared: dict, speed: dict) -> tuple[float, floa
         if not table.num_rows:
             continue
         index = table["prod_idx"].to_numpy()
-        for values, column in ((shared, "vector"), (speed, "velocity")):
-            change = (sgd.matrix(table[column], np.float64) / examples).astype(np.float32)
+        for values, column, share in ((shared, "vector", 1.0 if combine == "sum" else examples), (speed, "velocity", examples)):
+            change = (sgd.matrix(table[column], np.float64) / share).astype(np.float32)
             if kind == "product":
                 values["E"][index] += change
             else:
                 values["W"][index] += change[:, :-1]
                 values["b"][index] += change[:, -1]
+    for values in speed.values() if combine == "sum" else ():
+        values /= np.float32(metric["copies"])
     return metric["loss"] / examples, metric["hits"] / examples, int(examples)
 
 
@@ -215,8 +224,16 @@ def train_vectors(
     snapshot_period: int | None = None,
     seed: int = 1,
     partitions: int | None = None,
+    steps_per_epoch: int | None = None,
+    start: VectorModel | None = None,
+    combine: str = "sum",
 ) -> VectorModel:
-    """Train customer vectors on one window per customer and epoch.
+    """Train customer vectors on one window per customer and epoch, or on as many windows of every customer as
+    make at least ``steps_per_epoch`` mini-batches.
+
+    ``start`` is a model to train on: its vectors, velocities and history go on where they ended. Customers it does
+    not know begin anew. With ``combine="sum"`` the progress of an epoch does not fall with ``partitions``, but the rate
+    must suit that many batches at a time: where the loss rises, lower it or take ``combine="mean"``.
 
     Stops early after ``patience`` epochs without a lower loss. Every ``save_period`` epochs the
     model, and every ``snapshot_period`` epochs (from the first on) the customer vectors, are written
@@ -228,12 +245,16 @@ def train_vectors(
     check_window(method, window)
     if epochs < 1:
         raise ValueError("epochs must be at least 1")
+    if combine not in ("sum", "mean"):
+        raise ValueError("combine must be 'sum' or 'mean'")
     spark = docs.sparkSession
     run = scratch_path(spark, "vectors")
     write_table(docs.select(CUSTOMER, "n_unknown", "prod_idxs"), f"{run}/documents")
     docs = read_table(spark, f"{run}/documents")
-    if eligible(docs, window).isEmpty():
+    n_customers = eligible(docs, window).count()
+    if not n_customers:
         raise ValueError(f"no document has more than {window} products")
+    count = max(1, math.ceil((steps_per_epoch or 0) * batch_size / n_customers))
     partitions = partitions or PARTITIONS
 
     # The state of a customer is its document, vector and velocity (at rest at first) in one row. With
@@ -245,32 +266,45 @@ def train_vectors(
     shared = _start_shared(num_prods, dim, method, seed)
     speed = {name: np.zeros_like(array) for name, array in shared.items()}
     history = []
+    if start:
+        state = state.withColumnsRenamed({"vector": "_vector", "velocity": "_velocity"})
+        moving = start.velocities.where("kind = 'customer'").select(CUSTOMER, "velocity")
+        state = state.join(start.customer_vectors, CUSTOMER, "left").join(moving, CUSTOMER, "left")
+        state = state.withColumns({c: F.coalesce(c, f"_{c}") for c in ("vector", "velocity")})
+        _resume(start, shared, speed)
+        history = [tuple(r) for r in start.history.orderBy("epoch").select("epoch", "loss", "accuracy", "n_examples").collect()]
 
     def result(trained):
+        moving = trained.where("kind = 'customer'").select("kind", CUSTOMER, "prod_idx", "velocity")
+        for kind, layer in (("output", np.column_stack([speed["W"], speed["b"]])), ("product", speed.get("E"))):
+            rows = _matrix_table(spark, layer).withColumnRenamed("vector", "velocity")
+            moving = moving.unionByName(rows.withColumns({"kind": F.lit(kind), CUSTOMER: F.lit(None).cast("string")}))
         return VectorModel(
             customer_vectors=trained.where("kind = 'customer'").select(CUSTOMER, "vector").unionByName(short),
             product_vectors=_matrix_table(spark, shared.get("E")),
             output_weights=_matrix_table(spark, shared["W"], shared["b"]),
             history=spark.createDataFrame(history, "epoch int, loss double, accuracy double, n_examples bigint"),
+            velocities=moving,
         )
 
-    best, waited = math.inf, 0
-    for epoch in range(epochs):
+    best, waited = min((h[1] for h in history), default=math.inf), 0
+    first = history[-1][0] + 1 if history else 0
+    for epoch in range(first, first + epochs):
         # Two slots take turns, so the disk holds two states however many epochs run, and a lost
         # executor costs the tasks of the current epoch only.
         slot = f"{run}/state-{epoch % 2}"
         rows = (
-            epoch_sample(state, window, method, epoch, seed, keep=columns)
+            epoch_windows(state, window, method, epoch, seed, count, keep=columns)
             .repartition(partitions, CUSTOMER)
             .sortWithinPartitions(CUSTOMER)
         )
         broadcast = spark.sparkContext.broadcast((shared, speed))
-        task = _epoch_task(broadcast, method, rate, momentum, batch_size)
+        task = _epoch_task(broadcast, method, window, rate, momentum, batch_size)
         rows.mapInArrow(task, _EPOCH_ROW).write.partitionBy("kind").mode("overwrite").parquet(slot)
         broadcast.destroy()
 
         trained = spark.read.schema(_EPOCH_ROW).parquet(slot)
-        loss, accuracy, seen = _average(trained, shared, speed)
+        loss, accuracy, seen = _combine(trained, shared, speed, combine)
         history.append((epoch, loss, accuracy, seen))
         state = trained.where("kind = 'customer'").select(CUSTOMER, *columns)
 
@@ -290,6 +324,24 @@ def train_vectors(
     return model
 
 
+def _resume(model: VectorModel, shared: dict, speed: dict) -> None:
+    """Put the shared layer and its velocities of ``model``, bounded by the vocabulary, into the given arrays."""
+
+    def fill(values, name, df, column):
+        table = df.select("prod_idx", column).toArrow()
+        if name in values and table.num_rows:
+            found = table[column].combine_chunks()
+            values[name][table["prod_idx"].to_numpy()] = sgd.matrix(table[column], np.float32) if pa.types.is_list(found.type) else found.to_numpy()
+
+    fill(shared, "W", model.output_weights, "vector")
+    fill(shared, "b", model.output_weights, "bias")
+    fill(shared, "E", model.product_vectors, "vector")
+    fill(speed, "E", model.velocities.where("kind = 'product'"), "velocity")
+    table = model.velocities.where("kind = 'output'").select("prod_idx", "velocity").toArrow()
+    index, found = table["prod_idx"].to_numpy(), sgd.matrix(table["velocity"], np.float32)
+    speed["W"][index], speed["b"][index] = found[:, :-1], found[:, -1]
+
+
 def _matrix_table(spark: SparkSession, matrix, bias=None) -> DataFrame:
     """(prod_idx, vector[, bias]) from a driver matrix with a row per vocabulary entry."""
     matrix = np.zeros((0, 1), np.float32) if matrix is None else matrix

@@ -9,6 +9,9 @@ from basketlens.schema import CUSTOMER
 
 METHODS = ("dm", "dbow")
 
+# So many positions of a document are unfolded by one row; a longer document is dealt out in blocks.
+BLOCK = 1 << 16
+
 
 def check_window(method: str, window: int) -> None:
     if method not in METHODS:
@@ -40,12 +43,20 @@ def _ahead(position: Column, window: int) -> Column:
     return F.array(*[item(position + s) for s in range(window)])
 
 
+def _unfolded(docs: DataFrame, name: str, first: Column, last: Column) -> DataFrame:
+    """``docs`` with a row per position. Blocks of positions are shuffled as documents, before they are
+    unfolded, so a customer with millions of products is neither one array nor one task."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = docs.withColumn("_block", F.explode(F.sequence(first, last, F.lit(BLOCK)))).repartition(n, CUSTOMER, "_block")
+    end = F.least(F.col("_block") + (BLOCK - 1), last)
+    return blocks.withColumn(name, F.explode(F.sequence(F.col("_block"), end))).drop("_block")
+
+
 def dm_pairs(docs: DataFrame, window: int = 8) -> DataFrame:
     """(CUST_CODE, target_pos, context, target): every centre product with its neighbours on both sides."""
     check_window("dm", window)
     half = window // 2
-    positions = F.explode(F.sequence(F.lit(half), length() - half - 1))
-    rows = eligible(docs, window).withColumn("target_pos", positions)
+    rows = _unfolded(eligible(docs, window), "target_pos", F.lit(half), length() - half - 1)
     position = F.col("target_pos")
     return rows.select(
         CUSTOMER, "target_pos", _around(position, window).alias("context"), item(position).alias("target")
@@ -59,7 +70,7 @@ def dbow_pairs(docs: DataFrame, window: int = 8, include_last: bool = False) ->
     """
     check_window("dbow", window)
     last = length() - window - (0 if include_last else 1)
-    rows = eligible(docs, window).withColumn("start_pos", F.explode(F.sequence(F.lit(0), last)))
+    rows = _unfolded(eligible(docs, window), "start_pos", F.lit(0), last)
     return rows.select(CUSTOMER, "start_pos", _ahead(F.col("start_pos"), window).alias("context"))
 
 
@@ -80,3 +91,22 @@ def epoch_sample(
     else:
         context, target = _ahead(position, window), F.lit(None).cast("int")
     return rows.select(CUSTOMER, "pos", context.alias("context"), target.alias("target"), *keep)
+
+
+def epoch_windows(docs: DataFrame, window: int, method: str, epoch: int, seed: int, count: int, keep=()) -> DataFrame:
+    """``count`` examples per eligible customer in one row: (CUST_CODE, contexts, targets, kept columns).
+
+    They are the examples that ``epoch_sample`` draws in epochs ``epoch * count`` and following. ``contexts`` holds
+    them one after another; ``targets`` has one product each and is NULL for dbow.
+    """
+    check_window(method, window)
+
+    def place(i):
+        draw = hash32(seed, (i + epoch * count).cast("string"), F.col(CUSTOMER)) % (length() - window).cast("bigint")
+        return (draw + _first(method, window)).cast("int")
+
+    rows = eligible(docs, window).withColumn("_places", F.transform(F.sequence(F.lit(0), F.lit(count - 1)), place))
+    around = _around if method == "dm" else _ahead
+    contexts = F.flatten(F.transform("_places", lambda p: around(p, window)))
+    targets = F.transform("_places", item) if method == "dm" else F.lit(None).cast("array<int>")
+    return rows.select(CUSTOMER, contexts.alias("contexts"), targets.alias("targets"), *keep)

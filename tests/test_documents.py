@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.operators import customers, documents, vocabulary, windows
 from tests.helpers import lines, purchases, rows, scattered
@@ -181,3 +182,23 @@ def test_anonymous_lines_are_kept_on_request(spark):
     df = lines(spark, [{"CUST_CODE": None, "PROD_CODE": "A"}, {"CUST_CODE": "C", "PROD_CODE": "A"}])
     assert rows(vocabulary.vocabulary(df, 2)) == [("A", 1, 1)]
     assert rows(vocabulary.vocabulary(df, 2, keep_anonymous=True)) == [("A", 1, 2)]
+
+
+@pytest.mark.parametrize("unfold, column", [(windows.dm_pairs, "target_pos"), (windows.dbow_pairs, "start_pos")])
+def test_windows_of_a_very_long_document_are_spread(spark, unfold, column):
+    docs = spark.createDataFrame([("HOT", 1_000_000, [1, 2]), ("C", 3, [4, 5, 6])], "CUST_CODE string, n_unknown int, prod_idxs array<int>")
+    pairs = unfold(docs, 4).withColumn("task", F.spark_partition_id())
+    got = pairs.groupBy("CUST_CODE").agg(F.count("*").alias("n"), F.countDistinct("task").alias("tasks"), F.min(column).alias("low"), F.max(column).alias("high")).collect()
+    found = {r["CUST_CODE"]: r for r in got}
+    assert found["HOT"]["n"] == found["HOT"]["high"] - found["HOT"]["low"] + 1 == 1_000_002 - 4
+    assert found["C"]["n"] == 2 and found["HOT"]["tasks"] > 1
+
+
+def test_windows_of_one_pass_are_those_of_the_epochs(spark):
+    docs = spark.createDataFrame([("A", 2, [1, 2, 3, 4, 7, 9]), ("B", 0, [1, 2, 3, 5, 8])], "CUST_CODE string, n_unknown int, prod_idxs array<int>")
+    for method in windows.METHODS:
+        got = {r["CUST_CODE"]: r for r in windows.epoch_windows(docs, 4, method, 2, 1, 3).collect()}
+        for i in range(3):
+            for r in windows.epoch_sample(docs, 4, method, 6 + i, 1).collect():
+                assert got[r["CUST_CODE"]]["contexts"][4 * i : 4 * i + 4] == r["context"]
+                assert r["target"] is None or got[r["CUST_CODE"]]["targets"][i] == r["target"]

@@ -138,6 +138,13 @@ def test_customer_in_two_segments(spark, shop):
     assert rows(twice) == rows(profiles.segment_profiles(df, scored, ["PROD_CODE_40"]))
 
 
+def test_kpis_multiply_no_rows(spark):
+    trans = spark.createDataFrame([("C", "B", 1.0, 1)], "CUST_CODE string, BASKET_ID string, SPEND double, QUANTITY int")
+    scored = spark.createDataFrame([("C", 1)], "CUST_CODE string, CLUSTER_NUM int")
+    plan = kpis.segment_kpis(trans, scored)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Aggregate" in plan
+
+
 def test_join_of_a_hot_customer_is_split(spark):
     """Without broadcast, the runtime splits the partition of a customer with most of the baskets."""
     conf = {
