@@ -125,6 +125,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words; 0 for NULL. The white space is squeezed out of the way, so no array is built."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.regexp_count(plain, F.lit("[^ ]+")).cast("long")
+    """Number of words; 0 for NULL. No array is built; the possessive form gives nothing back, which makes it cheaper."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(NOT_SPACE + "+")).cast("long")
