@@ -13,6 +13,9 @@ repeated rows have the same places and do not remove each other's lines; other c
 documents stay, even without lines.
 """
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,7 +98,9 @@ def letter_parity(line: Column) -> Column:
 
 
 def _clean(line: Column) -> Column:
-    return F.trim(F.translate(line, _BLANKS, " " * len(_BLANKS)))
+    # Few lines hold other blanks than spaces; translating is slow and left to them.
+    odd = functools.reduce(operator.or_, [F.contains(line, F.lit(b)) for b in _BLANKS if b != " "])
+    return F.trim(F.when(odd, F.translate(line, _BLANKS, " " * len(_BLANKS))).otherwise(line))
 
 
 def _by_doc(places: DataFrame, name: str) -> DataFrame:
