@@ -1,8 +1,11 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products, one representative per group.
 
-The centroids are fitted on a bounded sample; every vector is then assigned to its ``CELLS`` nearest cells, so that a
-pair at a border still meets in one. A pair counts in the first cell that both share. Cells are cut into blocks, and
-block meets block, so neither a large cell nor a large group is one task. Copies of a vector are one row with a count.
+The centroids are fitted on a bounded sample; every vector belongs to its nearest cell, and cells are cut into blocks,
+which are files of the shared folder with the largest angle between their vectors and their centroid. By the triangle
+inequality a vector has links in a block only if its angle to the block's centroid is at most that angle plus the one of
+the threshold. Block meets block where that may hold and only the vectors that may have links are compared, so no link is
+lost, and neither a large cell nor a large group is one task. Where vectors are spread evenly the angles exclude little, and
+about half of all products are computed. Copies of a vector are one row with a count.
 From each meeting come the number of links per vector and the edges of its groups, never the pairs.
 
 Defined cases: vectors that are NULL, zero, of an odd length, or hold NULL or non-finite components link with
@@ -10,7 +13,9 @@ nothing and are kept; repeated rows (same vec_id and vector) count once and have
 NULL link with nothing; an empty table gives no rows; other columns, labels included, are ignored.
 """
 
+import io
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -18,17 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import cut
+from basketlens.llm.common import cut, discard, publish, shared_folder, store
 from basketlens.llm.components import components, smallest_labels
 from basketlens.llm.vectors import dimension, matrix, usable
 
 THRESHOLD = 0.9
-CELLS = 4
 # k grows with the root of the number of vectors, up to this many: the centroids are sent to every task.
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 16
 ROUNDS = 8
 BLOCK = 2048
+# A unit of work is a block with so many others.
+MEETINGS = 64
+# Angles are rounded; this much more of them is compared.
+SLACK = 1e-6
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 1) -> np.ndarray:
@@ -49,8 +57,44 @@ def _unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
+def _angles(x, centroid):
+    return np.arccos(np.clip(x @ centroid, -1, 1))
+
+
+def _load(uri):
+    fs, path = store(uri)
+    with fs.open_input_file(path) as f:
+        data = io.BytesIO(f.read())
+    return [np.load(data) for _ in range(3)]
+
+
+def meet(mine, other, threshold: float):
+    """Ids, links and labels of the linked vectors of two blocks, each (ids, copies, unit rows); ``other`` may be None
+    for a block that meets itself. Id and label are an edge."""
+    ids, copies, x = mine
+    ids_, copies_, y = other or mine
+    shift, every = (len(ids), np.concatenate([ids, ids_])) if other else (0, ids)
+    links, edges = np.zeros(len(every), np.int64), []
+    for start in range(0, len(ids), 256):
+        i, j = np.nonzero(x[start : start + 256] @ y.T >= threshold)
+        i += start
+        if not other:
+            i, j = i[i < j], j[i < j]
+        if not len(i):
+            continue
+        np.add.at(links, i, copies_[j])
+        np.add.at(links, j + shift, copies[i])
+        # Of a slice's pairs go on as many as connect the same places.
+        low = smallest_labels(np.arange(len(every)), i, j + shift)
+        edges.append(np.stack([np.flatnonzero(low != np.arange(len(low))), low[low != np.arange(len(low))]]))
+    at = np.flatnonzero(links)
+    label = smallest_labels(every, *np.hstack(edges)) if edges else every
+    return every[at], links[at], label[at]
+
+
+def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``vectors``."""
+    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias("x"))
     dim = dimension(rows.where(usable(F.col("x"))), "x")
     good = usable(F.col("x")) & (F.size("x") == dim) & F.col("vec_id").isNotNull()
@@ -65,8 +109,8 @@ def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float
     k = min(MAX_CENTROIDS, max(1, math.ceil(math.sqrt(n))))
     sample = classes.orderBy(F.xxhash64("id")).limit(SAMPLE_PER_CENTROID * k).select("x").toArrow()
     centroids = spherical_kmeans(_unit(matrix(sample.column(0).combine_chunks(), dim)), k) if n else np.zeros((1, max(dim, 1)))
-    shared = vectors.sparkSession.sparkContext.broadcast(centroids)
-    take = min(cells, k)
+    centroids /= np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-300)
+    shared = spark.sparkContext.broadcast(centroids)
 
     def assign(batches):
         c = shared.value
@@ -74,45 +118,61 @@ def near_groups(vectors: DataFrame, vector: str = "embedding", threshold: float
             if not batch.num_rows:
                 continue
             x = _unit(matrix(batch.column(2), dim))
-            near = np.concatenate([np.argpartition(-(x[i : i + 1024] @ c.T), take - 1, axis=1)[:, :take] for i in range(0, len(x), 1024)])
-            near = np.sort(near, axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(near), pa.list_(pa.int32()))], ["id", "copies", "x", "cells"])
+            near = np.concatenate([np.argmax(x[i : i + 1024] @ c.T, axis=1) for i in range(0, len(x), 1024)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32))], ["id", "copies", "x", "cell"])
 
-    placed = cut(classes.mapInArrow(assign, "id long, copies long, x array<double>, cells array<int>"), "emb-cells")
-    placed = placed.withColumn("cell", F.explode("cells"))
+    placed = cut(classes.mapInArrow(assign, "id long, copies long, x array<double>, cell int"), "emb-cells")
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"))  # one row per centroid
     laid = placed.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
-    meets = laid.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    meets = meets.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-
-    def compare(pdf):
-        cell, lo, hi = int(pdf["cell"].iloc[0]), pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        ids, copies, block = pdf["id"].to_numpy(), pdf["copies"].to_numpy(), pdf["block"].to_numpy()
-        x, own = _unit(matrix(pdf["x"], dim)), np.stack(pdf["cells"].to_numpy())
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        links, label, linked = np.zeros(len(ids), np.int64), ids.copy(), np.zeros(len(ids), bool)
-        for start in range(0, len(left), 256):
-            a = left[start : start + 256]
-            i, j = np.nonzero(x[a] @ x[right].T >= threshold)
-            i, j = a[i], right[j]
-            if lo == hi:
-                i, j = i[i < j], j[i < j]
-            if not len(i):
-                continue
-            # The first shared cell is where a pair counts.
-            first = np.full(len(i), np.iinfo(np.int32).max)
-            for c in range(own.shape[1]):
-                both = (own[j] == own[i, c, None]).any(axis=1)
-                first = np.where(both, np.minimum(first, own[i, c]), first)
-            i, j = i[first == cell], j[first == cell]
-            np.add.at(links, i, copies[j])
-            np.add.at(links, j, copies[i])
-            linked[i] = linked[j] = True
-            label = np.minimum(label, smallest_labels(label, i, j)) if len(i) else label
-        at = np.flatnonzero(linked)
-        return pd.DataFrame({"id": ids[at], "n": links[at], "label": label[at]})
-
-    found = cut(meets.groupBy("cell", "lo", "hi").applyInPandas(compare, "id long, n long, label long"), "emb-links")
+    folder = shared_folder(spark, "emb-blocks")
+
+    def write(pdf):
+        x, cell = _unit(matrix(pdf["x"], dim)), int(pdf["cell"].iloc[0])
+        data = io.BytesIO()
+        for values in (pdf["id"].to_numpy(), pdf["copies"].to_numpy(), x):
+            np.save(data, values)
+        path = publish(folder, f"{uuid.uuid4().hex}.npy", data.getvalue())
+        return pd.DataFrame({"path": [path], "cell": [cell], "radius": [_angles(x, shared.value[cell]).max()]})
+
+    # One row per block.
+    blocks = cut(laid.groupBy("cell", "block").applyInPandas(write, "path string, cell int, radius double"), "emb-index").orderBy("path").collect()
+    listed = spark.sparkContext.broadcast([tuple(b) for b in blocks])
+    m, reach = len(blocks), math.acos(threshold) + SLACK
+    # Block a meets the blocks that come after it in a ring, half of the ring and itself: every pair of blocks once.
+    parts = max(1, math.ceil((m // 2 + 1) / MEETINGS))
+
+    def compare(batches):
+        c, known = shared.value, listed.value
+
+        def within(one, cell, radius):
+            return tuple(v[_angles(one[2], c[cell]) <= radius + reach] for v in one)
+
+        for batch in batches:
+            for unit in batch.column(0).to_pylist():
+                a, part = divmod(unit, parts)
+                path, cell, radius = known[a]
+                mine = _load(path)
+                for step in range(part * MEETINGS, min((part + 1) * MEETINGS, m // 2 + 1)):
+                    if step and 2 * step == m and a >= step:
+                        continue
+                    path_, cell_, radius_ = known[(a + step) % m]
+                    if not step:
+                        pair = mine, None
+                    elif math.acos(max(-1.0, min(1.0, float(c[cell] @ c[cell_])))) > radius + radius_ + reach:
+                        continue
+                    else:
+                        pair = within(mine, cell_, radius_), within(_load(path_), cell, radius)
+                        if not len(pair[0][0]) or not len(pair[1][0]):
+                            continue
+                    found = meet(*pair, threshold)
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], ["id", "n", "label"])
+
+    units = spark.range(0, m * parts, 1, max(1, min(m * parts, 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))))
+    found = units.mapInArrow(compare, "id long, n long, label long")
+    # Rows of a vector from several meetings: links are added up, each different label is an edge.
+    found = cut(found.groupBy("id", "label").agg(F.sum("n").alias("n")), "emb-links")
+    discard(spark, folder)
     groups = components(found.select(F.col("id").alias("a"), F.col("label").alias("b")))
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     named = counted.join(links, "id", "left").join(groups, "id", "left")

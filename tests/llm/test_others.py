@@ -7,6 +7,8 @@ import io
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,37 @@ def test_embedding_groups(spark, monkeypatch):
     assert embdedup.near_groups(table.limit(0)).count() == 0
 
 
+def test_links_of_a_large_near_group_are_whole(spark, tmp_path):
+    """A third of the rows lies in one near group of different vectors, which k-means spreads over many cells."""
+    rng = np.random.default_rng(5)
+    n, dim, hot = 30_000, 64, 10_000
+    x = rng.normal(size=(n, dim))
+    x[:hot] = rng.normal(size=dim) + rng.normal(size=(hot, dim)) * 0.29
+    x = x.astype(np.float32).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    assert 5_000 * hot < want.sum() < hot * hot
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": list(x.astype(np.float32))}), tmp_path / "x.parquet")
+    got = embdedup.near_groups(spark.read.parquet(str(tmp_path / "x.parquet")).repartition(8)).orderBy("vec_id").toPandas()
+    assert (got["n_links"].to_numpy() == want).all()
+    assert (got["component_id"].to_numpy()[:hot][want[:hot] > 0] == 0).all()
+
+
+def test_a_chain_over_slices_is_one_group():
+    """Links of one block that are found in different slices of rows."""
+    angle = np.zeros(600)
+    angle[[0, 300, 500]] = 0.0, 0.4, 0.8
+    x = np.zeros((600, 602))
+    x[np.arange(600), np.arange(600) + 2] = 1.0
+    for i in (0, 300, 500):
+        x[i] = 0
+        x[i, :2] = np.cos(angle[i]), np.sin(angle[i])
+    ids = np.arange(600) + 10
+    ids[[0, 300, 500]] = 5, 7, 3
+    found = {i: (n, label) for i, n, label in zip(*(v.tolist() for v in embdedup.meet((ids, np.ones(600, np.int64), x), None, 0.9)))}
+    assert found == {5: (1, 3), 7: (2, 3), 3: (1, 3)}
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (9, 9), (20, 21), (21, 22), (22, 20), (None, 3), (7, None)] + [(100 + i, 101 + i) for i in range(40)] + [(1000, 2000 + i) for i in range(30)]
     got = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
