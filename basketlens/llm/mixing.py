@@ -1,8 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 A slot of the mix takes one block of words. Slot i looks up the fractional part of (i + 1) times the golden ratio
-in the cumulative target shares, which names its source; the slots of a source are ranked, and rank r takes
-block r mod (number of blocks) of the source's shuffled documents. Blocks hold equal numbers of words.
+in the cumulative shares, which names its source; the slots of a source are ranked, and rank r takes
+block r mod (number of blocks) of the source's shuffled documents. The blocks of a source hold equal numbers of words, save
+the last; a source of few words has shorter ones. Its target in blocks, rounded, is its number of slots, one at least:
+slots that the points give beyond it go to the sources that they leave short.
 
 Defined cases: a NULL text has size 0; NULL is a source of its own, sorted last; documents of size 0 take nothing;
 an empty table gives an empty mix; repeated rows are documents of their own.
@@ -19,6 +21,8 @@ from basketlens.llm.common import cut, word_count
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 128
+# A source has so many blocks at least, as far as it has words.
+MIN_BLOCKS = 32
 # About so many documents are ordered together in a bucket of the shuffle.
 BUCKET_DOCS = 2048
 # So many slots are ranked together.
@@ -55,33 +59,62 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_rep
     return [(r["source"], r["n_docs"], r["source_size"], t) for r, t in zip(rows, targets)]
 
 
-def schedule(spark, targets: Sequence[tuple], block_words: int = BLOCK_WORDS, max_repeats: float = MAX_REPEATS) -> DataFrame:
-    """(slot, src, source_rank, epoch, block): the order of the mix. ``src`` is the place in ``targets``.
+def block_lengths(targets: Sequence[tuple], block_words: int = BLOCK_WORDS) -> list[int]:
+    """Words of a block per source."""
+    return [max(1, min(block_words, math.ceil(t[2] / MIN_BLOCKS))) for t in targets]
 
-    Ranks are counted inside chunks of slots, then the chunks' counts are added up: no task ranks a whole source.
-    """
-    total = math.fsum(t[3] for t in targets)
-    n_slots = math.ceil(total / block_words)
-    bounds, reached = [], 0.0
-    for t in targets:
-        reached += t[3]
-        bounds.append(reached / total if total else 0.0)
-    last = max((i for i, t in enumerate(targets) if t[3] > 0), default=0)
-    point = F.expr(f"((slot + 1D) * {GOLDEN!r}D) - floor((slot + 1D) * {GOLDEN!r}D)")
-    src = F.lit(last)
-    for i in reversed(range(last)):
-        src = F.when(F.col("point") < bounds[i], i).otherwise(src)
-    slots = spark.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point)
-    slots = slots.select("slot", src.cast("int").alias("src"), F.floor(F.col("slot") / CHUNK_SLOTS).alias("chunk"))
+
+def slot_counts(targets: Sequence[tuple], lengths: Sequence[int], max_repeats: int = MAX_REPEATS) -> list[int]:
+    """Slots per source: whole passes over its blocks, then the blocks of the words that are left of its target."""
+    out = []
+    for (_, _, size, target), length in zip(targets, lengths):
+        blocks = math.ceil(size / length)
+        passes = math.floor(target / size) if size else 0
+        slots = passes * blocks + min(blocks, round((target - passes * size) / length))
+        out.append(min(max_repeats * blocks, max(slots, 1)) if target > 0 else 0)
+    return out
+
+
+def _ranked(slots: DataFrame) -> DataFrame:
+    """``source_rank`` for (slot, src). Ranks are counted inside chunks of slots, then the chunks' counts are added up:
+    no task ranks a whole source."""
+    slots = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK_SLOTS))
     within = Window.partitionBy("chunk", "src").orderBy("slot")
     counts = slots.groupBy("src", "chunk").agg(F.count("*").alias("n"))
     before = counts.select("src", "chunk", (F.sum("n").over(Window.partitionBy("src").orderBy("chunk")) - F.col("n")).alias("before"))
     ranked = slots.withColumn("in_chunk", F.row_number().over(within) - 1).join(before, ["src", "chunk"])
-    blocks = F.element_at(F.array(*[F.lit(math.ceil(t[2] / block_words)).cast("long") for t in targets]), F.col("src") + 1)
-    ranked = ranked.select("slot", "src", (F.col("before") + F.col("in_chunk")).alias("source_rank"), blocks.alias("n_blocks"))
-    ranked = ranked.where(F.col("n_blocks") > 0).withColumn("epoch", F.floor(F.col("source_rank") / F.col("n_blocks")))
-    # The points miss a share by a few slots; none may go beyond the last repeat.
-    return ranked.where(F.col("epoch") < max_repeats).select("slot", "src", "source_rank", "epoch", (F.col("source_rank") % F.col("n_blocks")).alias("block"))
+    return ranked.select("slot", "src", (F.col("before") + F.col("in_chunk")).alias("source_rank"))
+
+
+def schedule(spark, targets: Sequence[tuple], block_words: int = BLOCK_WORDS, max_repeats: float = MAX_REPEATS) -> DataFrame:
+    """(slot, src, source_rank, epoch, block): the order of the mix. ``src`` is the place in ``targets``."""
+    lengths = block_lengths(targets, block_words)
+    wanted = slot_counts(targets, lengths, max_repeats)
+    n_slots = sum(wanted)
+    bounds, reached = [], 0
+    for n in wanted:
+        reached += n
+        bounds.append(reached / n_slots if n_slots else 0.0)
+    last = max((i for i, n in enumerate(wanted) if n), default=0)
+    point = F.expr(f"((slot + 1D) * {GOLDEN!r}D) - floor((slot + 1D) * {GOLDEN!r}D)")
+    src = F.lit(last)
+    for i in reversed(range(last)):
+        src = F.when(F.col("point") < bounds[i], i).otherwise(src)
+    slots = spark.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point).select("slot", src.cast("int").alias("src"))
+    # The points miss a share by a few slots. A source's last ones beyond its number are numbered, and go to those that lack some.
+    given = {r["src"]: r["count"] for r in slots.groupBy("src").count().collect()}
+    extra = [max(0, given.get(i, 0) - n) for i, n in enumerate(wanted)]
+    lacking = [i for i, n in enumerate(wanted) for _ in range(n - given.get(i, 0))]
+    by_src = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("src") + 1)
+    if lacking:
+        over = F.col("source_rank") - by_src(wanted)
+        number = over + by_src([sum(extra[:i]) for i in range(len(extra))])
+        moved = F.get(F.array(*[F.lit(i) for i in lacking]), number.cast("int"))
+        slots = cut(_ranked(slots).select("slot", F.when(over >= 0, moved).otherwise(F.col("src")).alias("src")), "mix-slots")
+    blocks = by_src([math.ceil(t[2] / n) for t, n in zip(targets, lengths)])
+    ranked = _ranked(slots).withColumn("n_blocks", blocks)
+    ranked = ranked.withColumn("epoch", F.floor(F.col("source_rank") / F.col("n_blocks")))
+    return ranked.select("slot", "src", "source_rank", "epoch", (F.col("source_rank") % F.col("n_blocks")).alias("block"))
 
 
 def shuffled_places(sized: DataFrame, targets: Sequence[tuple], key: Column) -> DataFrame:
@@ -121,10 +154,11 @@ def mix(docs: DataFrame, whole: bool = False, weights: Sequence[float] = WEIGHTS
     placed = cut(shuffled_places(sized, targets, key).drop("text_key"), "mix-places")
     # (src, start) names a document that has words; the others take nothing.
     lasting = placed.where("size > 0").select("src", "start", "size")
-    first, end = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
+    words = F.element_at(F.array(*[F.lit(n).cast("long") for n in block_lengths(targets, block_words)]), F.col("src") + 1)
+    first, end = F.floor(F.col("start") / words), F.floor((F.col("start") + F.col("size") - 1) / words)
     cells = lasting.withColumn("block", F.explode(F.sequence(first, end)))
     times = schedule(spark, targets, block_words, max_repeats).groupBy("src", "block").agg(F.count("*").alias("times"))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
+    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * words) - F.greatest(F.col("start"), F.col("block") * words)
     sums = [F.sum(F.when(F.col("times") > e, F.col("overlap")).otherwise(0)).alias(f"e{e}") for e in range(max_repeats)]
     takes = cells.withColumn("overlap", overlap).join(times, ["src", "block"]).groupBy("src", "start").agg(*sums)
     takes = takes.select("src", "start", F.array(*[f"e{e}" for e in range(max_repeats)]).alias("takes"), F.lit(True).alias("lasting"))

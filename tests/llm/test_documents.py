@@ -286,6 +286,24 @@ def test_mix(spark, docs, plain):
     assert mixing.mixed_words(no_documents(spark)).count() == 0 == mixing.mixed_documents(no_documents(spark)).count()
 
 
+def test_small_sources_reach_their_targets(spark):
+    """Beside large sources, also those of less than a block."""
+    sizes = {"a": 60_000, "b": 20, "c": 60, "d": 30_000, "e": 130, "f": 140, "g": 1, "h": 5_000}
+    rows = [(i, f"{name} " * n, name) for name, total in sizes.items() for i, n in enumerate([total // 3, total - total // 3])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed_words(table).groupBy("source_size").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert sorted(r["source_size"] for r in got) == sorted(sizes.values())
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= max(1, 0.03 * r["target"])
+        assert r["taken"] <= 3 * r["source_size"]
+
+
+def test_every_source_with_a_target_has_a_slot(spark):
+    targets = [("a", 1, 10_000_000, 10_000_000.0), ("b", 1, 1, 1.0), ("c", 1, 40, 0.2), ("d", 0, 0, 0.0)]
+    counts = collections.Counter(r["src"] for r in mixing.schedule(spark, targets).collect())
+    assert counts == {0: 78_125, 1: 1, 2: 1}
+
+
 def test_schedule_is_even_at_every_prefix(spark):
     targets = [("a", 1, 5000, 5000.0), ("b", 1, 3000, 3000.0), (None, 1, 2000, 2000.0)]
     slots = mixing.schedule(spark, targets, block_words=10, max_repeats=3).orderBy("slot").collect()
