@@ -5,7 +5,8 @@ inflates such a file once, as a stream, writes every record as a gzip member of
 each record's offset and length. Records are then read in any order and by any number of tasks.
 
 Every task writes files of bounded size under new names, so an attempt that is repeated leaves no half file, and only
-the files that the successful attempts report are used.
+the files that the successful attempts report are used. A task deletes nothing: the monolithic files go when the index
+of all their records is written.
 
 Defined cases: NULL html is an empty payload; a row whose page_id is NULL is written with an empty page id and
 comes last among equal payloads; repeated rows are records of their own, and refer to the first page id; NULL
@@ -163,7 +164,6 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                 name = uuid.uuid4().hex
                 target = publish(folder, f"{name}.warc.gz", b"".join(members))
                 publish(folder, f"{name}.idx", "".join(f"{o} {n}\n" for o, n in offsets).encode())
-                fs.delete_file(path)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([target] * len(offsets), pa.string()), pa.array([o for o, _ in offsets], pa.int64()), pa.array([n for _, n in offsets], pa.int64())],
                     ["path", "offset", "length"],

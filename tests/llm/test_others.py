@@ -42,6 +42,15 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_normalising_leaves_its_input(spark):
+    """A repeated attempt finds every file again; archive() deletes them once the index is written."""
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(20)], "page_id long, url string, html string")
+    files = warc.write_monolithic(warc.decided(pages), warc.shared_folder(spark, "warc-raw"), file_bytes=2000)
+    both = [warc.normalise(files, warc.shared_folder(spark, "warc")) for _ in range(2)]
+    first, again = (sorted(tuple(r) for r in warc.read_records(index).drop("content").collect()) for index in both)
+    assert first == again and [r[0] for r in first] == list(range(20))
+
+
 def test_streams_of_any_cut():
     records = [warc.record(i, "http://x", b"y" * n) for i, n in enumerate((0, 10, 3_000_000))]
     whole = gzip.compress(b"".join(records[:2])) + gzip.compress(records[2])
