@@ -4,7 +4,7 @@ Every line is labelled good or bad from its own features, those of the lines bef
 next to it. A document's score is the mean of the lines' forward-backward marginals, weighted by line length.
 
 The field is fitted on the driver from a bounded sample of labelled documents: at most ``SAMPLE_DOCS``, those with the
-smallest hashes, without documents of more than ``SAMPLE_LINES`` lines. Scoring covers every line of every text.
+smallest hashes; of a longer document, ``SAMPLE_LINES`` lines in a row teach the field. Scoring covers every line of every text.
 
 Defined cases: NULL and empty text is one empty line; labels that are NULL or of unknown documents are ignored,
 repeated labels of a document are averaged; with no labels, or no documents for them, every score is 0.5; repeated
@@ -123,6 +123,13 @@ def fit_field(features: list[np.ndarray], labels: list[int], rounds: int = 120,
     return theta[:-1], float(theta[-1])
 
 
+def sampled_lines(text: str | None) -> np.ndarray:
+    """Features of the lines that teach the field: all of a document, or of a long one ``SAMPLE_LINES`` in a row."""
+    x, _ = line_features(text)
+    start = zlib.crc32((text or "").encode()) % max(1, len(x) - SAMPLE_LINES + 1)
+    return x[start : start + SAMPLE_LINES]
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether labels of the document are kept from the fit."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -136,12 +143,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS):
 
     def run(batches):
         for batch in batches:
-            rows = [(zlib.compress(line_features(t)[0].tobytes(), 1), g) for t, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            rows = [(zlib.compress(sampled_lines(t).tobytes(), 1), g) for t, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32())], ["x", "good"])
 
     # The sample is bounded, and so is what is broadcast and collected.
-    short = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) < SAMPLE_LINES
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(short).select("text", "good").mapInArrow(run, "x binary, good int").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "good").mapInArrow(run, "x binary, good int").collect()
     if not rows:
         return None
     width = 2 * len(_EDGES) + 3

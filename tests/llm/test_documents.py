@@ -93,6 +93,16 @@ def test_lines_keep_documents_and_columns(spark, docs):
 # ---- 3 ----
 
 
+def test_long_documents_teach_the_field(spark):
+    """Where every labelled document has more lines than are sampled of one."""
+    clean, junk = "All is well in this line of words.\nAnd so it goes on here.\n", "buy | now | now | now |\n!!! !!! $$$ ***\n"
+    docs = spark.createDataFrame([(i, (junk if i % 3 == 0 else clean) * (150 + i)) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(30)], "doc_id long, quality int")
+    got = by_id(quality.quality_scores(docs, labels))
+    assert [got[i]["predicted"] for i in range(30)] == [int(i % 3 != 0) for i in range(30)]
+    assert len(quality.sampled_lines("a\n" * 500)) == quality.SAMPLE_LINES and len(quality.sampled_lines("a\nb")) == 2 and len(quality.sampled_lines(None)) == 1
+
+
 def test_marginals_are_exact():
     import itertools
 
