@@ -4,6 +4,7 @@ A vector x is extended by sqrt(R^2 - |x|^2), R being the largest length, and a q
 product belongs to the smallest distance. Every table hashes with ``HASHES`` Gaussian projections, shifted and cut
 into steps of ``WIDTH``. A query visits, in each table, the ``PROBES`` buckets with the best estimated success: a step to
 the next slot of a projection costs the squared distance to its border. The candidates' exact products are ranked.
+A query that finds fewer rows than are asked for, and than there are, is compared with all rows.
 
 Buckets with more rows than ``BLOCK`` are worked on in blocks, as are their queries, so a frequent vector is no hot group.
 
@@ -122,6 +123,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vector: str = "embed
 
     keys = ["t", "bucket", "c", "p"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rank, "query_id long, vec_id long, score double")
+    found = cut(found.dropDuplicates(["query_id", "vec_id"]), "ann-found")
+    n = rows.select("vec_id").distinct().count()
+    enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, n))
+    short = cut(asked.join(enough, "query_id", "left_anti"), "ann-short")
+    n_short = short.count()
+    if n and n_short:
+        # Block meets block, as in a large bucket.
+        blocks = lambda c, m: F.pmod(F.xxhash64(c), F.lit(math.ceil(m / BLOCK)).cast("long"))
+        every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(math.ceil(m / BLOCK) - 1).cast("long")))
+        left = rows.select(blocks("vec_id", n).alias("c"), every(n_short).alias("p"), "vec_id", "x")
+        right = short.select(every(n).alias("c"), blocks("query_id", n_short).alias("p"), "query_id", "q")
+        rest = left.groupBy("c", "p").cogroup(right.groupBy("c", "p")).applyInPandas(rank, "query_id long, vec_id long, score double")
+        found = found.unionByName(rest)
     # At most k rows a query and block visited; the window drops all but k.
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

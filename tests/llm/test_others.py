@@ -90,6 +90,16 @@ def test_nearest(spark):
     assert sorted(r["vec_id"] for r in ann.nearest(table.where("vec_id < 4"), table.where("vec_id = 1"), 20).collect()) in ([0, 2, 3], [0, 2], [2, 3], [0, 3])
 
 
+def test_all_candidates_where_there_are_few(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 4)  # several blocks
+    x, table = vectors(spark)
+    for n in (4, 10, 21):
+        got = ann.nearest(table.where(f"vec_id < {n}"), table.where(f"vec_id < {n}"), 20).collect()
+        for q in range(n):
+            order = sorted((i for i in range(n) if i != q), key=lambda i: (-reduce(lambda s, p: s + p[0] * p[1], zip(x[q].tolist(), x[i].tolist()), 0.0), i))[:20]
+            assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == order
+
+
 def test_recall_on_the_given_table(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     x = np.array([r["embedding"] for r in table.orderBy("vec_id").collect()], np.float64)
