@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from basketlens.llm import ann, bpe, embdedup, linededup, minhash, mixing, packed, quality, suffix, warc
+from basketlens.llm import ann, bpe, decontam, embdedup, infill, linededup, minhash, mixing, packed, quality, runs, suffix, warc
 from basketlens.llm.common import table
 
 
@@ -47,9 +47,71 @@ def op10_embedding_groups(spark, sf_dir):
     return embdedup.near_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_word_runs(spark, sf_dir):
+    return runs.run_report(runs.with_cycles(table(spark, sf_dir, "documents")))
+
+
+def op12_infill(spark, sf_dir):
+    return infill.infill_report(table(spark, sf_dir, "documents"))
+
+
+def op13_decontamination(spark, sf_dir):
+    return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
+OP12_SQL = """
+with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n, sha256('1:' || cast(doc_id as varchar)) as h from documents),
+draws as (
+  select doc_id, text, n,
+    cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+    cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4
+  from d),
+cuts as (
+  select doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from draws),
+parts as (
+  select *, substring(text, 1, a) as prefix, substring(text, a + 1, b - a) as middle, substring(text, b + 1, n - b) as suffix
+  from cuts)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then cast(a as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(b - a as bigint) end as middle_chars,
+  sha256(case form when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle else text end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
+# Every place of every document against every window, by the words themselves; rows are told apart by their place.
+OP13_SQL = r"""
+with d as (
+  select row_number() over () as k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w
+  from documents),
+i as (
+  select cast(item_id as varchar) as item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w
+  from benchmark),
+placed as (select item_id, w, least(len(w), 10) as n, unnest(range(1, len(w) - least(len(w), 10) + 2)) as p from i where len(w) > 0),
+windows as (select distinct item_id, n, array_to_string(w[p:p + n - 1], ' ') as words from placed),
+sizes as (select distinct n from windows),
+places as (select k, w, n, unnest(range(1, len(w) - n + 2)) as p from d cross join sizes where len(w) >= n),
+hits as (
+  select distinct places.k, places.p, places.n, windows.item_id
+  from places join windows on windows.n = places.n and windows.words = array_to_string(places.w[places.p:places.p + places.n - 1], ' ')),
+covered as (select k, count(distinct x) as n_hit from (select k, unnest(range(p, p + n)) as x from hits) group by k),
+found as (select k, list_sort(list(distinct item_id)) as ids from hits where item_id is not null group by k)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(len(ids), 0) as bigint) as n_items, sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (k) left join found using (k)
+"""
+
+
 def oracle_sql():
-    return {}
+    return {"op12_infill": OP12_SQL, "op13_decontamination": OP13_SQL}
