@@ -268,6 +268,27 @@ def _embeddings(spark: SparkSession, path: str) -> DataFrame:
     return table.select(F.col("vec_id").cast("string").alias("CUST_CODE"), F.col("embedding").alias("vector"), "label")
 
 
+STEP = {"window": WINDOW, "dim": 8, "rate": 10.0}
+
+
+def _first_step(spark: SparkSession, path: str, method: str) -> DataFrame:
+    rows = vectors.first_step(_documents(spark, path), NUM_PRODS, method, **STEP)
+    # A row per number: a number at the edge of two rounded ones would otherwise spoil its row's text.
+    numbers = rows.where("layer <> 'loss'").select("layer", "CUST_CODE", "prod_idx", F.posexplode("vector").alias("place", "value"))
+    loss = rows.where("layer = 'loss'").select("layer", "CUST_CODE", "prod_idx", F.lit(0).alias("place"), F.col("loss").alias("value"))
+    return _rounded(numbers.unionByName(loss), 5, "value")
+
+
+@_query
+def training_step_dm(spark, path):
+    return _first_step(spark, path, "dm")
+
+
+@_query
+def training_step_dbow(spark, path):
+    return _first_step(spark, path, "dbow")
+
+
 @_query
 def customer_vectors_dbow(spark, path):
     return _trained(spark, path, "dbow").customer_vectors
@@ -294,6 +315,18 @@ def silhouette_given_labels(spark, path):
     return spark.createDataFrame([(round(value, 8),)], "silhouette double")
 
 
+@_query
+def silhouette_by_segment(spark, path):
+    scores = segments.silhouette_by_segment(_embeddings(spark, path), "label")
+    return _rounded(scores.withColumnRenamed("CLUSTER_NUM", "label"), 8, "silhouette")
+
+
+@_query
+def nearest_centroid_score(spark, path):
+    rows = _embeddings(spark, path)
+    return segments.nearest_centroid(rows, segments.centroids(rows, "label"))
+
+
 @_query
 def kmeans_segments(spark, path):
     features = segments.assemble(_embeddings(spark, path))

@@ -1,6 +1,6 @@
 """Customers: who is identified, who is sampled, and their dense index."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions import HASH_RANGE, hash32, hash_bucket
@@ -18,9 +18,14 @@ def sample_customers(df: DataFrame, rate: float, seed: int = 42, key: str = CUST
     A customer is in or out by a hash of the seed and the code, so there is no distinct, no join and
     no dependence on the layout, and two tables sampled with one seed hold the same customers.
     """
+    return df.where(in_sample(rate, seed, key))
+
+
+def in_sample(rate: float, seed: int = 42, key: str = CUSTOMER) -> Column:
+    """Whether a customer is in the sample; NULL for anonymous lines."""
     if not 0 <= rate <= 1:
         raise ValueError("rate must lie between 0 and 1")
-    return df.where(hash32(seed, F.col(key)) < int(rate * HASH_RANGE))
+    return hash32(seed, F.col(key)) < int(rate * HASH_RANGE)
 
 
 def customer_index(df: DataFrame, hex_digits: int = 3, keep_anonymous: bool = False) -> DataFrame:

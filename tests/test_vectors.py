@@ -1,4 +1,4 @@
-"""The trainer: gradients, equality with one plain sequential run, averaging, and the training loop."""
+"""The trainer: gradients, equality with one plain sequential run, rounds of blocks, combined copies, and the loop."""
 
 import math
 import pathlib
@@ -6,8 +6,9 @@ import pathlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from basketlens.operators import sgd, vectors, windows
+from basketlens.operators import rotation, sgd, vectors, windows
 from tests.helpers import rows, scattered
 
 WINDOW, PRODS, DIM = 4, 12, 6
@@ -112,7 +113,7 @@ def plain_run(docs, method, epochs, seed=1, batch_size=32):
             context = np.array([r["context"] for r in part])
             inputs, targets = (context, np.array([[r["target"]] for r in part])) if method == "dm" else (None, context)
             a, b = np.stack([v[c] for c in names]), np.stack([velocity[c] for c in names])
-            loss, _ = sgd.train_batch(shared, speed, rule, a, b, inputs, targets)
+            loss, _ = sgd.train_batch(shared, speed, rule, a, b, inputs, targets, batch_size)
             v.update(zip(names, a))
             velocity.update(zip(names, b))
             total += loss
@@ -144,7 +145,7 @@ def test_one_partition_equals_a_plain_run(docs, method):
 @pytest.mark.parametrize("method", ["dm", "dbow"])
 def test_combining_partitions(docs, method):
     """Loss falls with several partitions too, and neither layout nor repetition changes the result."""
-    how = {**SMALL, "rate": 0.2, "batch_size": 8, "epochs": 8, "partitions": 4}
+    how = {**SMALL, "rate": 0.2, "batch_size": 8, "epochs": 8, "partitions": 4, "combine": "sum"}
     model = vectors.train_vectors(docs, PRODS, method, **how)
     loss = [r["loss"] for r in model.history.orderBy("epoch").collect()]
     assert loss[-1] < loss[0] - 0.2
@@ -155,38 +156,166 @@ def test_combining_partitions(docs, method):
         np.testing.assert_allclose(got[c], repeated[c], rtol=1e-3, atol=1e-5)
 
 
-@pytest.mark.parametrize("method", ["dm", "dbow"])
-def test_loss_by_the_number_of_partitions(docs, method):
-    """At the default rate. Sums of many copies' changes need a moderate one."""
-    how = {**SMALL, "rate": vectors.RATE, "batch_size": 4, "epochs": 4, "steps_per_epoch": 150}
-    losses = []
-    for partitions in (1, 4, 16):
-        history = vectors.train_vectors(docs, PRODS, method, partitions=partitions, **how).history.orderBy("epoch").collect()
-        assert [r["n_examples"] for r in history] == [150 * 4] * 4
-        losses.append(history[-1]["loss"])
-        assert history[-1]["loss"] < history[0]["loss"]
-    # Copies of "dm" lag behind by what they do not see of each other within an epoch; the README has the figures.
-    if method == "dbow":
-        assert max(losses) <= 1.1 * min(losses), losses
+def whole_loss(model, docs, method, num_prods):
+    """Mean softmax loss over all products and all windows, of the model's tables."""
+    v = {r[0]: np.array(r[1]) for r in model.customer_vectors.collect()}
+    weights = sorted((r["prod_idx"], r["vector"], r["bias"]) for r in model.output_weights.collect())
+    assert [w[0] for w in weights] == list(range(num_prods))
+    W, b = np.array([w[1] for w in weights]), np.array([w[2] for w in weights])
+    E = np.array([r[1] for r in sorted(model.product_vectors.select("prod_idx", "vector").collect())])
+    total = []
+    for code, unknown, known in (tuple(r) for r in docs.collect()):
+        items, half = [0] * unknown + known, WINDOW // 2
+        for p in range(len(items) - WINDOW):
+            around = items[p : p + half] + items[p + half + 1 : p + WINDOW + 1]
+            h = (v[code] + E[around].sum(axis=0)) / (1 + WINDOW) if method == "dm" else v[code]
+            z = W @ h + b
+            targets = [items[p + half]] if method == "dm" else items[p : p + WINDOW]
+            total.append(np.log(np.exp(z).sum()) - np.mean(z[targets]))
+    return float(np.mean(total))
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """Two kinds of customers over 120 products; a tenth of all purchases is unknown."""
+    random = np.random.default_rng(5)
+    data = []
+    for i in range(150):
+        half = range(1, 70) if i % 2 else range(50, 120)
+        data.append((f"C{i:03}", int(random.integers(0, 3)), sorted(random.choice(list(half), 8, replace=False).tolist())))
+    return spark.createDataFrame(data, "CUST_CODE string, n_unknown int, prod_idxs array<int>").cache()
 
 
 @pytest.mark.parametrize("method", ["dm", "dbow"])
-def test_training_goes_on_from_a_saved_model(spark, docs, tmp_path, method):
-    how = {**SMALL, "batch_size": 8, "partitions": 3, "steps_per_epoch": 30}
-    whole = vectors.train_vectors(docs, PRODS, method, epochs=4, **how)
-    vectors.train_vectors(docs, PRODS, method, epochs=2, save_path=str(tmp_path / "half"), **how)
+def test_loss_does_not_depend_on_the_number_of_partitions(many, method):
+    """Sixteen blocks of about seven products and a hot one lose what one block does, in as many steps."""
+    how = {"window": WINDOW, "dim": DIM, "rate": 0.2, "batch_size": 4, "epochs": 1, "steps_per_epoch": 150}
+    whole, estimates, before = [], [], math.log(120)
+    for partitions in (1, 4, 16):
+        model = vectors.train_vectors(many, 120, method, partitions=partitions, **how)
+        last = model.history.first()
+        assert last["n_examples"] == 600
+        whole.append(whole_loss(model, many, method, 120))
+        estimates.append(last["loss"])
+    assert max(whole) <= 1.1 * min(whole) and max(whole) < before - 0.02, whole
+    assert max(estimates) <= 1.1 * min(estimates), estimates
+
+
+def test_hot_products_are_known_to_every_block(spark, many):
+    counts = spark.createDataFrame([(0, 400.0), (1, 350.0), (2, 250.0), (3, 0.0)], "prod_idx int, weight double")
+    assert [rotation.hot_products(counts, n) for n in (1, 2, 3, 4, 5)] == [[], [], [0, 1], [0, 1], [0, 1, 2]]
+    docs = many.withColumn("n_unknown", F.lit(30))
+    model = vectors.train_vectors(docs, 120, "dbow", partitions=3, window=WINDOW, dim=DIM, rate=0.2, batch_size=8, epochs=1)
+    assert [r["prod_idx"] for r in model.output_weights.orderBy("prod_idx").collect()] == list(range(120))
+    bias = {r["prod_idx"]: r["bias"] for r in model.output_weights.collect()}
+    assert bias[0] == max(bias.values()) and bias[0] > 0.1
+
+
+@pytest.mark.parametrize("method, optimizer", [("dm", "nesterov"), ("dm", "adagrad"), ("dbow", "adagrad")])
+def test_training_goes_on_from_a_saved_model(spark, docs, tmp_path, method, optimizer):
+    how = {**SMALL, "batch_size": 8, "partitions": 2, "steps_per_epoch": 30, "optimizer": optimizer}
+    whole = vectors.train_vectors(docs, PRODS, method, epochs=2, **how)
+    vectors.train_vectors(scattered(docs), PRODS, method, epochs=1, save_path=str(tmp_path / "half"), **how)
     half = vectors.VectorModel.load(spark, str(tmp_path / "half"))
-    second = vectors.train_vectors(docs, PRODS, method, epochs=2, start=half, **how)
+    second = vectors.train_vectors(docs, PRODS, method, epochs=1, start=half, **how)
     # Sums of the copies' changes differ in their last digits with the order of tasks.
     for name in vars(whole):
         for x, y in zip(rows(getattr(second, name)), rows(getattr(whole, name)), strict=True):
             for u, v in zip(x, y, strict=True):
                 assert u == v or np.allclose(u, v, rtol=1e-3, atol=1e-6), name
+    loss = [r["loss"] for r in second.history.orderBy("epoch").collect()]
+    assert len(loss) == 2 and loss[1] < loss[0] + 0.05
+
+
+def test_training_of_copies_goes_on_from_a_saved_model(spark, docs, tmp_path):
+    how = {**SMALL, "batch_size": 8, "partitions": 3, "steps_per_epoch": 30, "combine": "sum"}
+    whole = vectors.train_vectors(docs, PRODS, "dm", epochs=4, **how)
+    vectors.train_vectors(docs, PRODS, "dm", epochs=2, save_path=str(tmp_path / "half"), **how)
+    second = vectors.train_vectors(docs, PRODS, "dm", epochs=2, start=vectors.VectorModel.load(spark, str(tmp_path / "half")), **how)
+    for x, y in zip(rows(second.customer_vectors), rows(whole.customer_vectors), strict=True):
+        assert x[0] == y[0] and np.allclose(x[1], y[1], rtol=1e-3, atol=1e-6)
+
+
+def test_adagrad_step():
+    value, squares = np.array([1.0]), np.array([0.5])
+    sgd.Adagrad(0.1).step(value, squares, np.array([3.0]))
+    assert squares == pytest.approx(9.5) and value == pytest.approx(1 - 0.1 * 3 / math.sqrt(9.5))
+
+
+def test_parts_of_a_step_add_up_to_it():
+    rule, parts = sgd.Nesterov(0.1, 0.9), [np.array([[1.0, -2.0]]), np.array([[0.5, 3.0]]), np.array([[-4.0, 0.25]])]
+    value, velocity = np.array([[1.0, 2.0]]), np.array([[0.3, -0.6]])
+    once, speed = value.copy(), velocity.copy()
+    rule.step(once, speed, sum(parts))
+    for i, part in enumerate(parts):
+        rule.step(value, velocity, part.copy(), np.array([i == 0]))
+    np.testing.assert_allclose(value, once)
+    np.testing.assert_allclose(velocity, speed)
+
+
+def test_alias_table_draws_by_weight():
+    weights = np.array([0.0, 5.0, 1.0, 1.0, 3.0])
+    alias = sgd.Alias(weights)
+    drawn = np.bincount(alias.draw(np.random.default_rng(1), 200_000), minlength=5) / 200_000
+    np.testing.assert_allclose(drawn, weights / 10, atol=0.005)
+    np.testing.assert_allclose(alias.chance.sum(), 1)
+    assert set(sgd.Alias(np.zeros(3)).draw(np.random.default_rng(1), 100)) == {0, 1, 2}
+
+
+@pytest.mark.parametrize("method", ["dm", "dbow"])
+def test_sampled_gradient_equals_the_whole_one_in_expectation(method):
+    model, v, inputs, targets = batch(method)
+    n, weights = len(v), np.arange(1.0, PRODS + 1)
+
+    def moved(negatives, seed):
+        values = np.column_stack([model["W"], model["b"]]) * 0.3
+        table = sgd.Inputs(model["E"].copy(), np.zeros((PRODS, DIM)), np.arange(PRODS), PRODS) if method == "dm" else None
+        block = sgd.Block(values.copy(), np.zeros_like(values), PRODS, PRODS, negatives, weights, seed)
+        vectors_ = v.copy()
+        loss, _, seen = block.train(sgd.Nesterov(1.0, 0.0), vectors_, np.zeros_like(v), table, inputs, targets, n)
+        return loss / seen, values - block.values, v - vectors_, model["E"] - table.values if table else np.zeros(1)
+
+    whole = moved(None, 0)
+    draws = [moved(300, i) for i in range(300)]
+    for i, want in enumerate(whole):
+        np.testing.assert_allclose(np.mean([d[i] for d in draws], axis=0), want, atol=0.01)
+    few = moved(3, 1)[1]
+    assert 0 < np.count_nonzero(few.any(axis=1)) <= 3 + len(np.unique(targets))
+    # A block that holds a part of the products estimates the loss over all of them.
+    parts = []
+    for seed in range(400):
+        own = np.random.default_rng(seed).permutation(PRODS)[: PRODS // 2]
+        place = np.full(PRODS, -1)
+        place[own] = np.arange(len(own))
+        wanted = place[targets]
+        if not (wanted >= 0).any():
+            continue
+        values = (np.column_stack([model["W"], model["b"]]) * 0.3)[own]
+        table = sgd.Inputs(model["E"].copy(), np.zeros((PRODS, DIM)), np.arange(PRODS), PRODS) if method == "dm" else None
+        found = sgd.Block(values, np.zeros_like(values), len(own), PRODS).train(
+            sgd.Nesterov(0.0, 0.0), v.copy(), np.zeros_like(v), table, inputs, wanted, n
+        )
+        parts.append(found[::2])
+    assert sum(p[0] for p in parts) / sum(p[1] for p in parts) == pytest.approx(whole[0], rel=0.03)
+
+
+def test_large_vocabulary_with_drawn_products(spark, many):
+    """Of 100,000 products a step touches its targets and the drawn ones; no task, nor the driver, holds all."""
+    how = {"window": WINDOW, "dim": 4, "rate": 0.2, "batch_size": 16, "epochs": 1, "partitions": 4, "negatives": 20}
+    docs = many.withColumn("prod_idxs", F.transform("prod_idxs", lambda x: x * 800))
+    model = vectors.train_vectors(docs, 100_000, "dm", **how)
+    start = spark.range(100_000).select(F.col("id").cast("int").alias("prod_idx"))
+    limit = vectors.output_limit(100_000, 4)
+    start = start.withColumn("start", vectors.start_vector(4, 1, "output", "prod_idx", limit))
+    changed = model.output_weights.join(start, "prod_idx").where("vector != start or bias != 0").count()
+    assert model.output_weights.count() == 100_000 and 50 < changed < 2_000
+    assert model.history.first()["n_examples"] == 150
+    assert vectors.train_vectors(docs, 100_000, "dbow", **{**how, "partitions": 2}).history.count() == 1
 
 
 def test_vectors_separate_the_two_kinds_of_customers(docs):
     model = vectors.train_vectors(
-        docs, PRODS, "dbow", epochs=25, partitions=2, batch_size=8, **{**SMALL, "rate": 0.2}
+        docs, PRODS, "dbow", epochs=25, partitions=2, batch_size=8, combine="sum", **{**SMALL, "rate": 0.2}
     )
     got = dict(rows(model.customer_vectors))
     kinds = [np.array([got[f"C{i:03}"] for i in range(k, 150, 2)]) for k in (0, 1)]
@@ -207,7 +336,7 @@ def test_early_stop_save_and_snapshots(spark, docs, tmp_path):
     path, shots = str(tmp_path / "model-{epoch}"), str(tmp_path / "shot-{epoch}")
     model = vectors.train_vectors(
         docs, PRODS, "dm", epochs=50, patience=2, save_path=path, save_period=2,
-        snapshot_path=shots, snapshot_period=3, window=WINDOW, dim=DIM, rate=0.0,
+        snapshot_path=shots, snapshot_period=3, window=WINDOW, dim=DIM, rate=0.0, partitions=1,
     )
     # With a rate of 0 the loss changes by the drawn windows only; it stops two epochs after its best.
     loss = [r["loss"] for r in model.history.orderBy("epoch").collect()]
@@ -230,6 +359,10 @@ def test_nothing_to_train_on(docs):
         vectors.train_vectors(docs, PRODS, "dm", epochs=0)
     with pytest.raises(ValueError, match="combine"):
         vectors.train_vectors(docs, PRODS, "dm", combine="max")
+    with pytest.raises(ValueError, match="optimizer"):
+        vectors.train_vectors(docs, PRODS, "dm", optimizer="newton")
+    with pytest.raises(ValueError, match="rotate"):
+        vectors.train_vectors(docs, PRODS, "dm", combine="sum", negatives=5)
 
 
 def test_mean_of_many_copies_is_stable_at_a_high_rate(docs):
