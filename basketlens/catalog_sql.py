@@ -1,5 +1,7 @@
 """SQL counterparts of the registered queries, written for DuckDB and independent of the operators."""
 
+import math
+
 from basketlens.schema import HABITS, REPORT_VARIABLES
 
 TRANS = """
@@ -121,6 +123,63 @@ def _profile(variables) -> str:
     )
 
 
+# The first training step: hashed start values, the softmax of one window per customer, one step against its mean gradient.
+STEP_DIM, STEP_RATE, INIT_LIMIT, OUTPUT_LIMIT = 8, 10, 0.05, math.sqrt(6 / (500 + 8))
+
+
+def _first_step(method: str) -> str:
+    def start(layer, key, limit):
+        text = f"'1:{layer}:' || cast({key} as varchar) || ':' || cast(d as varchar)"
+        unit = f"cast(('0x' || substr(md5({text}), 1, 8))::bigint as double) / cast('4294967296' as double)"
+        return f"cast(cast(({unit} * 2 - 1) * cast('{limit!r}' as double) as float) as double)"
+
+    draw = "('0x' || substr(md5('1:0:' || CUST_CODE), 1, 8))::bigint % (n - 8)"
+    if method == "dm":
+        drawn = f"""select CUST_CODE, document[p-3:p] || document[p+2:p+5] as context, [document[p+1]] as targets
+          from (select *, {draw} + 4 as p from long_docs)"""
+        used = "select CUST_CODE, unnest(context) as prod_idx from drawn"
+        hidden = """select CUST_CODE, d, (v + s) / 9 as h from customer join (
+          select CUST_CODE, d, sum(v) as s from used join product using (prod_idx) group by CUST_CODE, d) using (CUST_CODE, d)"""
+        extra = """union all select 'product', null, prod_idx, d, v - {rate} * coalesce(g, 0) from product left join (
+          select prod_idx, d, sum(back) as g from used join backs using (CUST_CODE) group by prod_idx, d) using (prod_idx, d)"""
+    else:
+        drawn = f"""select CUST_CODE, document[p+1:p+8] as context, document[p+1:p+8] as targets
+          from (select *, {draw} as p from long_docs)"""
+        used = "select null as CUST_CODE, null as prod_idx"
+        hidden = "select CUST_CODE, d, v as h from customer"
+        extra = ""
+    share = 9 if method == "dm" else 1
+    parts = [
+        TRANS, KNOWN, DOCS, f"drawn as ({drawn})", "size as (select cast(count(*) as double) as m from drawn)",
+        f"dims as (select unnest(range({STEP_DIM})) as d)", "products as (select cast(unnest(range(500)) as int) as prod_idx)",
+        f"customer as (select CUST_CODE, d, {start('customer', 'CUST_CODE', INIT_LIMIT)} as v from drawn cross join dims)",
+        f"output as (select prod_idx, d, {start('output', 'prod_idx', OUTPUT_LIMIT)} as v from products cross join dims)",
+        f"product as (select prod_idx, d, {start('product', 'prod_idx', INIT_LIMIT)} as v from products cross join dims)",
+        f"used as ({used})", f"hidden as ({hidden})",
+        "hs as (select CUST_CODE, list(h order by d) as h from hidden group by CUST_CODE)",
+        "ws as (select prod_idx, list(v order by d) as w from output group by prod_idx)",
+        "logits as (select CUST_CODE, prod_idx, h, w, exp(list_inner_product(h, w)) as e from hs cross join ws)",
+        "totals as (select CUST_CODE, sum(e) as z from logits group by CUST_CODE)",
+        """hit as (select CUST_CODE, prod_idx, count(*) / any_value(width) as y
+          from (select CUST_CODE, unnest(targets) as prod_idx, len(targets) as width from drawn) group by CUST_CODE, prod_idx)""",
+        """error as (select CUST_CODE, prod_idx, h, w, (e / z - coalesce(y, 0)) / m as g, coalesce(y, 0) * ln(z / e) / m as loss
+          from logits join totals using (CUST_CODE) left join hit using (CUST_CODE, prod_idx) cross join size)""",
+        f"backs as (select CUST_CODE, d, sum(g * w[d + 1]) / {share} as back from error cross join dims group by CUST_CODE, d)",
+        "steps as (select prod_idx, d, sum(g * h[d + 1]) as g from error cross join dims group by prod_idx, d)",
+        f"""moved(layer, CUST_CODE, prod_idx, place, value) as (
+          select 'customer', CUST_CODE, cast(null as int), d, v - {STEP_RATE} * back from customer join backs using (CUST_CODE, d)
+          union all select 'output', null, prod_idx, d, v - {STEP_RATE} * g from output join steps using (prod_idx, d)
+          union all select 'output', null, prod_idx, {STEP_DIM}, - {STEP_RATE} * sum(g) from error group by prod_idx
+          union all select 'loss', null, null, 0, sum(loss) from error
+          {extra.format(rate=STEP_RATE)})""",
+    ]
+    return _with(*parts) + "select layer, CUST_CODE, prod_idx, cast(place as int) as place, round(value, 5) as value from moved"
+
+
+CELLS = """
+cell as (select vec_id, label, cast(unnest(embedding) as double) as v, unnest(range(len(embedding))) as d from embeddings)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {}
 
@@ -273,4 +332,21 @@ def oracle_sql() -> dict[str, str]:
     )
     select round(avg(case when n = 1 then 0 when a < b then 1 - a/b when a > b then b/a - 1 else 0 end), 8) as silhouette
     from ab"""
+    body = sql["silhouette_given_labels"]
+    sql["silhouette_by_segment"] = (
+        body.replace("select vec_id, max(case", "select vec_id, any_value(label) as label, max(case")
+        .replace("select round(avg(", "select label, count(*) as n_rows, round(avg(")
+        .replace("from ab", "from ab group by label")
+    )
+    sql["nearest_centroid_score"] = (
+        _with(
+            CELLS,
+            "means as (select label, d, avg(v) as m from cell group by label, d)",
+            """far as (select vec_id, means.label as seg, sum((v - m) * (v - m)) as far
+              from cell join means on cell.d = means.d group by vec_id, means.label)""",
+        )
+        + "select cast(vec_id as varchar) as CUST_CODE, cast(arg_min(seg, far) as int) as CLUSTER_NUM from far group by vec_id"
+    )
+    for method in ("dm", "dbow"):
+        sql[f"training_step_{method}"] = _first_step(method)
     return sql
