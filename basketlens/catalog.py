@@ -84,7 +84,7 @@ def table_shape(spark, path):
 @_query
 def schema_report(spark, path):
     trans = adapter.transactions(spark, path)
-    return quality.schema_report(trans).drop("nullable").join(quality.missing_rates(trans), "column")
+    return quality.schema_report(trans).join(quality.missing_rates(trans), "column")
 
 
 @_query

@@ -197,8 +197,10 @@ def oracle_sql() -> dict[str, str]:
         count(distinct SHOP_WEEK) + max(cast(SHOP_WEEK is null as bigint)) as n_shop_week from trans"""
     )
     sql["table_shape"] = _with(TRANS) + "select count(*) as n_rows, cast(22 as int) as n_columns from trans"
+    # Parquet columns may be NULL, and so may what is made of them, but for joined texts and cases that name all values.
+    never = ("PROD_CODE_10", "PROD_CODE_20", "PROD_CODE_30", "BASKET_SIZE", "BASKET_PRICE_SENSITIVITY", "STORE_FORMAT")
     sql["schema_report"] = _with(TRANS) + _union(
-        f"""select cast({i} as int) as position, '{c}' as "column", '{t}' as type,
+        f"""select cast({i} as int) as position, '{c}' as "column", '{t}' as type, {str(c not in never).lower()} as nullable,
         sum(case when {c} is null then 1 else 0 end) / count(*) as missing_rate from trans"""
         for i, (c, t) in enumerate(TYPES.items())
     )

@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions import long_rows
 from basketlens.operators.customers import identified
 from basketlens.schema import BASKET, CUSTOMER, HABIT_PREFIX, HABITS
 
@@ -11,23 +10,21 @@ from basketlens.schema import BASKET, CUSTOMER, HABIT_PREFIX, HABITS
 def habit_counts(df: DataFrame, variables=HABITS) -> DataFrame:
     """(CUST_CODE, var, value, n_baskets): distinct baskets of each customer with each value, all variables in one pass.
 
-    Lines collapse to distinct (customer, basket, values) rows on the map side. These few rows are
-    laid out by (customer, basket), where removing repeated values needs no shuffle, and the counts
-    are pre-aggregated again before they meet per value. No step gathers all rows of a customer.
+    Lines become one row per customer and basket with the set of values of each variable, on the map side first. A set
+    is bounded by the values of an attribute, whatever the number of lines. Unfolded, its values are distinct already
+    and are counted, again on the map side first, so lines are shuffled once as baskets and once as counts.
     """
-    baskets = (
-        identified(df)
-        .where(F.col(BASKET).isNotNull())
-        .select(CUSTOMER, BASKET, *variables)
-        .distinct()
-        .repartition(CUSTOMER, BASKET)
-    )
-    return (
-        long_rows(baskets, [CUSTOMER, BASKET], {v: F.col(v) for v in variables})
-        .distinct()
-        .groupBy(CUSTOMER, "var", "value")
-        .agg(F.count("*").alias("n_baskets"))
-    )
+    values = [F.collect_set(F.col(v).cast("string")).alias(v) for v in variables]
+    gaps = [F.max(F.col(v).isNull()).alias(f"_no_{v}") for v in variables]  # a set leaves NULL out
+    baskets = identified(df).where(F.col(BASKET).isNotNull()).groupBy(CUSTOMER, BASKET).agg(*values, *gaps)
+    none = F.array(F.lit(None).cast("string"))
+
+    def cells(name):
+        found = F.when(F.col(f"_no_{name}"), F.concat(name, none)).otherwise(F.col(name))
+        return F.transform(found, lambda x: F.struct(F.lit(name).alias("var"), x.alias("value")))
+
+    rows = baskets.select(CUSTOMER, F.inline(F.concat(*[cells(v) for v in variables])))
+    return rows.groupBy(CUSTOMER, "var", "value").agg(F.count("*").alias("n_baskets"))
 
 
 def dominant_attributes(df: DataFrame, variables=HABITS, ties: str = "all") -> DataFrame:

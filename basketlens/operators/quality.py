@@ -5,11 +5,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from basketlens.functions import long_rows
+from basketlens.sources.storage import materialize
 
 
 # Parts of a column whose values are ranked apart.
 SALTS = 64
 
+# Columns whose distinct values are counted, and the size of their sketches (two to this power).
+SUMMARY = ("BASKET_ID", "PROD_CODE", "SHOP_WEEK")
+SKETCH_LG = 14
+
+# So many digests of 16 bytes are broadcast; more are joined by a shuffle.
+BROADCAST_DIGESTS = 1 << 20
+
 
 def head(df: DataFrame, n: int = 10, order_by=()) -> DataFrame:
     """The first ``n`` rows, in the given order if there is one."""
@@ -27,26 +35,58 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
 
 
-def dataset_summary(df: DataFrame, columns=("BASKET_ID", "PROD_CODE", "SHOP_WEEK")) -> DataFrame:
-    """One row n_<column>: distinct values of each column, NULL being one value."""
-    return df.agg(
-        *[
-            (F.countDistinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0))).alias(f"n_{c.lower()}")
-            for c in columns
-        ]
-    )
+def dataset_summary(df: DataFrame, columns=SUMMARY, approx: bool = False) -> DataFrame:
+    """One row n_<column>: distinct values of each column, NULL being one value.
+
+    Values of all columns are made distinct in one pass, on the map side first, and each is counted once;
+    ``approx`` estimates the numbers from sketches, which moves a few kilobytes per column and task.
+    """
+    if approx:
+        return merged_summary(value_sketches(df, columns), columns)
+    values = long_rows(df, [], {c: F.col(c) for c in columns}).distinct()
+    return values.agg(*[F.count_if(F.col("var") == c).alias(f"n_{c.lower()}") for c in columns])
+
+
+def value_sketches(df: DataFrame, columns=SUMMARY, by=("SHOP_WEEK",)) -> DataFrame:
+    """One row per ``by`` group, for example per week: a mergeable sketch of each column's values, and whether NULL is among them.
+
+    New weeks are sketched alone and merged with those that are there; old lines are not read again."""
+    parts = [(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_LG)).alias(f"sketch_{c.lower()}"), F.max(F.col(c).isNull()).alias(f"null_{c.lower()}")) for c in columns]
+    return df.groupBy(*[F.col(c).alias(f"by_{c.lower()}") for c in by]).agg(*[c for pair in parts for c in pair])
+
+
+def merged_summary(sketches: DataFrame, columns=SUMMARY) -> DataFrame:
+    """The estimates of ``dataset_summary`` from any union of ``value_sketches``."""
+
+    def estimate(c):
+        found = F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{c}"))
+        return (F.coalesce(found, F.lit(0)) + F.coalesce(F.max(f"null_{c}").cast("bigint"), F.lit(0))).alias(f"n_{c}")
+
+    return sketches.agg(*[estimate(c.lower()) for c in columns])
+
+
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of the whole row. NULLs are hashed by their places, which the hash function would skip."""
+    gaps = F.array(*[F.col(c).isNull() for c in df.columns])
+    return [F.xxhash64(F.lit(i), gaps, *df.columns).alias(f"_digest{i}") for i in (0, 1)]
 
 
 def duplicate_check(df: DataFrame) -> DataFrame:
-    """One row (n_rows, n_distinct_rows). Equal rows are merged on the map side before the shuffle."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count("*").alias("copies"))
-        .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("n_rows"),
-            F.count("*").alias("n_distinct_rows"),
-        )
-    )
+    """One row (n_rows, n_distinct_rows).
+
+    Rows meet as digests of 16 bytes, added up on the map side. A digest that is met once is a distinct row. Where it is met
+    more often, the rows themselves are compared; equal rows are merged on the map side before that shuffle.
+    """
+    spark, rows = df.sparkSession, df.select(*df.columns, *row_digest(df))
+    keys = ["_digest0", "_digest1"]
+    counts = materialize(rows.groupBy(*keys).agg(F.count("*").alias("copies")), "digests")
+    n_rows, single, several = counts.agg(F.sum("copies"), F.count_if(F.col("copies") == 1), F.count_if(F.col("copies") > 1)).first()
+    distinct = single
+    if several:
+        met = counts.where("copies > 1").select(*keys)
+        met = F.broadcast(met) if several <= BROADCAST_DIGESTS else met
+        distinct += rows.join(met, keys).select(*df.columns).distinct().count()
+    return spark.createDataFrame([(n_rows or 0, distinct)], "n_rows bigint, n_distinct_rows bigint")
 
 
 def _missing(df: DataFrame, name: str) -> Column:

@@ -240,3 +240,14 @@ def test_amounts_that_are_no_numbers_count_as_missing(spark):
     scored = spark.createDataFrame([("C", 0)], "CUST_CODE string, CLUSTER_NUM int")
     row = kpis.segment_kpis(trans, scored).first()
     assert (row["TOT_SALES"], row["TOT_UNITS"]) == (3.75, 6)
+
+
+@pytest.mark.parametrize("make, exchanges", [(habits.habit_counts, 2), (habits.dominant_attributes, 3)])
+def test_exchanges_of_habits(shop, make, exchanges):
+    df = shop[0]
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = make(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == exchanges, plan

@@ -2,6 +2,7 @@ import datetime
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.operators import quality
 from tests.helpers import rows, scattered
@@ -33,6 +34,41 @@ def test_duplicates(spark, mixed):
     assert rows(quality.duplicate_check(mixed.where("false"))) == [(0, 0)]
 
 
+def test_duplicates_where_digests_meet(spark, monkeypatch):
+    """Also where digests of different rows are equal, and beyond the bound of the broadcast."""
+    data = [(None, "a"), ("a", None), ("a", None), ("b", "c")] + [(f"k{i % 40}", f"v{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(data, "x string, y string")
+    want = [(len(data), len(set(data)))]
+    assert rows(quality.duplicate_check(df)) == want
+    monkeypatch.setattr(quality, "BROADCAST_DIGESTS", 0)
+    assert rows(quality.duplicate_check(df)) == want
+    monkeypatch.setattr(quality, "row_digest", lambda df: [F.pmod(F.hash("x"), F.lit(7)).alias(f"_digest{i}") for i in (0, 1)])
+    assert rows(quality.duplicate_check(df)) == want
+
+
+def test_digests_are_all_that_is_shuffled(spark):
+    df = spark.range(1000).selectExpr("id", *[f"concat('some long text of column {i} ', id) as c{i}" for i in range(20)])
+    digests = df.select(*quality.row_digest(df)).groupBy("_digest0", "_digest1").count()
+    plan = digests._jdf.queryExecution().executedPlan().toString()
+    assert "c19" not in plan.split("Exchange")[0]
+    assert digests.count() == 1000 and digests.where("count > 1").count() == 0
+
+
+def test_summary_without_multiplied_rows(spark):
+    df = spark.range(5000).selectExpr("id % 700 as a", "if(id % 5 = 0, null, id % 90) as b", "id % 12 as SHOP_WEEK")
+    columns = ["a", "b"]
+    exact = quality.dataset_summary(df, columns)
+    assert "Expand" not in exact._jdf.queryExecution().executedPlan().toString()
+    assert rows(exact) == [(700, 73)]
+    (a, b), = rows(quality.dataset_summary(df, columns, approx=True))
+    assert abs(a - 700) <= 14 and abs(b - 73) <= 2
+    weeks = quality.value_sketches(df, columns)
+    assert weeks.count() == 12
+    ((x, y),) = rows(quality.merged_summary(weeks, columns))
+    assert abs(x - 700) <= 14 and y == b
+    assert rows(quality.dataset_summary(df.limit(0), columns)) == [(0, 0)] == rows(quality.dataset_summary(df.limit(0), columns, approx=True))
+
+
 def test_summary_counts_null_as_a_value(mixed):
     assert rows(quality.dataset_summary(mixed, ["s", "i"])) == [(3, 3)]
 
