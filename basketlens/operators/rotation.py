@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.operators import sgd
@@ -41,10 +41,10 @@ def _parts(ddl: str) -> list[list[str]]:
     return [part.split(" ", 1) for part in ddl.split(", ")]
 
 
-def _shaped(df: DataFrame, **columns) -> DataFrame:
-    """``df`` as rows of the task; columns that are not given are NULL."""
-    made = {"vector": F.col("vector"), "state": F.col("state"), **columns}
-    return df.select(*[made.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in _parts(_ROW)])
+def _shaped(df: DataFrame, **columns: str) -> DataFrame:
+    """``df`` as rows of the task, from SQL expressions; columns that are not given are NULL."""
+    made = {"vector": "vector", "state": "state", **columns}
+    return df.selectExpr(*[f"cast({made.get(name, 'null')} as {kind}) as {name}" for name, kind in _parts(_ROW)])
 
 
 def _task(count: int, method: str, window: int, num_prods: int, stage: int, batch_size: int, rule, negatives: int | None, seed: int):
@@ -162,37 +162,32 @@ class Rotation:
         self.batch_size, self.rule, self.negatives, self.seed = batch_size, rule, negatives, seed
         self.hot = hot
 
-    def _customer_block(self) -> Column:
-        return F.pmod(F.xxhash64(F.col(CUSTOMER), F.lit(self.seed)), F.lit(self.blocks)).cast("int")
+    def _customer_block(self) -> str:
+        return f"cast(pmod(xxhash64({CUSTOMER}, {self.seed}), {self.blocks}) as int)"
 
-    def _product_block(self, epoch: int, product: Column) -> Column:
-        return F.pmod(F.xxhash64(product, F.lit(self.seed), F.lit(epoch)), F.lit(self.blocks)).cast("int")
+    def _product_block(self, epoch: int, product: str) -> str:
+        return f"cast(pmod(xxhash64({product}, {self.seed}, {epoch}), {self.blocks}) as int)"
 
     def _drawn(self, epoch: int) -> DataFrame:
         """The customers with the windows of an epoch and the rounds in which they are due."""
         rows = self.docs.join(self.customers, CUSTOMER)
         rows = epoch_windows(rows, self.window, self.method, epoch, self.seed, self.count, keep=["vector", "state"])
         width = 1 if self.method == "dm" else self.window
-        due = F.col("targets" if self.method == "dm" else "contexts")
+        due = "targets" if self.method == "dm" else "contexts"
         # A hot target is due in a round of the customer's window, any other one where its block is met.
-        spread = F.transform(
-            F.sequence(F.lit(0), F.lit(self.count - 1)),
-            lambda i: F.pmod(F.xxhash64(F.col(CUSTOMER), F.lit(epoch), i, F.lit(self.seed)), F.lit(self.blocks)).cast("int"),
-        )
-        block = self._customer_block()
-
-        def due_in(target, i):
-            usual = F.pmod(self._product_block(epoch, target) - block, F.lit(self.blocks))
-            return F.when(target.isin(self.hot), F.get("_spread", F.floor(i / width).cast("int"))).otherwise(usual) if self.hot else usual
-
-        rows = rows.withColumn("_spread", spread).withColumn("_due", F.transform(due, due_in))
-        firsts = F.transform(F.sequence(F.lit(0), F.lit(self.count - 1)), lambda i: F.array_min(F.slice("_due", i * width + 1, width)))
-        visits = F.sort_array(F.array_distinct("_due"))
-        rows = rows.withColumn("visits", visits).withColumn("firsts", F.concat(firsts, "_spread") if self.hot else firsts)
-        made = {"kind": F.lit("customer"), "next": F.get("visits", F.lit(0))}
-        known = (CUSTOMER, "contexts", "targets", "firsts", "visits", "vector", "state")
-        made |= {name: F.col(name) for name in known}
-        return rows.select(*[made.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in _parts(_OUT)])
+        windows = f"sequence(0, {self.count - 1})"
+        spread = f"transform({windows}, i -> cast(pmod(xxhash64({CUSTOMER}, {epoch}, i, {self.seed}), {self.blocks}) as int))"
+        usual = f"pmod({self._product_block(epoch, 't')} - _block, {self.blocks})"
+        if self.hot:
+            usual = f"case when t in ({', '.join(map(str, self.hot))}) then get(_spread, cast(i div {width} as int)) else {usual} end"
+        rows = rows.selectExpr("*", f"{self._customer_block()} as _block", f"{spread} as _spread")
+        rows = rows.selectExpr("*", f"transform({due}, (t, i) -> {usual}) as _due")
+        firsts = f"transform({windows}, i -> array_min(slice(_due, i * {width} + 1, {width})))"
+        firsts = f"concat({firsts}, _spread)" if self.hot else firsts
+        rows = rows.selectExpr("*", "sort_array(array_distinct(_due)) as visits", f"{firsts} as firsts")
+        made = {n: n for n in (CUSTOMER, "contexts", "targets", "firsts", "visits", "vector", "state")}
+        made |= {"kind": "'customer'", "next": "get(visits, 0)"}
+        return rows.selectExpr(*[f"cast({made.get(name, 'null')} as {kind}) as {name}" for name, kind in _parts(_OUT)])
 
     def _shared_now(self, slot: str, stage: int) -> DataFrame:
         """Shared rows with the changes of the rounds so far: sums, in no row of which two tasks ever write."""
@@ -214,17 +209,21 @@ class Rotation:
         schema = ", ".join(f"{name} {kind}" for name, kind in _parts(_OUT)[:-2])
         return self.spark.read.schema(schema).parquet(*there) if there else self.spark.createDataFrame([], schema)
 
-    def _wanted(self, customers: DataFrame) -> DataFrame:
-        """(layer, prod_idx, cs): the tasks that need a copy of a shared row, at most one per block."""
-        parts = []
+    def _copies(self, slot: str, stage: int, customers: DataFrame) -> DataFrame:
+        """Shared rows as they stand, for the tasks that need them: hot products go to every task, others at most once to each.
+
+        Momentum is dealt to the copies, what an adaptive rule has gathered is known to all of them."""
+        rows, parts = self._shared_now(slot, stage), []
+        if self.hot:
+            parts.append(rows.where("layer = 'output'").selectExpr("*", f"sequence(0, {self.blocks - 1}) as cs"))
         if self.method == "dm":
-            used = customers.select(self._customer_block().alias("c"), F.explode("contexts").alias("prod_idx")).distinct()
+            used = customers.selectExpr(f"{self._customer_block()} as c", "explode(contexts) as prod_idx").distinct()
             used = used.groupBy("prod_idx").agg(F.collect_list("c").alias("cs"))
-            parts.append(used.select(F.lit("product").alias("layer"), "prod_idx", "cs"))
-        if self.hot:
-            every = F.sequence(F.lit(0), F.lit(self.blocks - 1))
-            parts.append(self.shared.where("layer = 'output'").select("layer", "prod_idx", every.alias("cs")))
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            parts.append(rows.where("layer = 'product'").join(used, "prod_idx").select("layer", "prod_idx", "vector", "state", "cs"))
+        state = "transform(state, x -> x / size(cs))" if self.rule.divided else "state"
+        made = [part.selectExpr("layer", "prod_idx", "vector", f"{state} as state", "explode(cs) as c") for part in parts]
+        rows = made[0] if len(made) == 1 else made[0].unionByName(made[1])
+        return _shaped(rows, c="c", layer="layer", kind=f"{INPUT}", prod_idx="prod_idx", weight="0")
 
     def epoch(self, epoch: int) -> tuple[float, float, int]:
         """Train for one epoch; return loss, accuracy and the number of examples."""
@@ -234,17 +233,12 @@ class Rotation:
         outputs = self.outputs
         for stage in range(self.blocks):
             customers = self._read(slot, range(-1, stage), "customer", stage)
-            c = F.pmod(self._product_block(epoch, F.col("prod_idx")) - stage, F.lit(self.blocks))
-            rows = _shaped(outputs, c=c, kind=F.lit(OUTPUT), **{n: F.col(n) for n in ("prod_idx", "weight")})
+            c = f"pmod({self._product_block(epoch, 'prod_idx')} - {stage}, {self.blocks})"
+            rows = _shaped(outputs, c=c, kind=f"{OUTPUT}", prod_idx="prod_idx", weight="weight")
             if self.shared:
-                copies = self._shared_now(slot, stage).join(self._wanted(customers), ["layer", "prod_idx"])
-                # Momentum is dealt to the copies, what an adaptive rule has gathered is known to all of them.
-                part = F.size("cs") if self.rule.divided else F.lit(1)
-                copies = copies.select("layer", "prod_idx", "vector", F.transform("state", lambda x: x / part).alias("state"), F.explode("cs").alias("c"))
-                keep = {n: F.col(n) for n in ("c", "layer", "prod_idx")}
-                rows = rows.unionByName(_shaped(copies, kind=F.lit(INPUT), weight=F.lit(0.0), **keep))
-            keep = {n: F.col(n) for n in (CUSTOMER, "contexts", "targets", "firsts", "visits")}
-            rows = rows.unionByName(_shaped(customers, c=self._customer_block(), kind=F.lit(CUSTOMERS), **keep))
+                rows = rows.unionByName(self._copies(slot, stage, customers))
+            keep = {n: n for n in (CUSTOMER, "contexts", "targets", "firsts", "visits")}
+            rows = rows.unionByName(_shaped(customers, c=self._customer_block(), kind=f"{CUSTOMERS}", **keep))
             rows = rows.repartitionById(self.blocks, F.col("c")).sortWithinPartitions("kind", CUSTOMER, "layer", "prod_idx")
             task = _task(self.count, self.method, self.window, self.num_prods, stage, self.batch_size, self.rule, self.negatives, self.seed * 1_000_003 + epoch)
             self._write(rows.mapInArrow(task, _OUT), slot, stage)
