@@ -155,6 +155,30 @@ def customer_documents(spark, path):
     return docs.select("CUST_CODE", "n_unknown", F.array_join(documents.sequence(), ",").alias("document"))
 
 
+def _dated_documents(spark: SparkSession, path: str) -> DataFrame:
+    trans = _lines(spark, path, "CUST_CODE", "PROD_CODE", "SHOP_DATE")
+    return documents.customer_documents(trans, vocab_ops.vocabulary(trans, NUM_PRODS), NUM_PRODS, order_by="SHOP_DATE")
+
+
+@_query
+def dated_documents(spark, path):
+    """Documents in the order of first purchases."""
+    docs = _dated_documents(spark, path)
+    return docs.select("CUST_CODE", "n_unknown", F.array_join(documents.sequence(ordered=True), ",").alias("document"))
+
+
+@_query
+def dated_dm_pairs(spark, path):
+    pairs = windows.dm_pairs(_dated_documents(spark, path), WINDOW)
+    return pairs.select("CUST_CODE", "target_pos", _as_text("context"), "target")
+
+
+@_query
+def dated_epoch_sample_dbow(spark, path):
+    sample = windows.epoch_sample(_dated_documents(spark, path), WINDOW, "dbow", epoch=3, seed=1)
+    return sample.select("CUST_CODE", "pos", _as_text("context"))
+
+
 @_query
 def indexed_documents(spark, path):
     index = customers.customer_index(adapter.transactions(spark, path))

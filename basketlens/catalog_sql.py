@@ -273,6 +273,13 @@ def oracle_sql() -> dict[str, str]:
         from (select *, {draw} as p from long_docs)"""
     )
 
+    # The same over products in the order of their first purchase.
+    dated = DOCS.replace("select CUST_CODE, PROD_CODE, coalesce(prod_idx, 0) as prod_idx", "select CUST_CODE, PROD_CODE, first, coalesce(prod_idx, 0) as prod_idx")
+    dated = dated.replace("(select distinct CUST_CODE, PROD_CODE from known)", "(select CUST_CODE, PROD_CODE, min(SHOP_DATE) as first from known group by all)")
+    dated = dated.replace("list(prod_idx order by prod_idx)", "list(prod_idx order by first, PROD_CODE)")
+    for name in ("customer_documents", "dm_pairs", "epoch_sample_dbow"):
+        sql["dated_" + name.removeprefix("customer_")] = sql[name].replace(DOCS, dated)
+
     sql["segment_kpis"] = (
         _with(TRANS, KNOWN, SCORED)
         + """select *, TOT_SALES / nullif(TOT_BASKS, 0) as SPEND_PER_BASK, TOT_UNITS / nullif(TOT_BASKS, 0) as UNITS_PER_BASK,

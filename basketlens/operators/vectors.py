@@ -25,7 +25,7 @@ from basketlens.functions import hash32
 from basketlens.operators import rotation, sgd
 from basketlens.operators.documents import length
 from basketlens.operators.vocabulary import UNKNOWN
-from basketlens.operators.windows import check_window, eligible, epoch_sample, epoch_windows
+from basketlens.operators.windows import RUNS, check_window, eligible, epoch_sample, epoch_windows
 from basketlens.schema import CUSTOMER
 from basketlens.sources.storage import materialize, read_table, scratch_path, write_table
 
@@ -454,7 +454,10 @@ def train_vectors(
         raise ValueError("negatives and other optimizers need combine='rotate'")
     spark = docs.sparkSession
     run = scratch_path(spark, "vectors")
-    write_table(docs.select(CUSTOMER, "n_unknown", "prod_idxs"), f"{run}/documents")
+    columns = [CUSTOMER, "n_unknown", "prod_idxs"] + ([RUNS] if RUNS in docs.columns else [])
+    if RUNS in columns and combine != "rotate":
+        raise ValueError("documents in an order of their own need combine='rotate'")
+    write_table(docs.select(*columns), f"{run}/documents")
     docs = read_table(spark, f"{run}/documents")
     n_customers = eligible(docs, window).count()
     if not n_customers:

@@ -34,17 +34,22 @@ def vocabulary(df: DataFrame, num_prods: int, keep_anonymous: bool = False) -> D
     return top.select(PRODUCT, rank.alias("prod_idx"), "n_rows")
 
 
-def indexed_products(df: DataFrame, vocab: DataFrame, num_prods: int, keep_anonymous: bool = False) -> DataFrame:
+def indexed_products(
+    df: DataFrame, vocab: DataFrame, num_prods: int, keep_anonymous: bool = False, first_of: str | None = None
+) -> DataFrame:
     """Distinct (CUST_CODE, PROD_CODE, prod_idx) rows; a product outside the vocabulary has index 0.
 
+    ``first_of`` adds ``first``, the smallest value of that column over the customer's lines of the product.
+
     Repeated purchases are merged on the map side before anything is shuffled or joined. The size of
     the vocabulary, as the optimizer measures it, decides whether it is broadcast.
     """
-    pairs = identified(df, keep_anonymous).select(CUSTOMER, PRODUCT).distinct()
+    first = [F.min(first_of).alias("first")] if first_of else []
+    pairs = identified(df, keep_anonymous).groupBy(CUSTOMER, PRODUCT).agg(*first) if first else identified(df, keep_anonymous).select(CUSTOMER, PRODUCT).distinct()
     lookup = vocab.select(PRODUCT, "prod_idx")
     known = F.coalesce("prod_idx", F.lit(UNKNOWN))
     index = F.when(F.col(PRODUCT).isNotNull(), known)
-    return pairs.join(lookup, PRODUCT, "left").select(CUSTOMER, PRODUCT, index.alias("prod_idx"))
+    return pairs.join(lookup, PRODUCT, "left").select(CUSTOMER, PRODUCT, index.alias("prod_idx"), *(["first"] if first_of else []))
 
 
 def oov_summary(df: DataFrame, vocab: DataFrame, num_prods: int, keep_anonymous: bool = False) -> DataFrame:

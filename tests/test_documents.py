@@ -202,3 +202,42 @@ def test_windows_of_one_pass_are_those_of_the_epochs(spark):
             for r in windows.epoch_sample(docs, 4, method, 6 + i, 1).collect():
                 assert got[r["CUST_CODE"]]["contexts"][4 * i : 4 * i + 4] == r["context"]
                 assert r["target"] is None or got[r["CUST_CODE"]]["targets"][i] == r["target"]
+
+
+def dated(spark):
+    random.seed(8)
+    data = [(f"C{random.randrange(9)}", f"P{random.randrange(30)}", random.choice([None, *range(12)])) for _ in range(400)]
+    data += [("HOT", f"P{i % 3000:04}", (i * 7) % 1000) for i in range(9000)] + [("NONE", None, 3), (None, "P1", 1), ("C1", None, 0)]
+    return spark.createDataFrame(data, "CUST_CODE string, PROD_CODE string, day int"), data
+
+
+def python_dated(data, index):
+    first = {}
+    for c, p, day in data:
+        if c is not None:
+            docs = first.setdefault(c, {})
+            if p is not None:
+                docs[p] = min(docs.get(p, 10**9), 10**9 if day is None else day)
+    return {c: [index.get(p, 0) for p in sorted(d, key=lambda p: (d[p], p))] for c, d in first.items()}
+
+
+def test_documents_by_first_purchase(spark, monkeypatch):
+    """Also of a customer with thousands of unknown products, and in blocks that are far shorter than its document."""
+    df, data = dated(spark)
+    vocab = vocabulary.vocabulary(df, 20)
+    index = {r["PROD_CODE"]: r["prod_idx"] for r in vocab.collect()}
+    want = python_dated(data, index)
+    docs = documents.customer_documents(df, vocab, 20, order_by="day").cache()
+    got = {r[0]: r[1] for r in docs.select("CUST_CODE", documents.sequence(ordered=True)).collect()}
+    assert got == want and got["NONE"] == []
+    for r in docs.collect():
+        assert r["n_unknown"] == want[r["CUST_CODE"]].count(0) and len(r["unknown_runs"]) <= len(r["prod_idxs"]) + 1 <= 21
+    monkeypatch.setattr(windows, "BLOCK", 64)
+    pairs = Counter((r[0], r[1], tuple(r[2]), r[3]) for r in windows.dm_pairs(docs, 4).collect())
+    assert pairs == Counter((c, p, (*d[p - 2 : p], *d[p + 1 : p + 3]), d[p]) for c, d in want.items() if len(d) > 4 for p in range(2, len(d) - 2))
+    ahead = Counter((r[0], r[1], tuple(r[2])) for r in windows.dbow_pairs(docs, 4, include_last=True).collect())
+    assert ahead == Counter((c, p, tuple(d[p : p + 4])) for c, d in want.items() if len(d) > 4 for p in range(len(d) - 3))
+    for r in windows.epoch_sample(docs, 4, "dm", 2).collect():
+        d = want[r["CUST_CODE"]]
+        assert r["target"] == d[r["pos"]] and r["context"] == d[r["pos"] - 2 : r["pos"]] + d[r["pos"] + 1 : r["pos"] + 3]
+    docs.unpersist()
