@@ -35,12 +35,14 @@ def test_entry(spark):
     assert sum(r["TOT_CUSTS"] for r in rows) == known
 
 
-@pytest.mark.parametrize("name", ["customer_vectors_dbow", "customer_vectors_dm", "product_vectors_dm"])
-def test_vectors_are_whole_and_finite(spark, name):
+@pytest.mark.parametrize(
+    "name, dim", [("customer_vectors_dbow", 32), ("customer_vectors_dm", 32), ("product_vectors_dm", 32), ("customer_vectors_full_size", 256)]
+)
+def test_vectors_are_whole_and_finite(spark, name, dim):
     table = QUERIES[name](spark, str(SF)).persist()
     key = table.columns[0]
     bad = F.exists("vector", lambda x: F.isnan(x) | x.isNull() | (F.abs(x) > 1e6))
-    assert table.where(bad | (F.size("vector") != 32)).count() == 0
+    assert table.where(bad | (F.size("vector") != dim)).count() == 0
     assert table.select(key).distinct().count() == table.count()
     if key == "CUST_CODE":
         assert table.count() == QUERIES["customer_documents"](spark, str(SF)).count()
