@@ -41,6 +41,12 @@ def _parts(ddl: str) -> list[list[str]]:
     return [part.split(" ", 1) for part in ddl.split(", ")]
 
 
+def by_customer(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """A join by customer, in which the anonymous one is a customer like any other."""
+    right = right.withColumnRenamed(CUSTOMER, "_code")
+    return left.join(right, F.col(CUSTOMER).eqNullSafe(F.col("_code")), how).drop("_code")
+
+
 def _shaped(df: DataFrame, **columns: str) -> DataFrame:
     """``df`` as rows of the task, from SQL expressions; columns that are not given are NULL."""
     made = {"vector": "vector", "state": "state", **columns}
@@ -170,7 +176,7 @@ class Rotation:
 
     def _drawn(self, epoch: int) -> DataFrame:
         """The customers with the windows of an epoch and the rounds in which they are due."""
-        rows = self.docs.join(self.customers, CUSTOMER)
+        rows = by_customer(self.docs, self.customers)
         rows = epoch_windows(rows, self.window, self.method, epoch, self.seed, self.count, keep=["vector", "state"])
         width = 1 if self.method == "dm" else self.window
         due = "targets" if self.method == "dm" else "contexts"

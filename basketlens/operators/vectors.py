@@ -76,7 +76,8 @@ def start_vector(dim: int, seed: int, layer: str = "customer", key: str = CUSTOM
     """Start values of a row, even between -limit and limit, from a hash that any SQL engine can recompute."""
 
     def value(i):
-        unit = hash32(seed, layer, F.col(key).cast("string"), i.cast("string")) / F.lit(float(1 << 32))
+        name = F.coalesce(F.col(key).cast("string"), F.lit(""))  # anonymous lines may be kept as one customer
+        unit = hash32(seed, layer, name, i.cast("string")) / F.lit(float(1 << 32))
         return ((unit * 2 - 1) * limit).cast("float")
 
     return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), value)
@@ -228,7 +229,7 @@ class _Copies:
         self.spark, self.path, self.combine, self.partitions = docs.sparkSession, path, combine, partitions
         # The state of a customer is its document, vector and velocity in one row. With the document at hand an
         # epoch needs no join, only the shuffle that restores the layout.
-        self.state = docs.join(customers, CUSTOMER).withColumnRenamed("state", "velocity")
+        self.state = rotation.by_customer(docs, customers).withColumnRenamed("state", "velocity")
         self.draw = lambda state, epoch: epoch_windows(state, window, method, epoch, seed, count, keep=["n_unknown", "prod_idxs", "vector", "velocity"])
         self.task = lambda layers: _epoch_task(layers, method, window, rate, momentum, batch_size)
         self.shared = _start_shared(num_prods, dim, method, seed)
@@ -473,7 +474,7 @@ def train_vectors(
     if start:
         moving = start.velocities.where("kind = 'customer'").select(CUSTOMER, F.col("velocity").alias("_state"))
         known = start.customer_vectors.withColumnRenamed("vector", "_vector")
-        customers = customers.join(known, CUSTOMER, "left").join(moving, CUSTOMER, "left")
+        customers = rotation.by_customer(rotation.by_customer(customers, known, "left"), moving, "left")
         customers = customers.select(CUSTOMER, *[F.coalesce(f"_{c}", c).alias(c) for c in ("vector", "state")])
         history = [tuple(r) for r in start.history.orderBy("epoch").select("epoch", "loss", "accuracy", "n_examples").collect()]
     known = (docs, customers, num_prods, dim, run, method, window, partitions, count, batch_size)

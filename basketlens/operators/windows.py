@@ -28,6 +28,11 @@ def eligible(docs: DataFrame, window: int) -> DataFrame:
     return docs.where(length() > window)
 
 
+def _code() -> Column:
+    """The customer in hashes; empty for the anonymous one, where it is kept."""
+    return F.coalesce(F.col(CUSTOMER), F.lit(""))
+
+
 def _first(method: str, window: int) -> int:
     return window // 2 if method == "dm" else 0
 
@@ -102,7 +107,7 @@ def epoch_sample(
     epoch sees every customer once and a rerun draws the same examples on any layout.
     """
     check_window(method, window)
-    draw = hash32(seed, epoch, F.col(CUSTOMER)) % (length() - window).cast("bigint")
+    draw = hash32(seed, epoch, _code()) % (length() - window).cast("bigint")
     rows = _decoded(eligible(docs, window)).withColumn("pos", (draw + _first(method, window)).cast("int"))
     position, at = F.col("pos"), _reader(rows)
     if method == "dm":
@@ -121,7 +126,7 @@ def epoch_windows(docs: DataFrame, window: int, method: str, epoch: int, seed: i
     check_window(method, window)
 
     def place(i):
-        draw = hash32(seed, (i + epoch * count).cast("string"), F.col(CUSTOMER)) % (length() - window).cast("bigint")
+        draw = hash32(seed, (i + epoch * count).cast("string"), _code()) % (length() - window).cast("bigint")
         return (draw + _first(method, window)).cast("int")
 
     rows = _decoded(eligible(docs, window)).withColumn("_places", F.transform(F.sequence(F.lit(0), F.lit(count - 1)), place))

@@ -324,6 +324,18 @@ def test_vectors_separate_the_two_kinds_of_customers(docs):
     assert between > within
 
 
+@pytest.mark.parametrize("how", [{"partitions": 2}, {"partitions": 1, "combine": "sum"}])
+def test_anonymous_lines_kept_as_one_customer(spark, docs, how):
+    known = docs.union(spark.createDataFrame([(None, 2, [1, 2, 3, 4])], docs.schema))
+    model = vectors.train_vectors(known, PRODS, "dm", epochs=2, **{**SMALL, **how})
+    got = dict(map(tuple, model.customer_vectors.collect()))
+    assert len(got) == docs.count() + 1 and None in got
+    assert all(np.isfinite(v).all() for v in got.values())
+    assert [r["n_examples"] for r in model.history.collect()] == [151, 151]
+    again = vectors.train_vectors(known, PRODS, "dm", epochs=1, start=model, **{**SMALL, **how}) if how["partitions"] == 2 else model
+    assert again.customer_vectors.where("CUST_CODE is null").count() == 1
+
+
 def test_short_documents_keep_their_start_vector(docs):
     model = vectors.train_vectors(docs, PRODS, "dbow", epochs=1, **SMALL)
     start = dict(rows(docs.select("CUST_CODE", vectors.start_vector(DIM, 1))))
