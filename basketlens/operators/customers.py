@@ -57,8 +57,9 @@ def customer_index(df: DataFrame, hex_digits: int = 3, keep_anonymous: bool = Fa
 
 
 def to_index(df: DataFrame, index: DataFrame) -> DataFrame:
-    """Replace CUST_CODE by cust_idx."""
-    return df.join(index, CUSTOMER).drop(CUSTOMER)
+    """Replace CUST_CODE by cust_idx, also that of the anonymous customer where it is kept."""
+    index = index.withColumnRenamed(CUSTOMER, "_code")
+    return df.join(index, F.col(CUSTOMER).eqNullSafe(F.col("_code"))).drop(CUSTOMER, "_code")
 
 
 def to_code(df: DataFrame, index: DataFrame) -> DataFrame:

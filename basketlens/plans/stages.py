@@ -8,11 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.operators import documents, profiles, quality, segments, vectors, vocabulary
-from basketlens.operators.customers import customer_index, identified, sample_customers
+from basketlens.operators.customers import customer_index, identified, sample_customers, to_code, to_index
 from basketlens.operators.kpis import segment_kpis
-from basketlens.schema import CALENDAR, REPORT_VARIABLES, SEGMENT, TRANSACTIONS
+from basketlens.schema import CALENDAR, CUSTOMER, REPORT_VARIABLES, SEGMENT, TRANSACTIONS
 from basketlens.sources import staging, storage
 
+INDEX = "cust_idx"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -48,6 +50,7 @@ class Layout:
         self.documents = f"{root}/documents"
         self.model = f"{root}/vector-model"
         self.snapshots = f"{root}/vector-snapshots"
+        self.vectors = f"{root}/customer-vectors"
         self.sweep = f"{root}/kmeans-sweep"
         self.kmeans = f"{root}/kmeans-model"
         self.scored = f"{root}/scored-kmeans"
@@ -79,7 +82,7 @@ def prepare(spark: SparkSession, layout: Layout, settings: Settings) -> None:
 
 
 def train(spark: SparkSession, layout: Layout, settings: Settings) -> vectors.VectorModel:
-    """Documents to customer vectors."""
+    """Documents to customer vectors, which are also written by customer index: a number in place of a code for what follows."""
     model = vectors.train_vectors(
         storage.read_table(spark, layout.documents),
         settings.num_prods,
@@ -96,22 +99,27 @@ def train(spark: SparkSession, layout: Layout, settings: Settings) -> vectors.Ve
         partitions=settings.partitions,
     )
     model.save(layout.model)
-    return vectors.VectorModel.load(spark, layout.model)
+    model = vectors.VectorModel.load(spark, layout.model)
+    storage.write_table(to_index(model.customer_vectors, storage.read_table(spark, layout.customers)), layout.vectors)
+    return model
 
 
 def segment(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
-    """Customer vectors to one segment per customer; the sweep over k is written if asked for."""
-    model = vectors.VectorModel.load(spark, layout.model)
-    features = segments.assemble(model.customer_vectors)
+    """Customer vectors to one segment per customer; the sweep over k is written if asked for.
+
+    All of it runs on customer indexes; codes come back with the scores, by key."""
+    features = segments.assemble(storage.read_table(spark, layout.vectors), key=INDEX)
     if settings.sweep:
         sweep = segments.kmeans_sweep(
-            features, settings.sweep_k_max, seed=settings.seed, partitions=settings.partitions
+            features, settings.sweep_k_max, seed=settings.seed, key=INDEX, partitions=settings.partitions
         )
         storage.write_table(sweep, layout.sweep)
     fitted = segments.fit_segments(
-        features, settings.k, settings.seed, partitions=settings.partitions, save_path=layout.kmeans
+        features, settings.k, settings.seed, key=INDEX, partitions=settings.partitions, save_path=layout.kmeans
     )
-    return segments.score_segments(features, fitted, save_path=layout.scored)
+    scored = to_code(segments.score_segments(features, fitted, key=INDEX), storage.read_table(spark, layout.customers))
+    storage.write_table(scored.select(CUSTOMER, SEGMENT), layout.scored)
+    return storage.read_table(spark, layout.scored)
 
 
 def profile(spark: SparkSession, layout: Layout, variables=REPORT_VARIABLES) -> None:

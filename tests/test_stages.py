@@ -30,6 +30,8 @@ def test_run_all(spark, raw, tmp_path):
     assert staging.read_staged(spark, layout.calendar, CALENDAR).count() == trans.select("SHOP_WEEK").distinct().count()
     customers = {r[0] for r in rows(storage.read_table(spark, layout.customers))}
     scored = storage.read_table(spark, layout.scored)
+    vectors_ = storage.read_table(spark, layout.vectors)
+    assert sorted(r["cust_idx"] for r in vectors_.collect()) == list(range(len(customers)))
     assert {r[0] for r in rows(scored)} == customers
     assert [r["k"] for r in storage.read_table(spark, layout.sweep).orderBy("k").collect()] == [2, 3]
     assert storage.read_table(spark, f"{layout.snapshots}-1").count() == len(customers)
