@@ -10,9 +10,11 @@ Defined cases: a NULL text has size 0; NULL is a source of its own, sorted last;
 an empty table gives an empty mix; repeated rows are documents of their own.
 """
 
+import itertools
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +77,24 @@ def slot_counts(targets: Sequence[tuple], lengths: Sequence[int], max_repeats: i
     return out
 
 
+def _listed(values: Sequence, kind: str) -> Column:
+    """The values as one constant array, so that the plan does not grow with the number of sources."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
+def _by_src(values: Sequence, kind: str = "long") -> Column:
+    """The value of a row's source."""
+    return F.get(_listed(values, kind), F.col("src"))
+
+
+def _count_reached(bounds: Sequence[float], point: Column) -> Column:
+    """How many of the ascending bounds are at most ``point``, by halving steps."""
+    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
+    ends = _listed(bounds, "double")
+    fits = lambda low, step: (low + step <= len(bounds)) & (F.get(ends, low + step - 1) <= point)
+    return F.aggregate(_listed(steps, "int"), F.lit(0), lambda low, step: F.when(fits(low, step), low + step).otherwise(low))
+
+
 def _ranked(slots: DataFrame) -> DataFrame:
     """``source_rank`` for (slot, src). Ranks are counted inside chunks of slots, then the chunks' counts are added up:
     no task ranks a whole source."""
@@ -91,27 +111,21 @@ def schedule(spark, targets: Sequence[tuple], block_words: int = BLOCK_WORDS, ma
     lengths = block_lengths(targets, block_words)
     wanted = slot_counts(targets, lengths, max_repeats)
     n_slots = sum(wanted)
-    bounds, reached = [], 0
-    for n in wanted:
-        reached += n
-        bounds.append(reached / n_slots if n_slots else 0.0)
     last = max((i for i, n in enumerate(wanted) if n), default=0)
+    bounds = [reached / n_slots for reached in itertools.accumulate(wanted[:last])]
     point = F.expr(f"((slot + 1D) * {GOLDEN!r}D) - floor((slot + 1D) * {GOLDEN!r}D)")
-    src = F.lit(last)
-    for i in reversed(range(last)):
-        src = F.when(F.col("point") < bounds[i], i).otherwise(src)
-    slots = spark.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point).select("slot", src.cast("int").alias("src"))
+    slots = spark.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point)
+    slots = slots.select("slot", _count_reached(bounds, F.col("point")).alias("src"))
     # The points miss a share by a few slots. A source's last ones beyond its number are numbered, and go to those that lack some.
     given = {r["src"]: r["count"] for r in slots.groupBy("src").count().collect()}
     extra = [max(0, given.get(i, 0) - n) for i, n in enumerate(wanted)]
     lacking = [i for i, n in enumerate(wanted) for _ in range(n - given.get(i, 0))]
-    by_src = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("src") + 1)
     if lacking:
-        over = F.col("source_rank") - by_src(wanted)
-        number = over + by_src([sum(extra[:i]) for i in range(len(extra))])
-        moved = F.get(F.array(*[F.lit(i) for i in lacking]), number.cast("int"))
+        over = F.col("source_rank") - _by_src(wanted)
+        number = over + _by_src([0, *itertools.accumulate(extra[:-1])])
+        moved = F.get(_listed(lacking, "int"), number.cast("int"))
         slots = cut(_ranked(slots).select("slot", F.when(over >= 0, moved).otherwise(F.col("src")).alias("src")), "mix-slots")
-    blocks = by_src([math.ceil(t[2] / n) for t, n in zip(targets, lengths)])
+    blocks = _by_src([math.ceil(t[2] / n) for t, n in zip(targets, lengths)])
     ranked = _ranked(slots).withColumn("n_blocks", blocks)
     ranked = ranked.withColumn("epoch", F.floor(F.col("source_rank") / F.col("n_blocks")))
     return ranked.select("slot", "src", "source_rank", "epoch", (F.col("source_rank") % F.col("n_blocks")).alias("block"))
@@ -123,12 +137,11 @@ def shuffled_places(sized: DataFrame, targets: Sequence[tuple], key: Column) ->
     ``key`` is a hexadecimal digest. A source is cut into buckets by its first digits; documents are ordered
     inside buckets and the buckets' sums are added up, so a large source is spread like small ones.
     """
-    names = [t[0] for t in targets]
-    src = F.lit(None).cast("int")
-    for i, name in enumerate(names):
-        src = F.when(F.col("source").eqNullSafe(F.lit(name).cast("string")), i).otherwise(src)
-    buckets = F.element_at(F.array(*[F.lit(max(1, math.ceil(t[1] / BUCKET_DOCS))) for t in targets]), F.col("src") + 1)
-    keyed = sized.withColumn("src", src).withColumn("key", key)
+    # A local table of one row per source, whose size the optimizer knows.
+    names = pa.table({"name": pa.array([t[0] for t in targets], pa.string()), "src": pa.array(range(len(targets)), pa.int32())})
+    sources = sized.sparkSession.createDataFrame(names)
+    buckets = _by_src([max(1, math.ceil(t[1] / BUCKET_DOCS)) for t in targets])
+    keyed = sized.join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn("key", key)
     share = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     keyed = keyed.withColumn("bucket", F.floor(share * buckets / (1 << 32)))
     order = Window.partitionBy("src", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -154,7 +167,7 @@ def mix(docs: DataFrame, whole: bool = False, weights: Sequence[float] = WEIGHTS
     placed = cut(shuffled_places(sized, targets, key).drop("text_key"), "mix-places")
     # (src, start) names a document that has words; the others take nothing.
     lasting = placed.where("size > 0").select("src", "start", "size")
-    words = F.element_at(F.array(*[F.lit(n).cast("long") for n in block_lengths(targets, block_words)]), F.col("src") + 1)
+    words = _by_src(block_lengths(targets, block_words))
     first, end = F.floor(F.col("start") / words), F.floor((F.col("start") + F.col("size") - 1) / words)
     cells = lasting.withColumn("block", F.explode(F.sequence(first, end)))
     times = schedule(spark, targets, block_words, max_repeats).groupBy("src", "block").agg(F.count("*").alias("times"))
@@ -169,10 +182,9 @@ def mix(docs: DataFrame, whole: bool = False, weights: Sequence[float] = WEIGHTS
 def mixed_words(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken per document."""
     targets, rows = mix(docs)
-    by_src = lambda values, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values or [0]]), F.col("src") + 1)
     return rows.select(
-        "doc_id", "size", by_src([t[2] for t in targets], "long").alias("source_size"),
-        by_src([t[3] for t in targets], "double").alias("target"),
+        "doc_id", "size", _by_src([t[2] for t in targets]).alias("source_size"),
+        _by_src([t[3] for t in targets], "double").alias("target"),
         F.aggregate("takes", F.lit(0).cast("long"), lambda a, x: a + x).alias("taken"),
     )
 
