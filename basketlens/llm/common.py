@@ -12,7 +12,6 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 # Words are maximal runs of anything but the six ASCII white-space characters.
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
-LAST = (1 << 63) - 1
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -56,14 +55,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def bucketed(docs: DataFrame, name: str) -> DataFrame:
-    """The documents as a table bucketed by ``doc`` (doc_id, the last number for NULL): later joins on it move no text.
+    """The documents as a table bucketed by ``doc``: later joins on it move no text.
 
-    ``row`` holds the columns; ``copy`` tells texts apart that share a doc_id. The table goes when the driver ends."""
+    ``doc`` is the doc_id. Rows without one take a number from 2**62 on, a hash of their text, which spreads them and keeps
+    what is gathered per ``doc`` as small as one text. ``row`` holds the columns; ``copy`` tells texts apart that share a doc_id, and ``lead`` marks one row of each. The table goes when the driver ends."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{name}_{uuid.uuid4().hex}"
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"))
-    keyed = keyed.repartition(n, "doc").withColumn("copy", F.dense_rank().over(Window.partitionBy("doc").orderBy("row.text")) - 1)
+    nameless = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), nameless).alias("doc"))
+    by_text = Window.partitionBy("doc").orderBy("row.text")
+    keyed = keyed.repartition(n, "doc").withColumns({"copy": F.dense_rank().over(by_text) - 1, "lead": F.row_number().over(by_text) == F.rank().over(by_text)})
     keyed.write.bucketBy(n, "doc").sortBy("doc").option("compression", "zstd").saveAsTable(name)
     atexit.register(lambda: spark.sparkContext._jsc and spark.sql(f"drop table if exists {name}"))
     return spark.table(name)

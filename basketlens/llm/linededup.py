@@ -8,8 +8,8 @@ Near lines: a line of length l is split into threshold + 1 segments. A line with
 them unchanged, near the same position, so it is enough to look up, for every length in reach, the few substrings
 that can be that segment. Candidates are verified with a banded bit-parallel edit distance.
 
-Defined cases: NULL and empty text has no lines to remove and is returned as it is; rows without doc_id come last;
-repeated rows have the same places and do not remove each other's lines; other columns pass through untouched; all
+Defined cases: NULL and empty text has no lines to remove and is returned as it is; rows without doc_id come after
+all ids below 2**62, in order of a hash of their texts; repeated rows have the same places and do not remove each other's lines; other columns pass through untouched; all
 documents stay, even without lines.
 """
 
@@ -132,7 +132,7 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
     # The texts come to the rows before the join, so that it makes near pairs only, not the pairs of a frequent segment.
     wanted = _by_doc(rows.select("doc", "copy", "pos"), "wanted")
     own = F.transform(F.array_distinct(_of_copy("wanted")), lambda p: F.struct(p.alias("pos"), _clean(F.get(F.col("row.text"), p)).alias("line")))
-    texts = laid.join(wanted, "doc").select("doc", "copy", F.inline(own)).select(F.struct("doc", "copy", "pos").alias("place"), "line")
+    texts = laid.where("lead").join(wanted, "doc").select("doc", "copy", F.inline(own)).select(F.struct("doc", "copy", "pos").alias("place"), "line")
     texts = cut(texts.withColumn("sketch", letter_parity(F.col("line"))), "line-texts")
     rows = cut(rows.select("key", "role", F.struct("doc", "copy", "pos").alias("place")).join(texts, "place"), "line-rows")
     side = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("place", "line", "sketch")]
@@ -153,10 +153,10 @@ def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     laid = bucketed(docs.withColumn("text", F.split("text", "\n")), "lines")
     text = F.col("row.text")
     cells = F.transform(text, lambda line, i: F.struct(i.alias("pos"), _clean(line).alias("line")))
-    repeats = cut(_by_doc(_repeated(laid.select("doc", "copy", F.inline(cells))), "repeats"), "line-repeats")
+    repeats = cut(_by_doc(_repeated(laid.where("lead").select("doc", "copy", F.inline(cells))), "repeats"), "line-repeats")
     marked = laid.join(repeats, "doc", "left").withColumn("repeats", F.coalesce(_of_copy("repeats"), F.array().cast("array<int>")))
     first = F.transform(_kept_places(text, F.col("repeats")), lambda p: F.struct(p.alias("pos"), _clean(F.get(text, p)).alias("line")))
-    firsts = marked.select("doc", "copy", F.inline(first)).where("line <> ''")
+    firsts = marked.where("lead").select("doc", "copy", F.inline(first)).where("line <> ''")
     nears = cut(_by_doc(_near(firsts, laid, threshold), "nears"), "line-nears")
     marked = marked.join(nears, "doc", "left").withColumn("nears", F.coalesce(_of_copy("nears"), F.array().cast("array<int>")))
     return marked.select("row", "repeats", "nears")

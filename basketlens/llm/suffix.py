@@ -17,8 +17,8 @@ in every round would move some thirty times the input, so the positions are thin
 
 Names are 64-bit hashes, and two texts are taken as equal where an anchor's name and a second name agree.
 
-Defined cases: NULL and empty text has no bytes; matches never cross documents; rows whose doc_id is NULL come last;
-rows that share a doc_id are ordered by place alone, so repeated rows do not remove each other; other columns are
+Defined cases: NULL and empty text has no bytes; matches never cross documents; rows without doc_id come after
+all ids below 2**62, in order of a hash of their texts; rows that share a doc_id are ordered by place alone, so repeated rows do not remove each other; other columns are
 ignored.
 """
 
@@ -226,7 +226,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     laid = bucketed(docs.select("doc_id", "text"), "suffix")
     spark = docs.sparkSession
     text = F.col("row.text").alias("text")
-    rows = laid.select("doc", "copy", text).mapInArrow(_anchor_rows, "h long, s long, doc long, copy int, first int, n short, shift short, known boolean")
+    leads = laid.where("lead")
+    rows = leads.select("doc", "copy", text).mapInArrow(_anchor_rows, "h long, s long, doc long, copy int, first int, n short, shift short, known boolean")
     by_name, by_pair = Window.partitionBy("h"), Window.partitionBy("h", "s").orderBy("doc", "first")
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h")
     rows = rows.withColumns({"doc0": F.first("doc").over(by_pair), "first0": F.first("first").over(by_pair), "rank": F.row_number().over(by_pair)})
@@ -237,7 +238,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     # Joined on doc alone, which the table is bucketed by.
     edges = rows.where("not again").groupBy("doc").agg(F.collect_list(F.struct("copy", "h", "first", "n")).alias("edges"))
-    left = laid.join(edges, "doc").withColumn("edges", F.filter("edges", lambda e: e["copy"] == F.col("copy"))).select("doc", "copy", text, "edges")
+    left = leads.join(edges, "doc").withColumn("edges", F.filter("edges", lambda e: e["copy"] == F.col("copy"))).select("doc", "copy", text, "edges")
     pieces = left.mapInArrow(_pieces, "h long, doc long, copy int, first int, n short, piece binary")
     pieces = pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h").sortWithinPartitions("h")
     ranked = cut(pieces.mapInArrow(_rank_strings, "kind int, doc long, copy int, first int, n int, name long, name2 long"), "suffix-strings")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -268,6 +269,24 @@ def test_repeated_bytes_of_odd_tables(spark, docs):
     assert suffix.repeat_report(no_documents(spark)).count() == 0
 
 
+def test_many_rows_without_id(spark):
+    """They are ordered by a hash of their texts and gathered by text, not all together."""
+    passage = "a passage that thousands of documents without any id share, and that is long enough to be seen in each of them"
+    rows = [(None, f"{hashlib.md5(str(i).encode()).hexdigest()}\n{passage}\n{hashlib.md5(f"-{i}".encode()).hexdigest()}") for i in range(12_000)]
+    table = spark.createDataFrame(rows + rows[:2000] + [(None, rows[0][1])] * 3000 + [(7, passage)], "doc_id long, text string").repartition(8)
+    order = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62)).alias("at")
+    texts = {r["at"]: r["text"] for r in table.select(F.coalesce("doc_id", order).alias("at"), "text").collect()}
+    assert len(texts) == 12_001
+    want = collections.Counter()
+    by_text = dict(zip((texts[d] for d in sorted(texts)), expected_bytes(texts).values()))
+    for r in table.select("text").collect():
+        want[by_text[r["text"]]] += 1
+    got = suffix.repeat_report(table).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert collections.Counter(map(tuple, got)) == want
+    lines = linededup.line_report(table).groupBy("n_lines", "n_repeated", "n_near").count().collect()
+    assert sorted(map(tuple, lines)) == [(1, 0, 0, 1), (3, 1, 0, 17_000)]
+
+
 # ---- 9 ----
 
 
@@ -308,6 +327,18 @@ def test_small_sources_reach_their_targets(spark):
         assert r["taken"] <= 3 * r["source_size"]
 
 
+def test_thousands_of_sources(spark):
+    """One plan for any number of sources; the points of a source are found by halving."""
+    rows = [(i, "w " * (30 + i % 3 * 10), f"host{i % 5000}" if i % 5000 else None) for i in range(10_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_source = mixing.mixed_words(table).withColumn("source", F.pmod("doc_id", F.lit(5000))).groupBy("source")
+    got = by_source.agg(F.max("source_size").alias("size"), F.max("target").alias("target"), F.sum("taken").alias("taken"), F.sum("size").alias("sizes")).collect()
+    assert len(got) == 5000
+    for r in got:
+        assert r["size"] == r["sizes"] and r["taken"] <= 3 * r["size"]
+        assert abs(r["taken"] - r["target"]) <= math.ceil(r["size"] / mixing.MIN_BLOCKS)
+
+
 def test_every_source_with_a_target_has_a_slot(spark):
     targets = [("a", 1, 10_000_000, 10_000_000.0), ("b", 1, 1, 1.0), ("c", 1, 40, 0.2), ("d", 0, 0, 0.0)]
     counts = collections.Counter(r["src"] for r in mixing.schedule(spark, targets).collect())
