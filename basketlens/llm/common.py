@@ -51,7 +51,16 @@ def save(df: DataFrame, name: str) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Continue from a written copy of ``df``: lost executors then cost no earlier step."""
-    return df.sparkSession.read.schema(df.schema).parquet(save(df, name))
+    path = save(df, name)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def release(*cuts: DataFrame) -> None:
+    """Delete what ``cut`` wrote, once nothing reads it any more."""
+    for df in cuts:
+        discard(df.sparkSession, df.cut_path)
 
 
 def bucketed(docs: DataFrame, name: str) -> DataFrame:
@@ -87,7 +96,12 @@ def publish(uri: str, name: str, data: bytes) -> str:
     part = f"{path}/.{name}.{uuid.uuid4().hex}"
     with fs.open_output_stream(part, compression=None) as out:
         out.write(data)
-    fs.move(part, f"{path}/{name}")
+    try:
+        fs.move(part, f"{path}/{name}")
+    except OSError:  # some file systems don't replace the file of an earlier attempt
+        if fs.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(part)
     return f"{uri}/{name}"
 
 

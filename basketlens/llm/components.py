@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import cut
+from basketlens.llm.common import cut, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,12 +16,18 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     edges = cut(_down(edges), "edges")
     while True:
-        large = cut(_large_star(edges), "edges")
-        small = cut(_small_star(large), "edges")
+        large, lowest = _large_star(edges)
+        large = cut(large, "edges")
+        release(lowest)
+        small, lowest = _small_star(large)
+        small = cut(small, "edges")
+        release(large, lowest)
         # Both steps only move ends down; when neither changes the set of edges, every edge ends at a root.
         if _digest(small) == _digest(edges):
             break
+        release(edges)
         edges = small
+    release(edges)
     # Each edge (a, b) now has b < a, and b is the root.
     found = small.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     return found.unionByName(small.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
@@ -32,19 +38,19 @@ def _down(edges):
 
 
 def _large_star(edges):
-    """Every neighbour above an id is linked to the smallest of the id and its neighbours."""
+    """Every neighbour above an id is linked to the smallest of the id and its neighbours; with the minima that were written."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "minima")
     moved = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b").distinct(), lowest
 
 
 def _small_star(edges):
-    """Every neighbour below an id, and the id itself, is linked to the smallest of them."""
+    """Every neighbour below an id, and the id itself, is linked to the smallest of them; with the minima that were written."""
     lowest = cut(edges.groupBy("a").agg(F.min("b").alias("m")), "minima")
     moved = edges.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = lowest.select("a", F.col("m").alias("b"))
-    return moved.unionByName(own).where("a <> b").distinct()
+    return moved.unionByName(own).where("a <> b").distinct(), lowest
 
 
 def _digest(edges):

@@ -7,20 +7,23 @@ Documents with equal sets form one class, which its smallest id stands for. Clas
 bucket. There each class is first compared with the bucket's smallest id, which settles groups of copies without
 pairs among them. Buckets that still hold several components compare the rest, block by block on signatures; what may
 be linked makes a family, and the blocks of a family confirm the links that join its components. Every link is
-confirmed on whole shingle sets.
+confirmed on whole shingle sets. A block is written once and read by the tasks that compare it with others.
 
 Defined cases: NULL and empty text, or text without words, has an empty set and no links; a row whose doc_id is
 NULL has no component and is kept; rows that share a doc_id are versions of one document: a link of one of them is
 a link of that doc_id; other columns are ignored.
 """
 
+import io
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import cut, sorted_runs
+from basketlens.llm.common import cut, discard, publish, release, shared_folder, sorted_runs, store
 from basketlens.llm.components import components, smallest_labels
 
 HASHES = 128
@@ -28,6 +31,8 @@ BAND_ROWS = 4
 # Two sets with a similarity of 0.8 agree in 102 of 128 minima, give or take 4.5; four such steps are allowed.
 SLACK = 18
 BLOCK = 1024
+# A task compares a block with so many others.
+MEETINGS = 16
 MEMO_WORDS = 300_000
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -146,79 +151,141 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _in_cells(rows: DataFrame, group: str) -> DataFrame:
-    """``rows`` dealt to cells (group, lo, hi) and sorted by them: a group's block lo meets its block hi."""
-    sizes = rows.groupBy(group).agg((F.floor(F.count("*") / BLOCK) + 1).alias("n_blocks"))
-    laid = rows.join(cut(sizes, "group-sizes"), group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
-    cells = laid.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    cells = cells.select(group, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component_id", "signature", *[c for c in rows.columns if c == "text"])
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartition(n, group, "lo", "hi").sortWithinPartitions(group, "lo", "hi")
-
-
-def _meetings(batches):
-    """(ids, components, signatures, left places, right places, same block, cell) per cell."""
-    for cell in sorted_runs(batches, 3):
-        lo, hi = cell.column(1)[0].as_py(), cell.column(2)[0].as_py()
-        block, ids, comp = (cell.column(i).to_numpy() for i in (3, 4, 5))
-        if len(ids) < 2:
+class Block:
+    """Rows of a group: ids, components, signatures, and their shingle codes one after another (none for a bucket)."""
+
+    def __init__(self, ids, component, signature, codes, sizes):
+        self.arrays = ids, component, signature, codes, sizes
+        self.ids, self.component, self.signature, self.codes, self.sizes = self.arrays
+        self.ends = np.cumsum(sizes)
+        self._postings = None
+
+    def __len__(self):
+        return len(self.ids)
+
+    def dump(self) -> bytes:
+        data = io.BytesIO()
+        for values in self.arrays:
+            np.save(data, values)
+        return data.getvalue()
+
+    @classmethod
+    def load(cls, uri: str) -> "Block | None":
+        """None for a block that no row fell into."""
+        fs, path = store(uri)
+        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            return None
+        with fs.open_input_file(path) as f:
+            data = io.BytesIO(f.read())
+        return cls(*(np.load(data) for _ in range(5)))
+
+    def set_of(self, i: int) -> np.ndarray:
+        return self.codes[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def shared(self, codes: np.ndarray) -> np.ndarray:
+        """How many of the distinct ``codes`` each row holds."""
+        if self._postings is None:
+            order = np.argsort(self.codes, kind="stable")
+            self._postings = self.codes[order], np.repeat(np.arange(len(self)), self.sizes)[order]
+        sorted_, owner = self._postings
+        out = np.zeros(len(self), np.int64)
+        for start in range(0, len(codes), 4096):
+            part = codes[start : start + 4096]
+            first = np.searchsorted(sorted_, part, "left")
+            n = np.searchsorted(sorted_, part, "right") - first
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out += np.bincount(owner[at], minlength=len(self))
+        return out
+
+
+def _likely(left: Block, i: int, right: Block, itself: bool, floor: int) -> np.ndarray:
+    """The places of ``right`` that row ``i`` of ``left`` agrees with often enough, in other components."""
+    js = np.flatnonzero(right.component != left.component[i])
+    js = js[js > i] if itself else js
+    return js[(right.signature[js] == left.signature[i]).sum(axis=1) >= floor]
+
+
+def _connecting(left: Block, other: Block | None, floor: int):
+    """Edges that connect what the likely pairs of two blocks (or of one) connect; a row sends one at most."""
+    right, shift = other or left, len(left) if other else 0
+    pairs = [(i, _likely(left, i, right, other is None, floor)) for i in range(len(left))]
+    i = np.concatenate([np.full(len(js), i) for i, js in pairs])
+    j = np.concatenate([js for _, js in pairs]) + shift
+    ids = np.concatenate([left.ids, right.ids]) if other else left.ids
+    labels = smallest_labels(ids.copy(), i, j)
+    at = labels != ids
+    return ids[at], labels[at]
+
+
+def _joining(left: Block, other: Block | None, floor: int, percent: int):
+    """Confirmed links of two blocks (or of one) that join two of their components."""
+    right, out = other or left, []
+    names, place = np.unique(np.concatenate([left.component, right.component]), return_inverse=True)
+    of_left, of_right = place[: len(left)], place[len(left) :]
+    root = np.arange(len(names))
+    for i in range(len(left)):
+        js = _likely(left, i, right, other is None, floor)
+        js = js[root[of_right[js]] != root[of_left[i]]]
+        if not len(js):
             continue
-        sig = np.frombuffer(b"".join(cell.column(6).to_pylist()), "<u4").reshape(len(ids), -1)
-        yield ids, comp, sig, np.flatnonzero(block == lo), np.flatnonzero(block == hi), lo == hi, cell
-
-
-def _likely(place, right, comp, sig, floor, same):
-    """The places of ``right`` that ``place`` agrees with often enough, in other components."""
-    js = right[right > place] if same else right
-    js = js[comp[js] != comp[place]]
-    return js[(sig[js] == sig[place]).sum(axis=1) >= floor]
-
-
-def _families(members: DataFrame, floor: int) -> DataFrame:
-    """(a, b) that connect what any pair of a bucket with likely signatures and different components connects: a row of a
-    cell sends one edge at most, so the edges do not grow with the pairs."""
-
-    def run(batches):
-        for ids, comp, sig, left, right, same, _ in _meetings(batches):
-            pairs = [(i, _likely(i, right, comp, sig, floor, same)) for i in left]
-            i = np.concatenate([np.full(len(js), i) for i, js in pairs] or [left[:0]])
-            j = np.concatenate([js for _, js in pairs] or [right[:0]])
-            labels = smallest_labels(ids.copy(), i, j)
-            at = labels != ids
-            if at.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at])], ["a", "b"])
-
-    return _in_cells(members, "bucket").mapInArrow(run, "a long, b long").distinct()
-
-
-def _across(members: DataFrame, words: int, percent: int, floor: int) -> DataFrame:
-    """Confirmed links (a, b) between components of a family. Only links that join two components of the cell are sent."""
-
-    def run(batches):
-        shingler = Shingler(words)
-        for ids, comp, sig, left, right, same, cell in _meetings(batches):
-            codes, root, out = {}, {}, []
-
-            def find(c):
-                while root.get(c, c) != c:
-                    c = root[c]
-                return c
-
-            def of(i):
-                if i not in codes:
-                    codes[i] = shingler.codes(cell.column(7)[int(i)].as_py())
-                return codes[i]
-
-            for i in left:
-                for j in _likely(i, right, comp, sig, floor, same):
-                    a, b = find(comp[i]), find(comp[j])
-                    if a != b and similar(of(i), of(j), percent):
-                        root[max(a, b)] = min(a, b)
-                        out.append((int(ids[i]), int(ids[j])))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([y for _, y in out])], ["a", "b"])
-
-    return _in_cells(members, "family").mapInArrow(run, "a long, b long").distinct()
+        codes = left.set_of(i)
+        both = right.shared(codes)[js]
+        for j in js[(both > 0) & (100 * both >= percent * (len(codes) + right.sizes[js] - both))]:
+            a, b = root[of_left[i]], root[of_right[j]]
+            if a != b:
+                root[root == b] = a
+                out.append((left.ids[i], right.ids[j]))
+    return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+
+def _compared(rows: DataFrame, group: str, each, words: int | None = None) -> DataFrame:
+    """(a, b): what ``each`` finds in every block of a group and in every two of them. ``rows`` holds the group, id,
+    component_id and signature, with ``words`` also text. Blocks of groups with several are written to the shared folder."""
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = shared_folder(spark, "near-blocks")
+    sizes = cut(rows.groupBy(group).agg((F.floor(F.count("*") / BLOCK) + 1).alias("n_blocks")), "group-sizes")
+    laid = rows.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")))
+    laid = laid.select(group, "block", "n_blocks", "id", "component_id", "signature", *(["text"] if words else []))
+    laid = laid.repartition(n, group, "block").sortWithinPartitions(group, "block")
+    name = lambda g, block: f"{g}_{block}.npy"
+
+    def batch(found):
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], ["a", "b"])
+
+    def alone(batches):
+        shingler = Shingler(words) if words else None
+        for run in sorted_runs(batches, 2):
+            several = run.column(2)[0].as_py() > 1
+            if run.num_rows < 2 and not several:
+                continue
+            sig = np.frombuffer(b"".join(run.column(5).to_pylist()), "<u4").reshape(run.num_rows, -1)
+            codes = [shingler.codes(t.as_py()) for t in run.column(6)] if words else [np.empty(0, np.uint64)] * run.num_rows
+            block = Block(run.column(3).to_numpy(), run.column(4).to_numpy(), sig, np.concatenate(codes), np.array([len(c) for c in codes]))
+            if several:
+                publish(folder, name(run.column(0)[0].as_py(), run.column(1)[0].as_py()), block.dump())
+            yield batch(each(block, None))
+
+    def together(batches):
+        for b in batches:
+            for g, m, a, part in zip(*(c.to_pylist() for c in b.columns)):
+                left = Block.load(f"{folder}/{name(g, a)}")
+                if left is None:
+                    continue
+                # Block a meets those that come after it in half of a ring.
+                for step in range(part * MEETINGS + 1, min((part + 1) * MEETINGS, m // 2) + 1):
+                    other = Block.load(f"{folder}/{name(g, (a + step) % m)}") if 2 * step < m or a < step else None
+                    if other:
+                        yield batch(each(left, other))
+
+    inside = cut(laid.mapInArrow(alone, "a long, b long"), "near-inside")
+    units = sizes.where("n_blocks > 1").select(F.col(group), "n_blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("a"))
+    parts = F.sequence(F.lit(0).cast("long"), F.ceil(F.floor(F.col("n_blocks") / 2) / MEETINGS) - 1)
+    units = units.select("*", F.explode(parts).alias("part")).repartition(n, group, "a", "part")
+    found = cut(inside.unionByName(units.mapInArrow(together, "a long, b long")).distinct(), "near-found")
+    release(sizes, inside)
+    discard(spark, folder)
+    return found
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes: int = HASHES) -> DataFrame:
@@ -232,20 +299,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes:
     buckets = cut(_bands(classes, hashes), "buckets")
     shared = cut(buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a"), "leaders")
     members = cut(buckets.join(shared, "bucket"), "members")
+    release(buckets, shared)
     stars = members.where("a <> id").select("a", F.col("id").alias("b")).distinct()
     stars = cut(_agreeing(stars, classes, floor), "stars")
     links = cut(_confirmed(stars, docs, words, percent), "links")
+    release(stars)
 
     found = cut(components(links), "components")
-    labelled = members.join(found, "id", "left").select("bucket", "band", "id", F.coalesce("component_id", "id").alias("component_id"))
+    labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("component_id", "id").alias("component_id"))
     labelled = cut(labelled, "labelled")
+    release(members)
     mixed = labelled.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
     open_ = labelled.join(mixed.select("bucket"), "bucket").join(classes.select("id", "signature"), "id")
-    family = cut(components(cut(_families(open_, floor), "families")), "families")
+    connected = _compared(open_, "bucket", lambda left, other: _connecting(left, other, floor))
+    family = cut(components(connected), "families")
+    release(connected)
     if not family.isEmpty():
         texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(family.withColumnRenamed("component_id", "family"), "id")
         parts = labelled.select("id", "component_id").distinct().join(texts, "id").join(classes.select("id", "signature"), "id")
-        found = cut(components(cut(links.unionByName(_across(parts, words, percent, floor)), "links")), "components")
+        across = _compared(parts, "family", lambda left, other: _joining(left, other, floor, percent), words)
+        found = cut(components(cut(links.unionByName(across), "links")), "components")
+    release(labelled, family)
 
     # A row takes the component of its set.
     names = classes.join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -235,6 +236,37 @@ def test_chain_of_near_copies(spark):
     assert {r["doc_id"] for r in minhash.deduplicated(docs, 4).collect()} == {d for d, v in expected_groups(dict(rows), 4).items() if v[2]}
 
 
+def near_family(n, replaced, length=400, step=1, seed=7):
+    """Texts with so many words of one text replaced, each in its own way, at multiples of ``step``."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(length)]
+    out = []
+    for k in range(n):
+        text = list(base)
+        for i in rng.sample(range(0, length, step), replaced):
+            text[i] = f"x{k}y{i}"
+        out.append((k, " ".join(text)))
+    return out
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_families_in_blocks(spark, monkeypatch, block):
+    """Some pairs of the family reach the similarity, most do not; blocks of a group meet each other once."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "MEETINGS", 2)
+    rows = near_family(110, 7) + [(500 + k, t) for k, t in near_family(40, 3, 120)] + [(900, None), (None, "w0 w1")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    want = expected_groups(dict(rows), 4)
+    assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in by_id(got).items()} == want
+    assert 1 < len({w[1] for w in want.values()}) < len(rows)
+
+
+def test_a_large_family_without_links(spark):
+    """All of its pairs agree in enough minima to be confirmed, and none is linked."""
+    docs = spark.createDataFrame(near_family(3000, 18, 800, 5), "doc_id long, text string").repartition(8)
+    assert minhash.near_duplicates(docs, 4).where("not kept").count() == 0
+
+
 # ---- 8 ----
 
 
