@@ -132,7 +132,10 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, floor: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole shingle sets are similar enough. Only texts in pairs are read into the joins."""
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # Written first: the optimizer then knows its size, and moves all texts only where it is too large to broadcast.
+    wanted = cut(wanted, "near-wanted")
     texts = cut(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "near-texts")
+    release(wanted)
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
 
     def run(batches):
