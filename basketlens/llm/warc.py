@@ -1,12 +1,12 @@
-"""WARC archives: writing, normalising monolithic gzip files, and reading by a sidecar index.
+"""WARC archives: writing, normalising monolithic gzip files, and reading by their sidecars.
 
 Writers often compress a whole archive as one gzip stream, which can only be read from its start. The normaliser
 inflates such a file once, as a stream, writes every record as a gzip member of its own, and a sidecar that gives
 each record's offset and length. Records are then read in any order and by any number of tasks.
 
 Every task writes files of bounded size under new names, so an attempt that is repeated leaves no half file, and only
-the files that the successful attempts report are used. A task deletes nothing: the monolithic files go when the index
-of all their records is written.
+the files that the successful attempts report are used. A task deletes nothing: the monolithic files go when all
+archives are written. An archive and its sidecar are all that a reader needs.
 
 Defined cases: NULL html is an empty payload; a row whose page_id is NULL is written with an empty page id and
 comes last among equal payloads; repeated rows are records of their own, and refer to the first page id; NULL
@@ -20,7 +20,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import cut, discard, publish, shared_folder, store
@@ -29,6 +29,11 @@ from basketlens.llm.common import cut, discard, publish, shared_folder, store
 FILE_BYTES = 64 << 20
 MIN_REVISIT_BYTES = 0
 CHUNK = 1 << 20
+# Bytes of an archive that are read as one unit, and units (monolithic files, ranges of archives) of one task where there are many.
+READ_BYTES = 16 << 20
+FILES_OF_TASK = 4
+RANGES_OF_TASK = 8
+ARCHIVE, SIDECAR = ".warc.gz", ".idx"
 # Fixed values of the format.
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -82,7 +87,7 @@ def write_monolithic(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
 
         def close():
             out.append(packer.flush())
-            path = publish(folder, f"{uuid.uuid4().hex}.warc.gz", b"".join(out))
+            path = publish(folder, f"{uuid.uuid4().hex}{ARCHIVE}", b"".join(out))
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], ["path", "n_records"])
 
         for batch in batches:
@@ -148,7 +153,7 @@ class Inflated(io.RawIOBase):
 
 
 def normalise(files: DataFrame, folder: str) -> DataFrame:
-    """Rewrite each file of ``files`` with a gzip member per record and a sidecar; (path, offset, length) per record."""
+    """Rewrite each file of ``files`` with a gzip member per record and a sidecar beside it; (path, n_records, bytes) per file."""
 
     def run(batches):
         for batch in batches:
@@ -162,44 +167,64 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                         offsets.append((at, len(members[-1])))
                         at += len(members[-1])
                 name = uuid.uuid4().hex
-                target = publish(folder, f"{name}.warc.gz", b"".join(members))
-                publish(folder, f"{name}.idx", "".join(f"{o} {n}\n" for o, n in offsets).encode())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([target] * len(offsets), pa.string()), pa.array([o for o, _ in offsets], pa.int64()), pa.array([n for _, n in offsets], pa.int64())],
-                    ["path", "offset", "length"],
-                )
+                # The sidecar first: an archive that is there can be read.
+                publish(folder, f"{name}{SIDECAR}", "".join(f"{o} {n}\n" for o, n in offsets).encode())
+                target = publish(folder, f"{name}{ARCHIVE}", b"".join(members))
+                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([len(offsets)], pa.int64()), pa.array([at], pa.int64())], ["path", "n_records", "bytes"])
 
-    # A file is a unit of work: they are dealt out evenly.
-    spread = files.select("path").repartition(max(1, files.sparkSession.sparkContext.defaultParallelism))
-    return cut(spread.mapInArrow(run, "path string, offset long, length long"), "warc-index")
+    return cut(_dealt(files.select("path"), FILES_OF_TASK).mapInArrow(run, "path string, n_records long, bytes long"), "warc-archives")
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to and content, by the offsets of ``index``."""
+def _dealt(units: DataFrame, per_task: int) -> DataFrame:
+    """Units of work, dealt out evenly: a lost task repeats ``per_task`` of them, or one where there are few."""
+    n = units.count()
+    return units.repartition(max(1, min(n, max(units.sparkSession.sparkContext.defaultParallelism, -(-n // per_task)))))
+
+
+def archives_in(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, bytes) of the archives in a folder; nothing of their content is read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{ARCHIVE}").load(folder)
+    return found.select("path", F.col("length").alias("bytes"))
+
+
+def sidecar(path: str) -> list[tuple[int, int]]:
+    """(offset, length) of the records of an archive, from the sidecar beside it."""
+    fs, at = store(path.removesuffix(ARCHIVE) + SIDECAR)
+    with fs.open_input_stream(at, compression=None) as f:
+        return [tuple(map(int, line.split())) for line in f.read().splitlines()]
+
+
+def read_records(archives: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and content of the records of ``archives`` (path,
+    bytes). Offsets come from the sidecars; an archive of more than ``READ_BYTES`` is read in ranges of them."""
+    parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("bytes") / READ_BYTES) - 1, F.lit(0)))
+    units = _dealt(archives.select("path", F.explode(parts).alias("part")), RANGES_OF_TASK)
 
     def run(batches):
-        opened, handle = None, None
         for batch in batches:
-            rows = []
-            for path, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
-                if path != opened:
-                    fs, at = store(path)
-                    opened, handle = path, fs.open_input_file(at)
-                headers, block = parse(zlib.decompress(handle.read_at(length, offset), 31))
-                revisit = headers["WARC-Type"] == "revisit"
-                content = block.partition(b"\r\n\r\n")[2]
-                digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                if not revisit and base32_sha1(content) != digest:
-                    raise ValueError(f"{path} at {offset}: the payload does not have its digest")
-                number = lambda x: int(x) if x else None
-                rows.append((number(headers["X-Page-Id"]), int(headers["X-Payload-Length"]), digest, headers["WARC-Type"], number(headers.get("X-Refers-To-Page")), content))
-                if len(rows) >= 256:
-                    yield _batch(rows)
-                    rows = []
-            yield _batch(rows)
+            for path, part in zip(*(c.to_pylist() for c in batch.columns)):
+                fs, at = store(path)
+                rows, held = [], 0
+                with fs.open_input_file(at) as handle:
+                    for offset, length in sidecar(path):
+                        if offset // READ_BYTES != part:
+                            continue
+                        headers, block = parse(zlib.decompress(handle.read_at(length, offset), 31))
+                        revisit = headers["WARC-Type"] == "revisit"
+                        content = block.partition(b"\r\n\r\n")[2]
+                        digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                        if not revisit and base32_sha1(content) != digest:
+                            raise ValueError(f"{path} at {offset}: the payload does not have its digest")
+                        number = lambda x: int(x) if x else None
+                        rows.append((number(headers["X-Page-Id"]), int(headers["X-Payload-Length"]), digest, headers["WARC-Type"], number(headers.get("X-Refers-To-Page")), content))
+                        held += len(content)
+                        if len(rows) >= 256 or held >= READ_BYTES:
+                            yield _batch(rows)
+                            rows, held = [], 0
+                yield _batch(rows)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, content binary"
-    return index.select("path", "offset", "length").mapInArrow(run, schema)
+    return units.mapInArrow(run, schema)
 
 
 def _batch(rows):
@@ -209,13 +234,13 @@ def _batch(rows):
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """The index of normalised archives of all pages."""
+    """(path, n_records, bytes) of normalised archives of all pages."""
     spark = pages.sparkSession
     raw = shared_folder(spark, "warc-raw")
     files = write_monolithic(decided(pages), raw)
-    index = normalise(files, shared_folder(spark, "warc"))
+    found = normalise(files, shared_folder(spark, "warc"))
     discard(spark, raw)
-    return index
+    return found
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

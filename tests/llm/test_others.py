@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from basketlens.llm import ann, embdedup, warc
+from basketlens.llm.common import store
 from basketlens.llm.components import components
 from tests.conftest import TESTDATA
 from tests.llm.fixtures import documents
@@ -47,10 +48,26 @@ def test_normalising_leaves_its_input(spark):
     pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(20)], "page_id long, url string, html string")
     files = warc.write_monolithic(warc.decided(pages), warc.shared_folder(spark, "warc-raw"), file_bytes=2000)
     both = [warc.normalise(files, warc.shared_folder(spark, "warc")) for _ in range(2)]
-    first, again = (sorted(tuple(r) for r in warc.read_records(index).drop("content").collect()) for index in both)
+    first, again = (sorted(tuple(r) for r in warc.read_records(archives).drop("content").collect()) for archives in both)
     assert first == again and [r[0] for r in first] == list(range(20))
 
 
+def test_archives_and_sidecars_are_enough(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 700)  # several ranges of an archive, records across their borders
+    rng = np.random.default_rng(2)
+    pages = spark.createDataFrame([(i, "u", rng.bytes(i * 20).hex()) for i in range(40)], "page_id long, url string, html string")
+    folder = warc.shared_folder(spark, "warc")
+    written = warc.normalise(warc.write_monolithic(warc.decided(pages), warc.shared_folder(spark, "warc-raw"), file_bytes=9000), folder)
+    found = warc.archives_in(spark, folder)
+    assert {r["bytes"] for r in found.collect()} == {r["bytes"] for r in written.collect()} and written.agg(F.sum("n_records")).first()[0] == 40
+    got = {r["page_id"]: bytes(r["content"]) for r in warc.read_records(found).collect()}
+    assert got == {r["page_id"]: r["html"].encode() for r in pages.collect()}
+    fs, path = store(found.first()["path"])
+    fs.delete_file(path.replace(warc.ARCHIVE, warc.SIDECAR))
+    with pytest.raises(Exception, match="(?i)no such file|not exist|FileNotFound"):
+        warc.read_records(found).collect()
+
+
 def test_streams_of_any_cut():
     records = [warc.record(i, "http://x", b"y" * n) for i, n in enumerate((0, 10, 3_000_000))]
     whole = gzip.compress(b"".join(records[:2])) + gzip.compress(records[2])
