@@ -1,12 +1,13 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line is removed where an equal line stands earlier, or where a line within ``THRESHOLD`` edits has its first place
-earlier. Places are ordered by doc_id and line number. Lines are compared without white space at their ends; blank
-lines always stay; lines of fewer than ``MIN_CHARS`` characters are only compared for equality.
+A line is removed where an equal line stands earlier, or where a near line has its first place earlier. Places are
+ordered by doc_id and line number. Lines are compared without white space at their ends; blank lines always stay.
 
-Near lines: a line of length l is split into threshold + 1 segments. A line within the threshold holds at least one of
-them unchanged, near the same position, so it is enough to look up, for every length in reach, the few substrings
-that can be that segment. Candidates are verified with a banded bit-parallel edit distance.
+Near lines: two lines are near within one edit per ``CHARS_PER_EDIT`` characters of the shorter one, and ``THRESHOLD``
+edits at most; lines too short for an edit are near if equal. A line whose length allows t edits is split into t + 1
+segments. A near line that is as long or longer holds at least one of them unchanged, near the same position, so it is
+enough to look up, for every length in reach, the few substrings that can be that segment. Candidates are verified
+with a banded bit-parallel edit distance.
 
 Defined cases: NULL and empty text has no lines to remove and is returned as it is; rows without doc_id come after
 all ids below 2**62, in order of a hash of their texts; repeated rows have the same places and do not remove each other's lines; other columns pass through untouched; all
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from basketlens.llm.common import bucketed, cut
 
 THRESHOLD = 2
-MIN_CHARS = 20
+CHARS_PER_EDIT = 10
 _BLANKS = " \t\x0b\x0c\r"
 
 
@@ -33,20 +34,27 @@ def segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
     return i * base + F.greatest(F.lit(0), i - shorter), base + (i >= shorter).cast("int")
 
 
-def segment_keys(line: Column, length: Column, threshold: int) -> list[Column]:
+def allowed(length: Column, threshold: int, per_edit: int) -> Column:
+    """Edits that a line of this length allows to lines that are as long or longer."""
+    return F.least(F.lit(threshold), F.floor(length / per_edit))
+
+
+def segment_keys(line: Column, length: Column, threshold: int, per_edit: int = CHARS_PER_EDIT) -> list[Column]:
     """(key, role) structs: role 0 for the line's own segments, 1 for substrings looked up among segments of lines
     that are shorter or as long. A substring at its own place among lines of its length is a segment itself."""
     out = []
-    for gap in range(threshold + 1):
-        for i in range(threshold + 1):
-            start, size = segment(length - gap, i, threshold)
-            left, right = i, threshold - i
-            for shift in range(max(-left, gap - right), min(left, gap + right) + 1):
-                own = gap == 0 and shift == 0
-                part = F.substring(line, (start + shift + 1).cast("int"), size.cast("int"))
-                key = F.xxhash64((length - gap).cast("int"), F.lit(i), part)
-                fits = (start + shift >= 0) & (start + shift + size <= length) & (length - gap >= MIN_CHARS)
-                out.append(F.when(F.lit(True) if own else fits, F.struct(key.alias("key"), F.lit(int(not own)).alias("role"))))
+    for edits in range(1, threshold + 1):
+        for gap in range(edits + 1):
+            reached = allowed(length - gap, threshold, per_edit) == edits
+            for i in range(edits + 1):
+                start, size = segment(length - gap, i, edits)
+                left, right = i, edits - i
+                for shift in range(max(-left, gap - right), min(left, gap + right) + 1):
+                    own = gap == 0 and shift == 0
+                    part = F.substring(line, (start + shift + 1).cast("int"), size.cast("int"))
+                    key = F.xxhash64((length - gap).cast("int"), F.lit(i), part)
+                    fits = reached if own else reached & (start + shift >= 0) & (start + shift + size <= length)
+                    out.append(F.when(fits, F.struct(key.alias("key"), F.lit(int(not own)).alias("role"))))
     return out
 
 
@@ -120,11 +128,12 @@ def _repeated(lines: DataFrame) -> DataFrame:
     return occ.join(first, ["h1", "h2"]).where("place <> first").select("doc", "copy", "pos")
 
 
-def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
+def _near(lines: DataFrame, laid: DataFrame, threshold: int, per_edit: int) -> DataFrame:
     """(doc, copy, pos) of the lines among ``lines`` (all different) that have a near line earlier."""
-    long_ = lines.withColumn("length", F.length("line")).where(F.col("length") >= MIN_CHARS)
-    keys = F.array_compact(F.array(*segment_keys(F.col("line"), F.col("length"), threshold)))
-    rows = long_.select("doc", "copy", "pos", F.inline(keys))
+    # A shorter line allows no edit, and is no longer than those that do.
+    measured = lines.withColumn("length", F.length("line")).where(F.col("length") >= per_edit)
+    keys = F.array_compact(F.array(*segment_keys(F.col("line"), F.col("length"), threshold, per_edit)))
+    rows = measured.select("doc", "copy", "pos", F.inline(keys))
     # Most keys have one line only. They go before anything is joined.
     group = Window.partitionBy("key")
     rows = rows.withColumns({"n": F.count("*").over(group), "role0": F.min("role").over(group)}).where("n > 1 and role0 = 0")
@@ -142,11 +151,16 @@ def _near(lines: DataFrame, laid: DataFrame, threshold: int) -> DataFrame:
     earlier = order("a") < order("b")
     near = (F.col("key_a") == F.col("key_b")) & (order("a") != order("b")) & ((F.col("role") == 1) | earlier)
     near = near & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= 2 * threshold)
-    pairs = a.join(b, near & within_edits(F.col("line_a"), F.col("line_b"), threshold))
+    # The line of the indexed segment is the shorter one.
+    edits = allowed(F.length("line_a"), threshold, per_edit)
+    close = within_edits(F.col("line_a"), F.col("line_b"), threshold)
+    for fewer in range(1, threshold):
+        close = F.when(edits == fewer, within_edits(F.col("line_a"), F.col("line_b"), fewer)).otherwise(close)
+    pairs = a.join(b, near & close)
     return pairs.select(F.when(earlier, F.col("place_b")).otherwise(F.col("place_a")).alias("y")).select("y.*").distinct()
 
 
-def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def marked_lines(docs: DataFrame, threshold: int = THRESHOLD, per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """``row`` (the document, its ``text`` an array of lines), ``repeats`` and ``nears``: the numbers of the lines that
     go, from 0."""
     # The table holds the lines as an array, so that no later expression splits a text again.
@@ -157,7 +171,7 @@ def marked_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     marked = laid.join(repeats, "doc", "left").withColumn("repeats", F.coalesce(_of_copy("repeats"), F.array().cast("array<int>")))
     first = F.transform(_kept_places(text, F.col("repeats")), lambda p: F.struct(p.alias("pos"), _clean(F.get(text, p)).alias("line")))
     firsts = marked.where("lead").select("doc", "copy", F.inline(first)).where("line <> ''")
-    nears = cut(_by_doc(_near(firsts, laid, threshold), "nears"), "line-nears")
+    nears = cut(_by_doc(_near(firsts, laid, threshold, per_edit), "nears"), "line-nears")
     marked = marked.join(nears, "doc", "left").withColumn("nears", F.coalesce(_of_copy("nears"), F.array().cast("array<int>")))
     return marked.select("row", "repeats", "nears")
 
@@ -168,18 +182,18 @@ def _kept_text():
     return F.array_join(F.when(lines.isNotNull(), kept), "\n")
 
 
-def deduplicated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def deduplicated_lines(docs: DataFrame, threshold: int = THRESHOLD, per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """The documents, with their columns, without the lines that go."""
-    rows = marked_lines(docs, threshold).withColumn("text", _kept_text())
+    rows = marked_lines(docs, threshold, per_edit).withColumn("text", _kept_text())
     out = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in out:
         out["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return rows.select(*[v.alias(c) for c, v in out.items()])
 
 
-def line_report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def line_report(docs: DataFrame, threshold: int = THRESHOLD, per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """doc_id, n_lines, n_repeated, n_near (lines that go) and text (what stays) per document."""
-    rows = marked_lines(docs.select("doc_id", "text"), threshold)
+    rows = marked_lines(docs.select("doc_id", "text"), threshold, per_edit)
     return rows.select(
         "row.doc_id", F.coalesce(F.size("row.text"), F.lit(0)).alias("n_lines"),
         F.size("repeats").alias("n_repeated"), F.size("nears").alias("n_near"), _kept_text().alias("text"),

@@ -46,14 +46,15 @@ def edits(a, b):
     return before[-1]
 
 
-def expected_lines(docs, threshold=2, shortest=20):
+def expected_lines(docs, threshold=2, per_edit=10):
     clean = lambda line: line.translate({ord(c): " " for c in " \t\x0b\x0c\r"}).strip(" ")
     first = {}
     for d in sorted(docs):
         for i, line in enumerate((docs[d] or "").split("\n")):
             if clean(line):
                 first.setdefault(clean(line), (d, i))
-    near = {k for k, p in first.items() if len(k) >= shortest and any(first[o] < p and abs(len(o) - len(k)) <= threshold and len(o) >= shortest and edits(o, k) <= threshold for o in first)}
+    allowed = lambda a, b: min(threshold, min(len(a), len(b)) // per_edit)
+    near = {k for k, p in first.items() if any(first[o] < p and abs(len(o) - len(k)) <= allowed(o, k) and edits(o, k) <= allowed(o, k) for o in first)}
     out = {}
     for d, t in docs.items():
         kept, counts = [], collections.Counter()
@@ -77,6 +78,18 @@ def test_lines_against_all_pairs(spark):
     assert {d: (r["n_repeated"], r["n_near"], r["text"]) for d, r in got.items()} == want
 
 
+def test_short_lines_allow_fewer_edits(spark):
+    rng = random.Random(4)
+    lines = ["twelve chars", "twelve char", "twelve chers", "twelvechers", "nine char", "nine chat", "nineteen characters", "nineteen characterss", "ab", "ac", "a", "abc", "bc"]
+    lines += ["".join(rng.choice("ab") for _ in range(rng.randint(1, 24))) for _ in range(150)]
+    rows = [(i, "\n".join(lines[i::5])) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for per_edit in (10, 4, 1):
+        want, near = expected_lines(dict(rows), per_edit=per_edit)
+        got = by_id(linededup.line_report(table, per_edit=per_edit))
+        assert near > 2 and {d: (r["n_repeated"], r["n_near"], r["text"]) for d, r in got.items()} == want
+
+
 def test_bit_parallel_distance(spark):
     words = ["", "a", "ab", "abc", "axc", "abcdefgh", "abdefghx", "xabcdefgh", "abcdefg", "éabcdefgh", "hgfedcba"]
     pairs = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
