@@ -336,6 +336,16 @@ def test_anonymous_lines_kept_as_one_customer(spark, docs, how):
     assert again.customer_vectors.where("CUST_CODE is null").count() == 1
 
 
+def test_vectors_are_never_broadcast(spark, docs, tmp_path):
+    """Start vectors look as small as the documents they are made from; broadcast, all would come to the driver."""
+    docs.write.parquet(str(tmp_path / "docs"))
+    written = spark.read.parquet(str(tmp_path / "docs"))
+    vectors_ = written.select("CUST_CODE", vectors.start_vector(256, 1).alias("vector"))
+    for how in ("inner", "left"):
+        plan = rotation.by_customer(written, vectors_, how)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_short_documents_keep_their_start_vector(docs):
     model = vectors.train_vectors(docs, PRODS, "dbow", epochs=1, **SMALL)
     start = dict(rows(docs.select("CUST_CODE", vectors.start_vector(DIM, 1))))
