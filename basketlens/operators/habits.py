@@ -3,28 +3,25 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.operators.customers import identified
+from basketlens.operators.customers import by_customer, identified
 from basketlens.schema import BASKET, CUSTOMER, HABIT_PREFIX, HABITS
 
 
 def habit_counts(df: DataFrame, variables=HABITS) -> DataFrame:
     """(CUST_CODE, var, value, n_baskets): distinct baskets of each customer with each value, all variables in one pass.
 
-    Lines become one row per customer and basket with the set of values of each variable, on the map side first. A set
-    is bounded by the values of an attribute, whatever the number of lines. Unfolded, its values are distinct already
-    and are counted, again on the map side first, so lines are shuffled once as baskets and once as counts.
+    Lines with equal values merge on the map side, as a rule to one row per basket, and are gathered by customer once; all
+    that follows keeps this layout. The rows of a basket with one row count as they are; those of other baskets become
+    distinct by basket and value first.
     """
-    values = [F.collect_set(F.col(v).cast("string")).alias(v) for v in variables]
-    gaps = [F.max(F.col(v).isNull()).alias(f"_no_{v}") for v in variables]  # a set leaves NULL out
-    baskets = identified(df).where(F.col(BASKET).isNotNull()).groupBy(CUSTOMER, BASKET).agg(*values, *gaps)
-    none = F.array(F.lit(None).cast("string"))
-
-    def cells(name):
-        found = F.when(F.col(f"_no_{name}"), F.concat(name, none)).otherwise(F.col(name))
-        return F.transform(found, lambda x: F.struct(F.lit(name).alias("var"), x.alias("value")))
-
-    rows = baskets.select(CUSTOMER, F.inline(F.concat(*[cells(v) for v in variables])))
-    return rows.groupBy(CUSTOMER, "var", "value").agg(F.count("*").alias("n_baskets"))
+    values = [F.col(v).cast("string").alias(f"_{i}") for i, v in enumerate(variables)]
+    lines = identified(df).where(F.col(BASKET).isNotNull()).select(CUSTOMER, F.col(BASKET).alias("_basket"), *values).distinct()
+    several = F.count("*").over(Window.partitionBy(CUSTOMER, "_basket")) > 1
+    lines = by_customer(lines).withColumn("_basket", F.when(several, F.col("_basket")))
+    cells = F.inline(F.array(*[F.struct(F.lit(v).alias("var"), F.col(f"_{i}").alias("value")) for i, v in enumerate(variables)]))
+    rows = lines.select(CUSTOMER, "_basket", cells).groupBy(CUSTOMER, "var", "value", "_basket").agg(F.count("*").alias("n"))
+    baskets = F.sum(F.when(F.col("_basket").isNull(), F.col("n")).otherwise(1))
+    return rows.groupBy(CUSTOMER, "var", "value").agg(baskets.alias("n_baskets"))
 
 
 def dominant_attributes(df: DataFrame, variables=HABITS, ties: str = "all") -> DataFrame:
@@ -33,8 +30,8 @@ def dominant_attributes(df: DataFrame, variables=HABITS, ties: str = "all") -> D
     A customer with equally frequent values has a row for each of them; ``ties="first"`` keeps the
     smallest one.
     """
-    # One row per value is left of each customer, so gathering by customer is safe here, and the
-    # profile join that follows needs the same layout.
+    # One row per value is left of each customer. The profile join that follows needs this layout, and tasks that rank
+    # apart from those that count hold less at a time.
     counts = habit_counts(df, variables).repartition(CUSTOMER)
     group = Window.partitionBy(CUSTOMER, "var")
     if ties == "all":

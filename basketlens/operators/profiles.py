@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions import long_rows
-from basketlens.operators.customers import identified
+from basketlens.operators.customers import by_customer, identified
 from basketlens.operators.habits import dominant_attributes
 from basketlens.operators.kpis import one_segment_each
 from basketlens.schema import BASKET, CUSTOMER, HABIT_PREFIX, REPORT_VARIABLES, SEGMENT
@@ -90,8 +90,9 @@ def segment_profiles(
         rows = rows.withColumn("var", F.concat(F.lit(HABIT_PREFIX), "var"))
         parts.append(rows.join(members, CUSTOMER))
     if traits:
-        # Lines merge on the map side before every trait makes a row of its own.
-        lines = identified(trans).select(CUSTOMER, *traits).distinct()
+        # Lines merge on the map side before every trait makes a row of its own. They are gathered by customer before
+        # that, so that neither the distinct values nor the join with the members moves the longer rows.
+        lines = by_customer(identified(trans).select(CUSTOMER, *traits).distinct())
         rows = long_rows(lines, [CUSTOMER], {v: F.col(v) for v in traits}).distinct()
         parts.append(rows.join(members, CUSTOMER))
     if not parts:

@@ -251,3 +251,29 @@ def test_exchanges_of_habits(shop, make, exchanges):
     finally:
         df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == exchanges, plan
+
+
+def _plan(df):
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_baskets_whose_lines_differ(spark):
+    """Every value of a basket counts once, whether its lines agree or not; no set is gathered for it."""
+    found = [("C", "A", "S", 1), ("C", "A", "S", 2), ("C", "A", None, 1), ("C", "B", "S", 1), ("C", "B", "S", 1), ("D", "A", "S", 1), ("C", None, "S", 1)]
+    trans = lines(spark, [{"CUST_CODE": c, "BASKET_ID": b, "BASKET_TYPE": t, "SHOP_HOUR": h} for c, b, t, h in found])
+    counts = habits.habit_counts(trans, ["BASKET_TYPE", "SHOP_HOUR"])
+    assert {tuple(r) for r in counts.collect()} == {
+        ("C", "BASKET_TYPE", "S", 2), ("C", "BASKET_TYPE", None, 1), ("C", "SHOP_HOUR", "1", 2), ("C", "SHOP_HOUR", "2", 1),
+        ("D", "BASKET_TYPE", "S", 1), ("D", "SHOP_HOUR", "1", 1),
+    }
+    assert "ObjectHashAggregate" not in _plan(habits.habit_counts(trans)) and "SortAggregate" not in _plan(habits.habit_counts(trans))
+
+
+def test_unfolded_traits_are_not_shuffled(shop):
+    df, _, scored, _ = shop
+    plan = _plan(profiles.segment_profiles(df, scored, ["PROD_CODE_30", "PROD_CODE_40"]))
+    assert not [row for row in plan.splitlines() if "Exchange hashpartitioning" in row and "CUST_CODE" in row and "value" in row], plan
