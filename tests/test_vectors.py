@@ -391,3 +391,31 @@ def test_mean_of_many_copies_is_stable_at_a_high_rate(docs):
     how = {**SMALL, "batch_size": 4, "epochs": 3, "steps_per_epoch": 150, "partitions": 16, "combine": "mean"}
     history = vectors.train_vectors(docs, PRODS, "dm", **how).history.orderBy("epoch").collect()
     assert history[-1]["loss"] < history[0]["loss"]
+
+
+def test_mini_batches_of_a_task_are_read_and_written_together(monkeypatch):
+    """The steps are those of single mini-batches, but their rows come out in a few batches."""
+    random, n = np.random.default_rng(4), 200
+    none = dict.fromkeys(name for name, _ in rotation._parts(rotation._ROW))
+    types = {"int": pa.int32(), "string": pa.string(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32())}
+    schema = pa.schema([(name, types[sql]) for name, sql in rotation._parts(rotation._ROW)])
+
+    def numbers(size):
+        return random.normal(size=size).tolist()
+
+    given = [none | {"kind": rotation.OUTPUT, "prod_idx": p, "weight": 1.0, "vector": numbers(DIM + 1), "state": [0.0] * (DIM + 1)} for p in range(0, PRODS, 2)]
+    for i in range(n):
+        seen = {"contexts": random.integers(0, PRODS, WINDOW).tolist(), "firsts": [0], "visits": [0, 3][: 1 + i % 2]}
+        given.append(none | seen | {"kind": rotation.CUSTOMERS, "CUST_CODE": f"C{i}", "vector": numbers(DIM), "state": [0.0] * DIM})
+    batches = pa.Table.from_pylist(given, schema).to_batches(max_chunksize=70)
+
+    def trained():
+        task = rotation._task(1, "dbow", WINDOW, PRODS, 0, 8, sgd.Nesterov(np.float32(0.05), np.float32(0.9)), None, 1)
+        return list(task(iter(batches)))
+
+    together = trained()
+    monkeypatch.setattr(rotation, "GROUP", 1)
+    single = trained()
+    assert pa.Table.from_batches(together).to_pylist() == pa.Table.from_batches(single).to_pylist()
+    assert sum(b["kind"][0].as_py() == "customer" for b in together) == 1
+    assert sum(b["kind"][0].as_py() == "customer" for b in single) == n / 8
