@@ -1,6 +1,7 @@
 """Raw files in, staged tables out."""
 
 import fnmatch
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,11 @@ def read_transactions(spark: SparkSession, path: str, glob: str = "*transactions
         return files
     # The reader's own name filter sees file names only and would lose the files of a folder "transactions".
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rstrip("/")
+    wanted = fnmatch.translate(glob).replace("\\z", "$").replace("\\Z", "$")
+    if all(re.search(wanted, name.split(root, 1)[-1]) for name in files.inputFiles()):
+        return files  # nothing to leave out, so no line is asked for its file
     below = F.element_at(F.split(F.col("_metadata.file_path"), "\\Q" + root + "\\E", 2), -1)
-    return files.where(below.rlike(fnmatch.translate(glob).replace("\\z", "$").replace("\\Z", "$")))
+    return files.where(below.rlike(wanted))
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:

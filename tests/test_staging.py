@@ -105,3 +105,14 @@ def test_missing_partition_column_is_an_error(spark, tmp_path):
     df = spark.createDataFrame([(datetime.date(2020, 1, 1),)], "d date")
     with pytest.raises(AnalysisException):
         staging.write_staged(df, str(tmp_path / "s"))
+
+
+def test_no_line_is_asked_for_its_file_where_all_files_match(spark, tmp_path):
+    (tmp_path / "transactions").mkdir()
+    (tmp_path / "transactions" / "part-0.csv").write_text("\n".join([HEADER, line(200607, "P1")]))
+    df = staging.read_transactions(spark, str(tmp_path))
+    assert "file_path" not in df._jdf.queryExecution().optimizedPlan().toString()
+    (tmp_path / "other.csv").write_text("\n".join([HEADER, line(200607, "NO")]))
+    df = staging.read_transactions(spark, str(tmp_path))
+    assert "file_path" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(df, "PROD_CODE") == [("P1",)]
