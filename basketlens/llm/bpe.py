@@ -9,6 +9,7 @@ wherever they stand; repeated rows are encoded each on its own; other columns pa
 """
 
 import functools
+import itertools
 import json
 import mmap
 import struct
@@ -67,12 +68,13 @@ class WordBpe:
     def merge(self, word: str) -> list[int]:
         """Token ids of one word by its merges, lowest rank first, leftmost first."""
         data = word.encode()
-        ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+        ids = list(map(self.inner.__getitem__, data))
+        ids[-1] = self.last[data[-1]]
         return self._merge_long(ids) if len(ids) > 48 else self._merge_short(ids)
 
     def _merge_short(self, ids):
         get = self.merges.get
-        codes = [get(p, _NONE) for p in zip(ids, ids[1:])]
+        codes = list(map(get, zip(ids, ids[1:]), itertools.repeat(_NONE)))
         while codes and (best := min(codes)) < _NONE:
             i = codes.index(best)
             ids[i] = best & _ID_MASK
@@ -208,32 +210,53 @@ class Lexicon:
         self.starts, self.targets, self.adds, self.places = (v.cast("I") for _, v in views[:4])
         self.ids, self.final, self.labels = views[4][1], views[5][1], views[6][0]
         self.root = len(self.final) - 1
+        self.arcs = [None] * len(self.final)  # of the states met so far: label to target and number
+
+    def _open(self, state: int) -> dict:
+        first, last = self.starts[state], self.starts[state + 1]
+        labels = self.map[self.labels + first : self.labels + last]
+        self.arcs[state] = dict(zip(labels, zip(self.targets[first:last], self.adds[first:last])))
+        return self.arcs[state]
 
     def find(self, word: bytes):
         state, place = self.root, 0
-        starts, base, find = self.starts, self.labels, self.map.find
+        opened = self.arcs
         for b in word:
-            arc = find(_BYTE[b], base + starts[state], base + starts[state + 1]) - base
-            if arc < 0:
+            arcs = opened[state]
+            arc = (self._open(state) if arcs is None else arcs).get(b)
+            if arc is None:
                 return None
-            place += self.adds[arc]
-            state = self.targets[arc]
+            state = arc[0]
+            place += arc[1]
         if not self.final[state]:
             return None
         return bytes(self.ids[4 * self.places[place] : 4 * self.places[place + 1]])
 
 
-_BYTE = [bytes([b]) for b in range(256)]
+# ---- encoding and decoding ----
 
 
-# ---- encoding and decoding ----
+class _Memo(dict):
+    """Found values by key; a missing one is made. Beyond its bound it starts anew, keys of over 64 characters are not kept."""
+
+    def __init__(self, make, entries):
+        self.make, self.entries = make, entries
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.entries:
+                self.clear()
+            self[key] = value
+        return value
 
 
 class Encoder:
-    """Text to ids as little-endian bytes. Chunks between spaces are memoised per worker, within a bound."""
+    """Text to ids as little-endian bytes. Chunks between spaces and their words are memoised per worker, within a bound."""
 
     def __init__(self, model: WordBpe, lexicon: Lexicon | None):
-        self.model, self.lexicon, self.memo = model, lexicon, {}
+        self.model, self.lexicon = model, lexicon
+        self.memo, self.words = _Memo(self.chunk, MEMO_ENTRIES), _Memo(self.word, MEMO_ENTRIES)
         self.special = regex.compile("(" + "|".join(map(regex.escape, model.added)) + ")")
 
     def word(self, word: str) -> bytes:
@@ -241,27 +264,19 @@ class Encoder:
         return struct.pack(f"<{len(ids := self.model.merge(word))}I", *ids) if found is None else found
 
     def chunk(self, chunk: str) -> bytes:
+        if not self.special.search(chunk):
+            return b"".join(map(self.words.__getitem__, self.model.pieces(chunk)))
         out = []
         for part in self.special.split(chunk):
             if part in self.model.added:
                 out.append(struct.pack("<I", self.model.added[part]))
             elif part:
-                out.extend(map(self.word, self.model.pieces(part)))
+                out.extend(map(self.words.__getitem__, self.model.pieces(part)))
         return b"".join(out)
 
     def text(self, text: str) -> bytes:
         # No word holds white space, so spaces and line ends may part the text before anything else.
-        memo, out = self.memo, []
-        for chunk in text.replace("\n", " ").split(" "):
-            ids = memo.get(chunk)
-            if ids is None:
-                ids = self.chunk(chunk)
-                if len(chunk) <= 64:
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    memo[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -169,6 +169,16 @@ def test_odd_texts_and_words_outside_the_lexicon():
         assert np.frombuffer(model.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_encoded_once_whatever_stands_beside_them(monkeypatch):
+    library, model = tokenizers.Tokenizer.from_file(WORD), bpe.WordBpe(WORD)
+    met, merge = [], model.merge
+    monkeypatch.setattr(model, "merge", lambda word: met.append(word) or merge(word))
+    encoder = bpe.Encoder(model, None)
+    text = "Zweig, zweig. (zweig) ZWEIG; zweig"
+    assert np.frombuffer(encoder.text(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(met) == len(set(met))
+
+
 def test_lexicon_shares_suffixes_and_finds_all(tmp_path):
     words = sorted({a + b for a in ("", "un", "re", "x") for b in ("do", "doing", "play", "playing", "é")})
     data = bpe.compile_lexicon(words, lambda w: [len(w), ord(w[0])])
