@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -241,3 +242,15 @@ def test_documents_by_first_purchase(spark, monkeypatch):
         d = want[r["CUST_CODE"]]
         assert r["target"] == d[r["pos"]] and r["context"] == d[r["pos"] - 2 : r["pos"]] + d[r["pos"] + 1 : r["pos"] + 3]
     docs.unpersist()
+
+
+def test_unknown_products_are_counted_before_lists_are_gathered(spark):
+    lines = [(c, f"P{i}") for c, n in (("A", 300), ("B", 2), ("E", 3)) for i in range(n)] * 2
+    lines += [("A", None), ("D", None), (None, "P1"), ("E", "X")]
+    df = spark.createDataFrame(lines, "CUST_CODE string, PROD_CODE string")
+    vocab = spark.createDataFrame([("P0", 2), ("P1", 1), ("X", 2)], "PROD_CODE string, prod_idx int")  # two codes of one index
+    docs = documents.customer_documents(df, vocab, 3)
+    assert {r[0]: tuple(r)[1:] for r in docs.collect()} == {"A": (298, [1, 2]), "B": (0, [1, 2]), "D": (0, []), "E": (1, [1, 2, 2])}
+    assert docs.dtypes == [("CUST_CODE", "string"), ("n_unknown", "int"), ("prod_idxs", "array<int>")]
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[CUST_CODE#\d+, prod_idx#\d+\]", plan)

@@ -1,11 +1,14 @@
 """The trainer: gradients, equality with one plain sequential run, rounds of blocks, combined copies, and the loop."""
 
+import hashlib
 import math
 import pathlib
+import urllib.parse
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from basketlens.operators import rotation, sgd, vectors, windows
@@ -360,6 +363,31 @@ def test_vectors_are_never_broadcast(spark, docs, tmp_path):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_start_vectors_are_hashed_by_batch(spark):
+    """The first 4 bytes of an md5 per number, made without an interpreted expression per number."""
+    codes = ["C1", None, "", "Ü|7"]
+    table = spark.createDataFrame([(c,) for c in codes], "CUST_CODE string").withColumn("vector", vectors.start_vector(5, 3))
+
+    def value(code, i):
+        unit = int(hashlib.md5(f"3:customer:{code or ''}:{i}".encode()).hexdigest()[:8], 16) / 2**32
+        return float(np.float32((unit * 2 - 1) * vectors.INIT_RANGE))
+
+    assert dict(rows(table)) == {c: [value(c, i) for i in range(5)] for c in codes}
+    assert table.where("false").count() == 0 and dict(table.dtypes)["vector"] == "array<float>"
+    assert "md5(" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("combine", ["rotate", "sum"])
+def test_vectors_are_written_without_a_dictionary(docs, combine):
+    model = vectors.train_vectors(docs, PRODS, "dbow", epochs=1, partitions=2, combine=combine, **SMALL)
+    found = []
+    for name in model.customer_vectors.inputFiles():
+        meta = parquet.read_metadata(urllib.parse.unquote(urllib.parse.urlparse(name).path))
+        groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+        found += [g.column(i) for g in groups for i in range(meta.num_columns) if g.column(i).path_in_schema.split(".")[0] in ("vector", "state", "velocity")]
+    assert len(found) >= 2 and not any(c.has_dictionary_page for c in found)
+
+
 def test_short_documents_keep_their_start_vector(docs):
     model = vectors.train_vectors(docs, PRODS, "dbow", epochs=1, **SMALL)
     start = dict(rows(docs.select("CUST_CODE", vectors.start_vector(DIM, 1))))
