@@ -1,11 +1,14 @@
 """Every registered query against its SQL counterpart, on whole tables."""
 
+import inspect
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from basketlens.operators import vectors
+from basketlens.plans.stages import Settings
 from tests.compare import compare, connect
 from tests.conftest import TESTDATA
 
@@ -60,3 +63,21 @@ def test_kmeans_queries(spark):
     sweep = QUERIES["kmeans_sweep"](spark, str(SF)).orderBy("k").collect()
     assert [r["k"] for r in sweep] == list(range(2, 26))
     assert all(-1 <= r["silhouette"] <= 1 and r["training_cost"] > 0 for r in sweep)
+
+
+def test_learned_segments_take_the_sizes_of_the_standard_run(spark, monkeypatch):
+    """The training is asked for, not run: it takes 250 epochs."""
+
+    class Asked(Exception):
+        pass
+
+    def asked(*args, **kwargs):
+        raise Asked({k: v for k, v in signature.bind(*args, **kwargs).arguments.items() if k != "docs"})
+
+    signature, run = inspect.signature(vectors.train_vectors), Settings()
+    monkeypatch.setattr(vectors, "train_vectors", asked)
+    with pytest.raises(Asked) as found:
+        QUERIES["learned_segment_kpis"](spark, str(SF))
+    sizes = {name: getattr(run, name) for name in ("num_prods", "window", "dim", "epochs", "patience")}
+    assert found.value.args[0] == sizes | {"method": "dbow"}
+    assert (run.num_prods, run.dim, run.epochs) == (4000, 256, 250)
