@@ -60,7 +60,7 @@ class Layout:
 
 def stage(spark: SparkSession, raw_path: str, layout: Layout) -> dict[str, dict[str, DataFrame]]:
     """Raw CSV to staged parquet; returns the quality reports of both tables, read from the staged files."""
-    staging.write_staged(staging.read_transactions(spark, raw_path), layout.transactions)
+    staging.write_staged(staging.read_transactions(spark, raw_path), layout.transactions, by_file=True)
     staging.write_staged(staging.read_calendar(spark, raw_path), layout.calendar, partition_by=None)
     trans = staging.read_staged(spark, layout.transactions, TRANSACTIONS)
     calendar = staging.read_staged(spark, layout.calendar, CALENDAR)

@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -116,3 +117,71 @@ def test_no_line_is_asked_for_its_file_where_all_files_match(spark, tmp_path):
     df = staging.read_transactions(spark, str(tmp_path))
     assert "file_path" in df._jdf.queryExecution().optimizedPlan().toString()
     assert rows(df, "PROD_CODE") == [("P1",)]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that were not there before; they are deleted beside the job, within a moment."""
+    for _ in range(20):
+        found = shuffle_files(spark) - before
+        if not found:
+            break
+        time.sleep(0.2)
+    return found
+
+
+def many(spark, n=600):
+    """Some lines come twice, some have no basket and no week."""
+    data = [{"SHOP_WEEK": i % 7 or None, "PROD_CODE": f"P{i // 2}", "BASKET_ID": f"B{i % 50}" if i % 9 else None} for i in range(n)]
+    return lines(spark, data)
+
+
+def test_written_tables_leave_no_shuffle_behind(spark, tmp_path):
+    df, before = many(spark).repartition(3), shuffle_files(spark)
+    staging.write_raw(df, str(tmp_path / "transactions"), "BASKET_ID")
+    staging.write_staged(df, str(tmp_path / "staged"))
+    assert left_over(spark, before) == set()
+
+
+def test_passes_take_every_line_once(spark, tmp_path, monkeypatch):
+    source, raw, target = (str(tmp_path / name) for name in ("source", "transactions", "staged"))
+    many(spark).repartition(6).write.parquet(source)
+    df = spark.read.parquet(source)
+    monkeypatch.setattr(storage, "PASS_BYTES", 1)
+    assert storage.passes(df) == storage.PASSES
+    for _ in range(2):  # a table that is there is written over
+        staging.write_raw(df, raw, "BASKET_ID")
+        staging.write_staged(staging.read_transactions(spark, raw, "*.csv.gz"), target, by_file=True)
+    assert rows(staging.read_staged(spark, target, TRANSACTIONS)) == rows(df) == rows(many(spark))
+
+
+def test_a_pass_reads_its_own_files_only(spark, raw, tmp_path, monkeypatch):
+    scan = staging.read_transactions(spark, raw)
+    monkeypatch.setattr(storage, "PASS_BYTES", 1)
+    read, where = [], type(scan).where
+
+    def seen(df, condition):
+        part = where(df, condition)
+        read.append(sorted(name.rsplit("/", 1)[-1] for name in {r[0] for r in part.select("_metadata.file_path").collect()}))
+        return part
+
+    monkeypatch.setattr(type(scan), "where", seen)
+    staging.write_staged(scan, str(tmp_path / "staged"), by_file=True)
+    monkeypatch.undo()
+    assert sorted(sum(read, [])) == ["my_transactions.csv", "transactions_200607.csv"]
+
+
+def test_raw_files_are_compressed_and_bounded(spark, tmp_path):
+    staging.write_raw(many(spark).coalesce(1), str(tmp_path / "transactions"), "BASKET_ID")
+    names = [p.name for p in (tmp_path / "transactions").iterdir() if p.name.startswith("part-")]
+    assert names and all(name.endswith(".csv.gz") for name in names)
+    assert rows(staging.read_transactions(spark, str(tmp_path))) == rows(many(spark))
+
+
+def test_one_pass_over_little_or_nothing(spark, raw, tmp_path):
+    assert storage.passes(staging.read_transactions(spark, raw)) == 1
+    assert storage.passes(staging.read_transactions(spark, str(tmp_path / "missing"))) == 1
