@@ -1,5 +1,7 @@
 """Small transaction tables made by hand."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from basketlens.schema import TRANSACTIONS
@@ -24,3 +26,18 @@ def rows(df, *columns):
 def scattered(df, parts=5):
     """The same rows in another layout."""
     return df.repartition(parts, F.rand(7))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that were not there before; they are deleted beside the job, within a moment."""
+    for _ in range(20):
+        found = shuffle_files(spark) - before
+        if not found:
+            break
+        time.sleep(0.2)
+    return found

@@ -1,12 +1,11 @@
 import datetime
-import time
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from basketlens.schema import CALENDAR, TRANSACTIONS
 from basketlens.sources import staging, storage
-from tests.helpers import lines, rows
+from tests.helpers import left_over, lines, rows, shuffle_files
 
 HEADER = ",".join(TRANSACTIONS.fieldNames())
 
@@ -119,21 +118,6 @@ def test_no_line_is_asked_for_its_file_where_all_files_match(spark, tmp_path):
     assert rows(df, "PROD_CODE") == [("P1",)]
 
 
-def shuffle_files(spark):
-    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
-    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
-
-
-def left_over(spark, before):
-    """Shuffle files that were not there before; they are deleted beside the job, within a moment."""
-    for _ in range(20):
-        found = shuffle_files(spark) - before
-        if not found:
-            break
-        time.sleep(0.2)
-    return found
-
-
 def many(spark, n=600):
     """Some lines come twice, some have no basket and no week."""
     data = [{"SHOP_WEEK": i % 7 or None, "PROD_CODE": f"P{i // 2}", "BASKET_ID": f"B{i % 50}" if i % 9 else None} for i in range(n)]

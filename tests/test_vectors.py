@@ -12,7 +12,7 @@ from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from basketlens.operators import rotation, sgd, vectors, windows
-from tests.helpers import rows, scattered
+from tests.helpers import left_over, rows, scattered, shuffle_files
 
 WINDOW, PRODS, DIM = 4, 12, 6
 SMALL = {"window": WINDOW, "dim": DIM, "rate": 0.05}
@@ -461,3 +461,16 @@ def test_mini_batches_of_a_task_are_read_and_written_together(monkeypatch):
     assert pa.Table.from_batches(together).to_pylist() == pa.Table.from_batches(single).to_pylist()
     assert sum(b["kind"][0].as_py() == "customer" for b in together) == 1
     assert sum(b["kind"][0].as_py() == "customer" for b in single) == n / 8
+
+
+def test_rounds_leave_no_shuffle_behind(spark, docs, monkeypatch):
+    left, write = [], rotation.Rotation._write
+
+    def seen(training, *args):
+        before = shuffle_files(spark)
+        write(training, *args)
+        left.append(left_over(spark, before))
+
+    monkeypatch.setattr(rotation.Rotation, "_write", seen)
+    vectors.train_vectors(docs, PRODS, "dbow", epochs=1, partitions=2, **SMALL)
+    assert left == [set()] * 3
